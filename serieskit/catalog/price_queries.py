@@ -229,7 +229,7 @@ def price_consistency(spark, sf):
 @query("dedupe_records", "with " + V.SQL_DUP + V.sql_records("dup") + f"""
 select {DAY}, round(price, 6) as price, round(relative_spread, 6) as relative_spread from rec""")
 def dedupe_records(spark, sf):
-    return rounded(V.records(V.obs_price_dup(spark, sf)))
+    return rounded(clean.distinct_records(_judged_dup(spark, sf)))
 
 
 @query("panel_audit", "with " + V.SQL_DUP + V.sql_panel("dup") + """
@@ -237,8 +237,8 @@ select (select count(*) from dup where not (minimum <= 0 or maximum < minimum or
        (select count(*) from rec) as retained_unique_raw_rows, count(*) as unique_daily_profiles,
        count(*) filter (distinct_reported_prices > 1) as days_with_conflicting_reported_prices from panel""")
 def panel_audit(spark, sf):
-    judged = _judged_dup(spark, sf)
-    return panel.panel_audit(judged, panel.daily_medians(clean.kept_records(judged)))
+    records = clean.sound_records(_judged_dup(spark, sf))
+    return panel.panel_audit(records, panel.daily_medians(records))
 
 
 @query("daily_median_panel", "with " + V.SQL_OBS + V.sql_panel("obs") + f"""
@@ -251,7 +251,7 @@ def daily_median_panel(spark, sf):
 @query("dominant_category", "with " + V.SQL_SKEW + V.sql_panel("skew") + """
 select commodity, state, district, market, annual_dominant_varieties, annual_dominant_varieties > 1 as dominant_variety_switch from dominance""")
 def dominant_category(spark, sf):
-    return panel.dominant_varieties(V.records(V.obs_price_skew(spark, sf)))
+    return panel.dominant_varieties(panel.daily_medians(V.records(V.obs_price_skew(spark, sf))))
 
 
 @query("consecutive_returns", "with " + V.PLACE_PANEL_SQL + """

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from serieskit.catalog.registry import load
 from serieskit.config import DemandConfig, PriceConfig
-from serieskit.operators.clean import judge, kept_records, standardize
+from serieskit.operators.clean import judge, sound_records, standardize
 from serieskit.operators.panel import daily_panel
 
 KINDS = ("Economy", "Large", "Medium", "Promo", "Small", "Standard")
@@ -88,7 +88,7 @@ def obs_price_text(spark, sf) -> DataFrame:
 
 
 def records(obs: DataFrame, cfg: PriceConfig = PRICES) -> DataFrame:
-    return kept_records(judge(standardize(obs, cfg), cfg))
+    return sound_records(judge(standardize(obs, cfg), cfg))
 
 
 def place_panel(spark, sf) -> DataFrame:

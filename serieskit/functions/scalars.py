@@ -8,7 +8,8 @@ from pyspark.sql import Column, functions as F
 
 # Accepted number text, white space, and date layouts in order of preference.
 NUMBER_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-WHITE_SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0     　"
+WHITE_SPACE = (" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0       "
+               "         　")
 NULL_TEXT = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
              "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 ISO_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"
@@ -70,12 +71,8 @@ def clean_or_default(c: Column, default: str = "unspecified") -> Column:
 
 def spelling(c: Column, wanted: tuple[str, ...]) -> Column:
     """Cleaned category -> the spelling asked for; NULL for any other category."""
-    key = clean_key(c)
-    out = None
-    for name in wanted:
-        hit = key == name.strip().lower()
-        out = F.when(hit, F.lit(name)) if out is None else out.when(hit, F.lit(name))
-    return out
+    pairs = [F.lit(text) for name in wanted for text in (name.strip().lower(), name)]
+    return F.try_element_at(F.create_map(*pairs), clean_key(c))
 
 
 def _by_layout(text: Column, layouts: dict[str, list[str]], first: Column) -> Column:

@@ -50,9 +50,14 @@ def judge(records: DataFrame, cfg: PriceConfig) -> DataFrame:
     return records.withColumn("state_of_row", state).withColumn("relative_spread", spread)
 
 
-def kept_records(judged: DataFrame) -> DataFrame:
-    """Distinct sound records over the nine clean columns; NULL equals NULL."""
-    return judged.where(F.col("state_of_row") == "kept").select(*RECORD).dropDuplicates()
+def sound_records(judged: DataFrame) -> DataFrame:
+    """Kept rows over the nine clean columns; copies are still in."""
+    return judged.where(F.col("state_of_row") == "kept").select(*RECORD)
+
+
+def distinct_records(judged: DataFrame) -> DataFrame:
+    """Sound records without copies; NULL equals NULL."""
+    return sound_records(judged).dropDuplicates()
 
 
 def manifest(judged: DataFrame, source: str) -> DataFrame:

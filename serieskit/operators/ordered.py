@@ -15,8 +15,13 @@ LEVELS = 10
 _RANGE = "_range"
 
 
-def with_range(df: DataFrame, order: str, levels: int = LEVELS) -> DataFrame:
-    """Add the number of the value range of ``order``, found by halving over sketched borders."""
+def with_range(df: DataFrame, order: str, levels: int = LEVELS, range_of: Column | None = None) -> DataFrame:
+    """Add the number of the value range of ``order``, found by halving over sketched borders.
+
+    ``range_of`` gives the range directly where an even, order-keeping one is known.
+    """
+    if range_of is not None:
+        return df.withColumn(_RANGE, range_of)
     count = 2**levels
     probabilities = F.array(*[F.lit(i / count) for i in range(1, count)])
     borders = df.agg(F.percentile_approx(order, probabilities, F.lit(8 * count)).alias("b")).scalar()
@@ -35,6 +40,7 @@ def running_totals(
     ties: Sequence[str] = (),
     only: Callable[[Column, Column, Column], Column] | None = None,
     levels: int = LEVELS,
+    range_of: Column | None = None,
 ) -> DataFrame:
     """Add ``<s>_before`` (sum over the rows ordered earlier) and ``<s>_total`` for each sum.
 
@@ -42,7 +48,7 @@ def running_totals(
     and the group total of the first column in ``sums``.
     """
     by = list(by)
-    ranged = with_range(df, order, levels)
+    ranged = with_range(df, order, levels, range_of)
     earlier = W.partitionBy(*by).orderBy(_RANGE).rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy(*by)
     starts = ranged.groupBy(*by, _RANGE).agg(*[F.sum(s).alias(s) for s in sums])
@@ -70,9 +76,10 @@ def values_at(
     value: str,
     positions: dict[str, Callable[[Column], Column]],
     levels: int = LEVELS,
+    range_of: Column | None = None,
 ) -> DataFrame:
     """Per group the values at given 0-based sorted positions; a position is a function of the count."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
 
     def covers(start: Column, own: Column, total: Column) -> dict[str, Column]:
         return {name: (start <= at(total)) & (at(total) < start + own) for name, at in positions.items()}
@@ -84,9 +91,9 @@ def values_at(
             out = out | hit
         return out
 
-    ranked = running_totals(counts, by, "_v", ["_n"], only=wanted, levels=levels)
+    ranked = running_totals(counts, by, value, ["_n"], only=wanted, levels=levels, range_of=range_of)
     hit = covers(F.col("_n_before"), F.col("_n"), F.col("_n_total"))
-    picks = [F.max(F.when(cond, F.col("_v"))).alias(name) for name, cond in hit.items()]
+    picks = [F.max(F.when(cond, F.col(value))).alias(name) for name, cond in hit.items()]
     return ranked.groupBy(*by).agg(F.max("_n_total").alias("_n_total"), *picks)
 
 
@@ -107,13 +114,20 @@ def exact_quantiles(
     return found.select(*by, *out)
 
 
-def ranked(df: DataFrame, by: Sequence[str], order: str, ties: Sequence[str], below: Callable[[Column], Column] | None = None) -> DataFrame:
+def ranked(
+    df: DataFrame,
+    by: Sequence[str],
+    order: str,
+    ties: Sequence[str],
+    below: Callable[[Column], Column] | None = None,
+    range_of: Column | None = None,
+) -> DataFrame:
     """Add the 0-based ``position`` of each row in its group and the group ``size``.
 
     With ``below`` (a function of the group size) only rows placed before it are kept, and
     ranges past it are never sorted.
     """
     only = (lambda start, own, total: start < below(total)) if below else None
-    out = running_totals(df.withColumn("_one", F.lit(1).cast("bigint")), by, order, ["_one"], ties, only)
+    out = running_totals(df.withColumn("_one", F.lit(1).cast("bigint")), by, order, ["_one"], ties, only, range_of=range_of)
     out = out.withColumnRenamed("_one_before", "position").withColumnRenamed("_one_total", "size").drop("_one")
     return out.where(F.col("position") < below(F.col("size"))) if below else out

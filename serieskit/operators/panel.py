@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from serieskit.config import PLACE_KEYS, SERIES_KEYS
 from serieskit.operators.ordered import exact_quantiles
@@ -12,28 +12,49 @@ DAY = ["commodity", *SERIES_KEYS, "date"]
 PLACE = ["commodity", *PLACE_KEYS]
 
 
+def _middle(values: Column) -> Column:
+    """Median of an array without NULLs; NULL when it is empty."""
+    ordered, n = F.sort_array(values), F.size(values)
+    low = F.get(ordered, F.floor((n - 1) / 2).cast("int"))
+    return (low + F.get(ordered, F.floor(n / 2).cast("int"))) / 2
+
+
 def daily_medians(records: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Median price and spread, reports and distinct prices per series and day."""
+    """Median price and spread, reports and distinct prices per series and day.
+
+    ``records`` may hold copies. One exchange does both the removal of copies and the
+    daily summary: each day keeps its distinct (price, spread) pairs, which the split
+    bounds. Days beyond that bound are ordered over many tasks instead.
+    """
     ordinary, hot = split_hot(records, DAY, hot_rows)
-    small = ordinary.groupBy(*DAY).agg(
-        F.median("price").alias("price"),
-        F.median("relative_spread").alias("relative_spread"),
-        F.count("*").alias("daily_reports"),
-        F.count_distinct("price").alias("distinct_reported_prices"),
+    pairs = ordinary.groupBy(*DAY).agg(F.collect_set(F.struct("price", "relative_spread")).alias("pairs"))
+    prices = F.col("pairs.price")
+    small = pairs.select(
+        *DAY,
+        _middle(prices).alias("price"),
+        _middle(F.array_compact(F.col("pairs.relative_spread"))).alias("relative_spread"),
+        F.size("pairs").cast("bigint").alias("daily_reports"),
+        F.size(F.array_distinct(prices)).cast("bigint").alias("distinct_reported_prices"),
     )
-    per_price = hot.groupBy(*DAY, "price").agg(F.count("*").alias("n"))
+    return small if hot is None else small.unionByName(_large_days(hot.dropDuplicates()))
+
+
+def _large_days(distinct: DataFrame) -> DataFrame:
+    per_price = distinct.groupBy(*DAY, "price").agg(F.count("*").alias("n"))
     counts = per_price.groupBy(*DAY).agg(F.sum("n").alias("daily_reports"), F.count("*").alias("distinct_reported_prices"))
-    large = (
-        exact_quantiles(hot, DAY, "price", {"price": 0.5})
-        .join(exact_quantiles(hot, DAY, "relative_spread", {"relative_spread": 0.5}), DAY, "left")
+    return (
+        exact_quantiles(distinct, DAY, "price", {"price": 0.5})
+        .join(exact_quantiles(distinct, DAY, "relative_spread", {"relative_spread": 0.5}), DAY, "left")
         .join(counts, DAY)
     )
-    return small.unionByName(large)
 
 
-def dominant_varieties(records: DataFrame) -> DataFrame:
-    """Yearly most frequent variety per place (ties: first by name), and how many differ."""
-    counts = records.groupBy(*PLACE, F.year("date").alias("year"), "variety").agg(F.count("*").alias("rows"))
+def dominant_varieties(days: DataFrame) -> DataFrame:
+    """Yearly most frequent variety per place (ties: first by name), and how many differ.
+
+    Counts distinct records through ``daily_reports``, so the records are not read again.
+    """
+    counts = days.groupBy(*PLACE, F.year("date").alias("year"), "variety").agg(F.sum("daily_reports").alias("rows"))
     yearly = counts.groupBy(*PLACE, "year").agg(F.min(F.struct((-F.col("rows")).alias("o"), "variety"))["variety"].alias("variety"))
     return yearly.groupBy(*PLACE).agg(F.count_distinct("variety").alias("annual_dominant_varieties")).withColumn(
         "dominant_variety_switch", F.col("annual_dominant_varieties") > 1
@@ -41,21 +62,17 @@ def dominant_varieties(records: DataFrame) -> DataFrame:
 
 
 def daily_panel(records: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return daily_medians(records, hot_rows).join(dominant_varieties(records), PLACE, "left")
+    days = daily_medians(records, hot_rows)
+    return days.join(dominant_varieties(days), PLACE, "left")
 
 
-def panel_audit(judged: DataFrame, panel: DataFrame) -> DataFrame:
-    """One row: records kept, copies removed, panel rows, days with conflicting prices."""
-    from serieskit.operators.clean import RECORD
-
-    copies = judged.where(F.col("state_of_row") == "kept").groupBy(*RECORD).agg(F.count("*").alias("n"))
-    kept = copies.agg(
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows_removed"),
-        F.count("*").alias("retained_unique_raw_rows"),
-    )
-    days = panel.agg(
+def panel_audit(records: DataFrame, days: DataFrame) -> DataFrame:
+    """One row: copies removed, distinct records, panel rows, days with conflicting prices."""
+    read = records.agg(F.count("*").alias("sound"))
+    counted = days.agg(
+        F.coalesce(F.sum("daily_reports"), F.lit(0)).alias("retained_unique_raw_rows"),
         F.count("*").alias("unique_daily_profiles"),
         F.coalesce(F.sum((F.col("distinct_reported_prices") > 1).cast("bigint")), F.lit(0)).alias("days_with_conflicting_reported_prices"),
     )
-    one = F.lit(1).alias("_one")
-    return kept.select("*", one).join(days.select("*", one), "_one").drop("_one")
+    removed = (read.scalar() - F.col("retained_unique_raw_rows")).alias("duplicate_rows_removed")
+    return counted.select(removed, "*")

@@ -8,19 +8,22 @@ from pyspark.sql import DataFrame, functions as F
 
 # A group counts as hot from this many rows, or from 1/100,000 of all rows if that is more:
 # so there are never more than 100,000 hot groups, and their 8-byte hashes fit a broadcast.
-HOT_ROWS = 1_000_000
+HOT_ROWS = 200_000
 HOT_SHARE = 100_000
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame | None]:
     """Split ``df`` into (ordinary, hot) rows by the size of their key group.
 
-    Sizes are counted on a 64-bit hash of the keys. A hash collision can only send a small
-    group the hot way, which gives the same result.
+    One small job counts rows per 64-bit hash of the keys, so it shuffles two numbers per
+    group. Without a hot group ``df`` comes back as it is, with None. A hash collision can
+    only send a small group the hot way, which gives the same result.
     """
     hashed = df.withColumn("_group", F.xxhash64(*keys))
     sizes = hashed.groupBy("_group").agg(F.count("*").alias("_rows"))
-    limit = F.greatest(F.lit(hot_rows), sizes.agg((F.sum("_rows") / HOT_SHARE).cast("bigint")).scalar())
+    largest, total = sizes.agg(F.max("_rows"), F.sum("_rows")).first()
+    limit = max(hot_rows, (total or 0) // HOT_SHARE)
+    if (largest or 0) <= limit:
+        return df, None
     hot = F.broadcast(sizes.where(F.col("_rows") > limit).select("_group"))
-    ordinary = hashed.join(hot, "_group", "left_anti").drop("_group")
-    return ordinary, hashed.join(hot, "_group", "left_semi").drop("_group")
+    return hashed.join(hot, "_group", "left_anti").drop("_group"), hashed.join(hot, "_group", "left_semi").drop("_group")
