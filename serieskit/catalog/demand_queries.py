@@ -8,6 +8,7 @@ from serieskit.catalog import demand_views as D
 from serieskit.catalog.registry import load, query, rounded
 from serieskit.config import POLICY_QUANTILES
 from serieskit.operators import grid as G, metrics as M, ordered, splits
+from serieskit.session import materialize
 
 HOURLY, QUARTERLY, DAILY = D.HOURLY, D.QUARTERLY, D.DAILY
 
@@ -122,7 +123,7 @@ def quantile_table(spark, sf):
 
 @query("time_split", "with " + D.sql_labelled(HOURLY) + "select slot, cast(timestamp as varchar) as timestamp, split from lab")
 def time_split(spark, sf):
-    return rounded(splits.time_split(D.features(spark, sf, HOURLY), HOURLY).select("slot", "timestamp", "split"))
+    return rounded(splits.time_split(materialize(D.features(spark, sf, HOURLY)), HOURLY).select("slot", "timestamp", "split"))
 
 
 @query("label_target", "with " + D.sql_labelled(HOURLY) + "select slot, split, round(threshold, 4) as threshold, target from lab")
@@ -176,7 +177,7 @@ select round(lo, 4) as "training_IQR_lower", round(hi, 4) as "training_IQR_upper
        'flag only; retain genuine peaks' as action from fences""")
 def outlier_audit(spark, sf):
     fences, flags = _flags(spark, sf)
-    return rounded(fences.select("*", flags.agg(F.count("*")).scalar().alias("flagged_grid_rows"), F.lit("flag only; retain genuine peaks").alias("action")), 4)
+    return rounded(splits.outlier_audit(flags, fences), 4)
 
 
 @query("outlier_rows", "with " + D.sql_labelled(HOURLY) + SQL_FENCES + """

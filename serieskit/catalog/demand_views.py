@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from serieskit.catalog.registry import load
 from serieskit.config import DemandConfig
 from serieskit.operators import grid as G, splits
+from serieskit.session import materialize
 
 HOURLY = DemandConfig(
     step_seconds=3600, lag_minutes=(60, 180, 360, 1440, 10080), rolling_minutes=(180, 360, 720),
@@ -65,15 +66,16 @@ def features(spark, sf, cfg: DemandConfig) -> DataFrame:
 
 
 def labelled(spark, sf, cfg: DemandConfig = HOURLY) -> DataFrame:
-    return splits.label_target(splits.time_split(features(spark, sf, cfg), cfg), cfg)
+    stored = materialize(features(spark, sf, cfg))
+    return splits.label_target(splits.time_split(stored, cfg), cfg)
 
 
 def scored(spark, sf) -> DataFrame:
     """Validation and test rows with demand over its train maximum as a score."""
     rows = labelled(spark, sf)
-    top = rows.where(F.col("split") == "train").agg(F.max("demand_now")).scalar()
-    held = rows.where(F.col("split").isin("validation", "test")).withColumn("_top", top)
-    held = held.withColumn("score", F.round(F.col("demand_now") / F.col("_top"), 6)).drop("_top")
+    top = rows.where(F.col("split") == "train").agg(F.max("demand_now")).first()[0]
+    held = rows.where(F.col("split").isin("validation", "test"))
+    held = held.withColumn("score", F.round(F.col("demand_now") / F.lit(top), 6))
     return held.withColumn("prediction", (F.col("score") >= 0.7).cast("int"))
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from serieskit.config import ALERT_CUTOFFS
 from serieskit.functions import scalars as S
-from serieskit.operators.ordered import exact_quantiles, running_totals
+from serieskit.operators.ordered import running_totals
+from serieskit.operators.splits import train_quantiles
 
 COUNTS = ["TN", "FP", "FN", "TP"]
 # The cutoff grid.
@@ -193,15 +194,11 @@ def day_block_bootstrap(scored: DataFrame, repeats: int, minimum_days: int = 8,
 
 def whatif_peak_definition(labelled: DataFrame, quantiles: Sequence[float]) -> DataFrame:
     """Train quantiles as thresholds, and the share of test rows at or above each."""
-    train = labelled.where(F.col("split") == "train")
     names = {f"q{i}": q for i, q in enumerate(quantiles)}
-    found = exact_quantiles(train, [], "demand_now", names)
+    found = train_quantiles(labelled, names)
     test = labelled.where(F.col("split") == "test")
-    for name in names:
-        test = test.withColumn(name, found.select(name).scalar())
-    shares = [F.avg((F.col("future_hour_max") >= F.col(n)).cast("double")).alias(f"s_{n}") for n in names]
-    wide = test.agg(*[F.max(n).alias(n) for n in names], *shares)
-    cells = ", ".join(f"double({q}), {n}, s_{n}" for n, q in names.items())
+    wide = test.agg(*[F.avg((F.col("future_hour_max") >= found[n]).cast("double")).alias(n) for n in names])
+    cells = ", ".join(f"double({q}), double({found[n]!r}), {n}" for n, q in names.items())
     return wide.select(F.expr(
         f"stack({len(names)}, {cells}) as (train_quantile, demand_threshold_native_units, test_future_peak_fraction)"
     )).withColumn("model_retrained", F.lit(False))

@@ -37,20 +37,21 @@ def split_label(vstart: Column, tstart: Column, cfg: DemandConfig) -> Column:
 
 
 def time_split(frame: DataFrame, cfg: DemandConfig) -> DataFrame:
-    bounds = split_bounds(frame, cfg)
-    marked = frame.withColumn("_v", bounds.select("validation_start").scalar()).withColumn("_t", bounds.select("test_start").scalar())
-    return marked.withColumn("split", split_label(F.col("_v"), F.col("_t"), cfg)).drop("_v", "_t")
+    """Add ``split``. The two border slots are looked up first, so ``frame`` should be stored."""
+    v, t = split_bounds(frame, cfg).first() or (None, None)
+    return frame.withColumn("split", split_label(F.lit(v).cast("bigint"), F.lit(t).cast("bigint"), cfg))
 
 
-def train_quantile(frame: DataFrame, p: float, value: str = "demand_now") -> DataFrame:
-    train = frame.where(F.col("split") == "train")
-    return exact_quantiles(train, [], value, {"threshold": p})
+def train_quantiles(frame: DataFrame, probabilities: dict[str, float], value: str = "demand_now") -> dict[str, float]:
+    """Exact quantiles of the train rows as plain numbers."""
+    found = exact_quantiles(frame.where(F.col("split") == "train"), [], value, probabilities).first()
+    return {name: found[name] if found else None for name in probabilities}
 
 
 def label_target(frame: DataFrame, cfg: DemandConfig) -> DataFrame:
     """Target: the look-ahead maximum reaches the peak threshold learnt from train rows only."""
-    threshold = train_quantile(frame, cfg.peak_quantile).scalar()
-    marked = frame.withColumn("threshold", threshold)
+    threshold = train_quantiles(frame, {"threshold": cfg.peak_quantile})["threshold"]
+    marked = frame.withColumn("threshold", F.lit(threshold).cast("double"))
     return marked.withColumn("target", (F.col("future_hour_max") >= F.col("threshold")).cast("int"))
 
 
@@ -73,8 +74,8 @@ def class_weights(labelled: DataFrame) -> DataFrame:
 
 def backtest_parts(train: DataFrame, cfg: DemandConfig, months_back=(12, 6, 0), check_days: int = 90, tune_days: int = 30) -> DataFrame:
     """Rows of each fold with their part: fit, tuning or evaluation. A row appears once per fold at most."""
-    last = train.agg(F.max("timestamp").cast("date")).scalar()
-    marked = train.withColumn("_last", last)
+    last = train.agg(F.max("timestamp").cast("date")).first()[0]
+    marked = train.withColumn("_last", F.lit(last).cast("date"))
     ts = F.col("timestamp")
     ready = ts + F.make_dt_interval(secs=F.lit(cfg.embargo_seconds).cast("decimal(18,6)"))
     folds = []
@@ -102,21 +103,24 @@ def backtest_summary(parts: DataFrame) -> DataFrame:
     )
 
 
-def outlier_fences(labelled: DataFrame) -> DataFrame:
-    train = labelled.where(F.col("split") == "train")
-    quartiles = exact_quantiles(train, [], "demand_now", {"q1": 0.25, "q3": 0.75})
-    width = F.lit(1.5) * (F.col("q3") - F.col("q1"))
-    return quartiles.select((F.col("q1") - width).alias("training_IQR_lower"), (F.col("q3") + width).alias("training_IQR_upper"))
+def outlier_fences(labelled: DataFrame) -> tuple[float, float]:
+    q = train_quantiles(labelled, {"q1": 0.25, "q3": 0.75})
+    width = 1.5 * (q["q3"] - q["q1"])
+    return q["q1"] - width, q["q3"] + width
 
 
-def flag_outliers(changes: DataFrame, fences: DataFrame, cfg: DemandConfig) -> DataFrame:
+def flag_outliers(changes: DataFrame, fences: tuple[float, float], cfg: DemandConfig) -> DataFrame:
     """Grid rows outside the train fences or with a large one-step change; flagged, not removed."""
-    low, high = fences.select("training_IQR_lower").scalar(), fences.select("training_IQR_upper").scalar()
-    marked = changes.withColumn("_low", low).withColumn("_high", high)
-    outside = F.coalesce((F.col("demand") < F.col("_low")) | (F.col("demand") > F.col("_high")), F.lit(False))
-    flagged = marked.withColumn("outside_training_IQR_fences", outside)
+    outside = F.coalesce((F.col("demand") < fences[0]) | (F.col("demand") > fences[1]), F.lit(False))
     jump = F.coalesce(F.col("absolute_change_fraction") > F.lit(cfg.jump_fraction), F.lit(False))
-    return flagged.where(F.col("outside_training_IQR_fences") | jump).drop("_low", "_high")
+    return changes.withColumn("outside_training_IQR_fences", outside).where(F.col("outside_training_IQR_fences") | jump)
+
+
+def outlier_audit(flags: DataFrame, fences: tuple[float, float]) -> DataFrame:
+    return flags.agg(F.count("*").alias("flagged_grid_rows")).select(
+        F.lit(fences[0]).alias("training_IQR_lower"), F.lit(fences[1]).alias("training_IQR_upper"), "flagged_grid_rows",
+        F.lit("flag only; retain genuine peaks").alias("action"),
+    )
 
 
 def quarters(frame: DataFrame) -> DataFrame:

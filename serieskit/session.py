@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,19 +24,24 @@ def build_session(app: str = "serieskit", cores: int | str = 8, memory: str = "8
     )
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as the session names it; a local one only in local mode."""
+    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="serieskit-")
+        spark.sparkContext.setCheckpointDir(folder)
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and go on from there.
+    """Write ``df`` once as a table in the shared folder and go on from there.
 
-    Used where a result feeds several later jobs, so a lost executor costs a re-read
-    instead of a recomputation of everything before it.
+    Used where a result feeds several later jobs: a lost executor then costs a re-read
+    instead of a recomputation, and later jobs read only the columns they need.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="serieskit-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
