@@ -112,3 +112,13 @@ def extreme_profiles(profiles: DataFrame, n: int = 10, keys: Sequence[str] = SER
     order = W.partitionBy(keys[0]).orderBy(F.col("return_volatility").desc_nulls_last(), *keys[1:])
     known = profiles.where(F.col("return_volatility").isNotNull())
     return known.withColumn("position", F.row_number().over(order)).where(F.col("position") <= n)
+
+
+def monthly_index(panel: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
+    """Monthly mean over the mean of all monthly means, per series; empty months stay, without a value."""
+    keys = list(keys)
+    months = panel.groupBy(*keys, F.trunc("date", "MM").alias("month")).agg(F.avg("price").alias("monthly_mean"))
+    ends = months.groupBy(*keys).agg(F.min("month").alias("_a"), F.max("month").alias("_b"))
+    every = ends.select(*keys, F.explode(F.sequence("_a", "_b", F.expr("interval 1 month"))).alias("month"))
+    full = every.join(months, [*keys, "month"], "left")
+    return full.withColumn("monthly_index", S.ratio(F.col("monthly_mean"), F.avg("monthly_mean").over(W.partitionBy(*keys))))
