@@ -275,7 +275,7 @@ def stratified_sample(spark, sf):
 
 def wide_panel(spark, sf):
     obs = V.obs_price(spark, sf).withColumn("district", F.col("state"))
-    return R.panel_from_table(obs, WIDE)["panel"]
+    return R.panel_from(obs, WIDE)["panel"]
 
 
 def wide_matrix(spark, sf):
