@@ -52,7 +52,7 @@ def split_and_label(frame: DataFrame, cfg: C.DemandConfig) -> DataFrame:
 def fit_models(labelled: DataFrame, cfg: C.DemandConfig, names=None) -> dict[str, tuple[L.Fitted, float]]:
     """The four classifiers with their fit seconds."""
     base = G.base_features(cfg)
-    features = base + [w for w in G.weather_features(labelled.columns)if w != "temperature_x_humidity"]
+    features = base + G.weather_features(labelled.columns)
     train = labelled.where(F.col("split") == "train")
     makers = {
         L.ADDITIVE: lambda n: L.fit_additive(train, features, cfg, n),
@@ -90,7 +90,7 @@ def rolling_backtests(labelled: DataFrame, cfg: C.DemandConfig) -> DataFrame:
     spark = labelled.sparkSession
     train = labelled.where(F.col("split") == "train").drop("target", "threshold")
     parts = materialize(splits.backtest_parts(train, cfg))
-    features = G.base_features(cfg) + [w for w in G.weather_features(labelled.columns) if w != "temperature_x_humidity"]
+    features = G.base_features(cfg) + G.weather_features(labelled.columns)
     rows = {(r["fold"], r["part"]): r for r in splits.backtest_summary(parts).collect()}
     done = []
     for fold in sorted({f for f, _ in rows}):

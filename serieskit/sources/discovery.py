@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession, functions as F
 
@@ -52,8 +53,8 @@ def listing(spark: SparkSession, root: str) -> list[tuple[str, int]]:
 def _probe(spark: SparkSession, path: str, size: int) -> InputFile | None:
     try:
         return InputFile(path, size, headers_of(spark, path))
-    except (PySparkException, OSError, ValueError) as problem:
-        warnings.warn(f"skipped unreadable file {path}: {problem}", stacklevel=2)
+    except (PySparkException, Py4JJavaError, OSError, ValueError) as problem:
+        warnings.warn(f"skipped unreadable file {path}: {str(problem)[:200]}", stacklevel=2)
         return None
 
 
