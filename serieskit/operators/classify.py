@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from serieskit.config import TEMPERATURE_SHIFTS, DemandConfig
 from serieskit.operators.ordered import exact_quantiles
-from serieskit.operators.prep import long_form
+from serieskit.operators.prep import long_form, scale_width, scaled_value
 from serieskit.operators.splits import class_weights
 
 ADDITIVE = "Additive model"
@@ -43,9 +43,9 @@ def fill_values(train: DataFrame, features: Sequence[str]) -> dict[str, float]:
 def scale_values(train: DataFrame, features: Sequence[str], fill: dict[str, float]) -> dict[str, tuple[float, float]]:
     stats = train.agg(*[
         c for f in features
-        for c in (F.avg(_filled(f, fill)).alias(f"m_{f}"), F.stddev_pop(_filled(f, fill)).alias(f"d_{f}"))
+        for c in (F.avg(_filled(f, fill)).alias(f"m_{f}"), scale_width(_filled(f, fill)).alias(f"d_{f}"))
     ]).first()
-    return {f: (stats[f"m_{f}"], stats[f"d_{f}"] or 1.0) for f in features}
+    return {f: (stats[f"m_{f}"], stats[f"d_{f}"]) for f in features}
 
 
 def _filled(f: str, fill: dict[str, float]) -> Column:
@@ -70,7 +70,7 @@ class Fitted:
         parts = []
         for f in self.features:
             c = _filled(f, self.fill)
-            parts.append((c - self.scale[f][0]) / self.scale[f][1] if f in self.scale else c)
+            parts.append(scaled_value(c, *(F.lit(v).cast("double") for v in self.scale[f])) if f in self.scale else c)
         return df.withColumn("features", array_to_vector(F.array(*parts)))
 
     def score(self, df: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from serieskit.config import BASE_FEATURES, SPREAD_FEATURE, SPREAD_MISSING_LIMIT
@@ -52,9 +53,22 @@ def impute_median(df: DataFrame, features: Sequence[str], by: Sequence[str]) ->
     return joined.withColumns({f: F.coalesce(f, f"_{f}_median") for f in features}).select(*df.columns)
 
 
+def scale_width(value: Column) -> Column:
+    """Population deviation to divide by; NULL where the variance is no more than rounding noise."""
+    n, mean, variance = F.count(value), F.avg(value), F.var_pop(value)
+    eps = float(np.finfo(float).eps)
+    noise = n * F.lit(eps) * variance + F.pow(n * mean * F.lit(eps), F.lit(2.0))
+    return F.when(variance > noise, F.sqrt(variance))
+
+
+def scaled_value(x: Column, mean: Column, width: Column) -> Column:
+    """Centred and scaled; exactly 0 for a constant feature, so its noise is not blown up later."""
+    return F.when(width.isNull(), x * 0.0).otherwise((x - mean) / width)
+
+
 def moments(df: DataFrame, features: Sequence[str], by: Sequence[str]) -> DataFrame:
     return long_form(df, features, by).groupBy(*by, "feature").agg(
-        F.avg("value").alias("mean"), F.stddev_pop("value").alias("deviation")
+        F.avg("value").alias("mean"), scale_width(F.col("value")).alias("deviation")
     )
 
 
@@ -64,8 +78,7 @@ def standardize(df: DataFrame, features: Sequence[str], by: Sequence[str]) -> Da
     joined = df.join(_beside(table, by, features, ["mean", "deviation"]), list(by), "left")
     scaled = {}
     for f in features:
-        width = F.col(f"_{f}_deviation")
-        scaled[f] = (F.col(f) - F.col(f"_{f}_mean")) / F.when(width > 0, width).otherwise(F.lit(1.0))
+        scaled[f] = scaled_value(F.col(f), F.col(f"_{f}_mean"), F.col(f"_{f}_deviation"))
     return joined.withColumns(scaled).select(*df.columns)
 
 
