@@ -9,6 +9,7 @@ from serieskit.catalog.registry import load, query, rounded
 from serieskit.config import PRICE_ALIASES, PRICE_OPTIONAL, PriceConfig
 from serieskit.functions import scalars as S
 from serieskit.operators import clean, panel, profiles
+from serieskit.session import materialize
 from serieskit.sources.columns import resolve
 from serieskit.sources.readers import union_sources
 from serieskit.sources.sinks import key_values
@@ -237,7 +238,7 @@ select (select count(*) from dup where not (minimum <= 0 or maximum < minimum or
        (select count(*) from rec) as retained_unique_raw_rows, count(*) as unique_daily_profiles,
        count(*) filter (distinct_reported_prices > 1) as days_with_conflicting_reported_prices from panel""")
 def panel_audit(spark, sf):
-    records = clean.sound_records(_judged_dup(spark, sf))
+    records = materialize(clean.sound_records(_judged_dup(spark, sf)))
     return panel.panel_audit(records, panel.daily_medians(records))
 
 
@@ -245,13 +246,13 @@ def panel_audit(spark, sf):
 select {DAY}, round(price, 6) as price, round(relative_spread, 6) as relative_spread, daily_reports, distinct_reported_prices,
        annual_dominant_varieties, dominant_variety_switch from panel""")
 def daily_median_panel(spark, sf):
-    return rounded(panel.daily_panel(V.records(V.obs_price(spark, sf))))
+    return rounded(panel.daily_panel(V.stored_records(V.obs_price(spark, sf))))
 
 
 @query("dominant_category", "with " + V.SQL_SKEW + V.sql_panel("skew") + """
 select commodity, state, district, market, annual_dominant_varieties, annual_dominant_varieties > 1 as dominant_variety_switch from dominance""")
 def dominant_category(spark, sf):
-    return panel.dominant_varieties(panel.daily_medians(V.records(V.obs_price_skew(spark, sf))))
+    return panel.dominant_varieties(panel.daily_medians(V.stored_records(V.obs_price_skew(spark, sf))))
 
 
 @query("consecutive_returns", "with " + V.PLACE_PANEL_SQL + """

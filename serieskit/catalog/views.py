@@ -8,6 +8,7 @@ from serieskit.catalog.registry import load
 from serieskit.config import DemandConfig, PriceConfig
 from serieskit.operators.clean import judge, sound_records, standardize
 from serieskit.operators.panel import daily_panel
+from serieskit.session import materialize
 
 KINDS = ("Economy", "Large", "Medium", "Promo", "Small", "Standard")
 PRICES = PriceConfig(commodities=KINDS, start_date="1995-01-01", end_date="2001-12-31")
@@ -91,8 +92,12 @@ def records(obs: DataFrame, cfg: PriceConfig = PRICES) -> DataFrame:
     return sound_records(judge(standardize(obs, cfg), cfg))
 
 
+def stored_records(obs: DataFrame, cfg: PriceConfig = PRICES) -> DataFrame:
+    return materialize(records(obs, cfg))
+
+
 def place_panel(spark, sf) -> DataFrame:
-    return daily_panel(records(obs_place(spark, sf)))
+    return daily_panel(stored_records(obs_place(spark, sf)))
 
 
 # The same shapes as SQL text: comma-separated common table expressions.

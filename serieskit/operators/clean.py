@@ -47,12 +47,13 @@ def judge(records: DataFrame, cfg: PriceConfig) -> DataFrame:
         .otherwise("kept")
     )
     spread = F.when(F.col("price") > 0, (F.col("maximum") - F.col("minimum")) / F.col("price"))
-    return records.withColumn("state_of_row", state).withColumn("relative_spread", spread)
+    sound = F.col("commodity").isNotNull() & inside & ~missing & ~broken
+    return records.withColumn("state_of_row", state).withColumn("is_sound", sound).withColumn("relative_spread", spread)
 
 
 def sound_records(judged: DataFrame) -> DataFrame:
     """Kept rows over the nine clean columns; copies are still in."""
-    return judged.where(F.col("state_of_row") == "kept").select(*RECORD)
+    return judged.where("is_sound").select(*RECORD)
 
 
 def distinct_records(judged: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ def _middle(values: Column) -> Column:
 def daily_medians(records: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Median price and spread, reports and distinct prices per series and day.
 
-    ``records`` may hold copies. One exchange does both the removal of copies and the
+    ``records`` may hold copies and is read twice, so it should be a stored table. One exchange does both the removal of copies and the
     daily summary: each day keeps its distinct (price, spread) pairs, which the split
     bounds. Days beyond that bound are ordered over many tasks instead.
     """

@@ -28,7 +28,7 @@ RESTART, SUBSAMPLE = "different initialization", "80% profile subsample; fixed p
 def panel_from(raw: DataFrame, cfg: C.PriceConfig, source: str | None = None) -> dict[str, DataFrame]:
     """Resolved raw records -> stored daily panel, its audit and, with ``source``, the manifest."""
     judged = clean.judge(clean.standardize(raw, cfg, [source] if source else []), cfg)
-    records = clean.sound_records(judged)
+    records = materialize(clean.sound_records(judged))
     days = materialize(panel.daily_medians(records))
     out = {"audit": panel.panel_audit(records, days)}
     out["panel"] = days.join(panel.dominant_varieties(days), panel.PLACE, "left")
