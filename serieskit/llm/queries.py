@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from serieskit.llm import html_text, max_score, pieces, token_files, toxicity, warc
+from serieskit.llm import decontaminate, html_text, language, max_score, near_dup, pieces, suffix_dedup, token_files, toxicity, warc
 from serieskit.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,32 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(load(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=2)
 
 
+NEAR_SQL = r"""
+with recursive d as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w from documents
+), g as (
+  select distinct doc_id, unnest(case when len(w) = 0 then []::varchar[] when len(w) = 1 then [w[1]] else list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) end) as g from d
+), n as (
+  select doc_id, count(*) as n from g group by doc_id
+), l as (
+  select a.doc_id as a, b.doc_id as b from g a join g b on a.g = b.g and a.doc_id < b.doc_id join n x on x.doc_id = a.doc_id join n y on y.doc_id = b.doc_id
+  group by a.doc_id, b.doc_id, x.n, y.n having 100 * count(*) >= 80 * (x.n + y.n - count(*))
+), e as (
+  select a, b from l union all select b, a from l
+), r as (
+  select doc_id, doc_id as reach from d union select r.doc_id, e.b from r join e on e.a = r.reach
+), c as (
+  select doc_id, min(reach) as component_id from r group by doc_id
+)
+select c.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, c.component_id, c.doc_id = c.component_id as kept from c left join n using (doc_id)
+"""
+
+
+@query("op3_near_duplicates", NEAR_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(load(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 TOP_K_SQL = """
 with v as (
   select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as e from embeddings
@@ -60,11 +86,26 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return max_score.search(rows.where("vec_id % 20 = 0"), rows)
 
 
+@query("op5_decontaminate")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_passages(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 @query("op6_html_text")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(load(spark, sf_dir, "pages"))
 
 
+@query("op7_language")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(load(spark, sf_dir, "pages"), load(spark, sf_dir, "documents"))
+
+
+@query("op8_suffix_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removals(load(spark, sf_dir, "documents"))
+
+
 WARC_SQL = """
 with p as (
   select page_id, coalesce(html, '') as payload from pages
