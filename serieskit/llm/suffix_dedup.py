@@ -355,7 +355,7 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _shorten(text: pd.Series, found: pd.Series) -> pd.Series:
     # A character that lost a part of its bytes goes as a whole.
-    return pd.Series([_kept(t, f)[0].decode(errors="ignore") if f is not None else t for t, f in zip(text, found)], dtype=object)
+    return pd.Series([_kept(t, list(f))[0].decode(errors="ignore") if f is not None else t for t, f in zip(text, found)], dtype=object)
 
 
 def _with_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
