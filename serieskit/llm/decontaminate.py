@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from serieskit.llm.common import small_batches, texts
@@ -227,16 +228,15 @@ class Items:
         return out
 
 
-def _search(spark_items):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        items = spark_items.value
+def _search(held):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = held.value
         for batch in batches:
-            whole = [t.encode() for t in batch["text"]]
-            ids = batch["doc_id"].to_numpy()
+            whole = [t.encode() for t in batch.column("text").to_pylist()]
             rows = [(first + i, *rest) for first, part in chunks(whole, SEARCH_BYTES) for i, *rest in items.search(part)]
-            out = pd.DataFrame(rows, columns=["row", "item_id", "first_word", "edits"])
-            out["doc_id"] = pd.array(ids[out["row"].to_numpy(np.int64)], dtype="Int64") if len(rows) else pd.array([], dtype="Int64")
-            yield out[["doc_id", "item_id", "first_word", "edits"]]
+            columns = list(zip(*rows)) if rows else [[]] * 4
+            ids = batch.column("doc_id").take(pa.array(columns[0], pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, pa.int64()) for c in columns[1:])], ["doc_id", "item_id", "first_word", "edits"])
 
     return run
 
@@ -255,7 +255,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOC
     for part in range(parts):
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).orderBy("item_id", "text").collect()
         held = spark.sparkContext.broadcast(Items([(r.item_id, r.text) for r in block]))
-        more = rows.mapInPandas(_search(held), "doc_id long, item_id long, first_word long, edits long")
+        more = rows.mapInArrow(_search(held), "doc_id long, item_id long, first_word long, edits long")
         found = more if found is None else found.unionByName(more)
     return found
 

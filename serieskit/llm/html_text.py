@@ -20,7 +20,7 @@ import math
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from serieskit.llm.common import small_batches
@@ -224,14 +224,14 @@ def _under(e: _Element | None, top: _Element) -> bool:
     return e is top
 
 
-def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        batch["text"] = [main_text(page) for page in batch.pop("html")]
-        yield batch[["page_id", "url", "text"]]
+        text = pa.array([main_text(page) for page in batch.column("html").to_pylist()], pa.string())
+        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), text], ["page_id", "url", "text"])
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page; no row moves between tasks."""
     small_batches(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
-    return rows.mapInPandas(_extract, "page_id long, url string, text string").withColumn("n_chars", F.char_length("text").cast("long"))
+    return rows.mapInArrow(_extract, "page_id long, url string, text string").withColumn("n_chars", F.char_length("text").cast("long"))

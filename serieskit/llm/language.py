@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from serieskit.llm.common import small_batches, stored
@@ -95,18 +96,19 @@ def fit_text(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> TextModel:
 
 
 def _evidence(held):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
         for batch in batches:
-            pages = batch.pop("html")
+            pages = batch.column("html").to_pylist()
             declared = [(_DECLARED.search(h) or _META.search(h)) for h in pages]
-            batch["declared"] = [d[1].lower() if d else "" for d in declared]
-            scores = np.array([model.scores(main_text(h)) for h in pages]).reshape(len(batch), len(model.languages))
+            scores = np.array([model.scores(main_text(h)) for h in pages]).reshape(len(pages), len(model.languages))
             weights = np.exp(scores)
             weights /= weights.sum(axis=1, keepdims=True)
+            columns = {n: batch.column(n) for n in batch.schema.names if n != "html"}
+            columns["declared"] = pa.array([d[1].lower() if d else "" for d in declared], pa.string())
             for i in range(len(model.languages)):
-                batch[f"t{i}"], batch[f"q{i}"] = scores[:, i], weights[:, i]
-            yield batch
+                columns[f"t{i}"], columns[f"q{i}"] = (pa.array(np.ascontiguousarray(x[:, i])) for x in (scores, weights))
+            yield pa.RecordBatch.from_pydict(columns)
 
     return run
 
@@ -127,7 +129,7 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
     if not n:
         return rows.limit(0).select("page_id", "url", F.lit("").alias("lang"), F.lit(0.0).alias("probability"), F.lit("").alias("text_lang"), F.lit("").alias("declared"))
     held = spark.sparkContext.broadcast(model)
-    seen = stored(rows.mapInPandas(_evidence(held), f"page_id long, url string, host string, domain string, suffix string, declared string, {numbers}"), "language-evidence")
+    seen = stored(rows.mapInArrow(_evidence(held), f"page_id long, url string, host string, domain string, suffix string, declared string, {numbers}"), "language-evidence")
 
     def sums(key: str, name: str) -> DataFrame:
         return seen.groupBy(key).agg(*[F.sum(f"q{i}").alias(f"{name}{i}") for i in range(n)])

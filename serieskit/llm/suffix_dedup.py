@@ -375,11 +375,14 @@ def removals(docs: DataFrame) -> DataFrame:
 def drop_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated bytes gone from its texts (and n_chars, if there, counted anew); all rows stay."""
     _, found = _with_spans(docs)
-    key = F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")))
-    both = docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (key == F.col("_row")), "left")
+    names = docs.columns
+    carried = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    doc_id, text = (F.col(f"c{names.index(c)}") for c in ("doc_id", "text"))
+    key = F.xxhash64(doc_id.cast("long"), F.coalesce(text, F.lit("")))
+    both = carried.join(found, doc_id.cast("long").eqNullSafe(F.col("_doc")) & (key == F.col("_row")), "left")
     shorten = F.pandas_udf(_shorten, "string")
-    text = F.when(F.col("found").isNull(), F.col("text")).otherwise(shorten(F.coalesce("text", F.lit("")), "found"))
-    both = both.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        both = both.withColumn("n_chars", F.char_length("text").cast(dict(docs.dtypes)["n_chars"]))
-    return both.select(*[F.col(f"`{c}`") for c in docs.columns])
+    both = both.withColumn("new_text", F.when(F.col("found").isNull(), text).otherwise(shorten(F.coalesce(text, F.lit("")), "found")))
+    out = {"text": F.col("new_text")}
+    if "n_chars" in names:
+        out["n_chars"] = F.char_length("new_text").cast(dict(docs.dtypes)["n_chars"])
+    return both.select(*[out.get(c, F.col(f"c{i}")).alias(c) for i, c in enumerate(names)])

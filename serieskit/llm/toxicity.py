@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -98,21 +99,19 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
     ]
 
 
-def _featured(lexicon: Lexicon, keep: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _featured(lexicon: Lexicon, keep: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = np.array([features(t, lexicon) for t in batch["text"]], float).reshape(-1, len(FEATURES))
-            out = pd.DataFrame(rows, columns=FEATURES)
-            for name in keep.split():
-                out[name] = batch[name].to_numpy()
-            yield out[[*keep.split(), *FEATURES]]
+            rows = np.array([features(t, lexicon) for t in batch.column("text").to_pylist()], float).reshape(-1, len(FEATURES))
+            columns = [batch.column(name) for name in keep] + [pa.array(np.ascontiguousarray(rows[:, i])) for i in range(len(FEATURES))]
+            yield pa.RecordBatch.from_arrays(columns, [*keep, *FEATURES])
 
     return run
 
 
 def featured(docs: DataFrame, lexicon: Lexicon, keep: dict[str, str]) -> DataFrame:
     schema = ", ".join([f"{n} {t}" for n, t in keep.items()] + [f"{n} double" for n in FEATURES])
-    return docs.select(*keep, "text").mapInPandas(_featured(lexicon, " ".join(keep)), schema)
+    return docs.select(*keep, "text").mapInArrow(_featured(lexicon, list(keep)), schema)
 
 
 def _terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
