@@ -157,15 +157,15 @@ def rank_groups(spark, sf):
 
 @query("group_summary", "with " + SQL_PROFILE + """
 select market as cluster, count(*) as profile_count, round(avg(mean_price), 4) as mean_price, round(avg(return_volatility), 6) as mean_daily_return_volatility,
-       round(avg(calendar_coverage), 6) as mean_calendar_coverage, round(median(price_cv), 6) as median_price_cv,
-       round(median(return_volatility), 6) as median_daily_return_volatility, round(median(sharp_drop_fraction), 6) as median_sharp_drop_fraction,
-       round(median(monthly_variation_cv), 6) as median_monthly_variation from feats group by 1""")
+       round(avg(calendar_coverage), 6) as mean_calendar_coverage, round(avg(case when price_cv > 0.4 then 1.0::double else 0.0::double end), 6) as clipped_profile_fraction,
+       round(avg(price_cv - 0.4), 6) as mean_profile_silhouette, round(avg(case when price_cv - 0.4 <= 0 then 1.0::double else 0.0::double end), 6) as weak_separation_fraction,
+       round(median(price_cv), 6) as median_price_cv, round(median(return_volatility), 6) as median_daily_return_volatility,
+       round(median(sharp_drop_fraction), 6) as median_sharp_drop_fraction, round(median(monthly_variation_cv), 6) as median_monthly_variation from feats group by 1""")
 def group_summary(spark, sf):
+    score = F.col("price_cv") - 0.4
     rows = materialize(place_profiles(spark, sf)).withColumns({
-        "group": F.lit("all"), "cluster": F.col("market"), "profile_was_clipped": F.lit(False), "silhouette": F.lit(None).cast("double"),
-        "weak_separation": F.lit(None).cast("boolean")})
-    out = Q.group_summary(rows, GROUP).drop("group", "clipped_profile_fraction", "mean_profile_silhouette", "weak_separation_fraction")
-    return rounded(out, mean_price=4)
+        "group": F.lit("all"), "cluster": F.col("market"), "profile_was_clipped": F.col("price_cv") > 0.4, "silhouette": score, "weak_separation": score <= 0})
+    return rounded(Q.group_summary(rows, GROUP).drop("group"), mean_price=4)
 
 
 @query("monthly_index", "with " + V.PLACE_PANEL_SQL + """,
@@ -246,14 +246,10 @@ with b as (select event_type, list_sort(list_distinct(list(q))) as borders from
 select event_id, event_type, case when event_id % 10 = 0 then 8 else len(list_filter(borders, lambda q: value >= q)) end as bin from events join b using (event_type)""")
 def bin_features(spark, sf):
     events = load(spark, sf, "events")
-    known = events.withColumn("value", F.col("value"))
-    borders = prep.settled(prep.bin_borders(known, ["value"], 8, ["event_type"]))
-    missing = F.when(F.col("event_id") % 10 != 0, F.col("value"))
-    out = None
-    for r in borders.collect():
-        own = prep.bin_of(missing, r["borders"])
-        out = F.when(F.col("event_type") == r["event_type"], own) if out is None else out.when(F.col("event_type") == r["event_type"], own)
-    return events.select("event_id", "event_type", out.cast("bigint").alias("bin"))
+    borders = prep.bin_borders(events, ["value"], 8, ["event_type"]).select("event_type", "borders")
+    value = F.when(F.col("event_id") % 10 != 0, F.col("value"))
+    # One row per group, so the borders may be sent to all tasks.
+    return events.join(F.broadcast(borders), "event_type").select("event_id", "event_type", prep.bin_among(value, F.col("borders")).cast("bigint").alias("bin"))
 
 
 @query("hash_sample", """

@@ -16,15 +16,14 @@ from serieskit.sources.sinks import key_values
 
 DAY = "commodity, state, district, market, variety, grade, cast(date as varchar) as date"
 TEXT_CFG = PriceConfig(commodities=("Economy", "Promo", "Small"), start_date="1997-01-01", end_date="1999-12-31")
+ALL_CFG = PriceConfig(commodities=V.KINDS, start_date="1900-01-01", end_date="2099-12-31")
 
 
 @query("scan_project_parquet", """
-select l_returnflag, cast(l_shipdate as date)::varchar as day, count(*) as n, round(sum(l_quantity), 4) as quantity
-from lineitem where l_shipdate >= timestamp '1998-01-01' group by all""")
+select l_returnflag, cast(l_shipdate as date)::varchar as day, count(*) as n, round(sum(l_quantity), 4) as quantity from lineitem group by all""")
 def scan_project_parquet(spark, sf):
-    lines = load(spark, sf, "lineitem").where(F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
     day = F.col("l_shipdate").cast("date").cast("string").alias("day")
-    return lines.groupBy("l_returnflag", day).agg(F.count("*").alias("n"), F.round(F.sum("l_quantity"), 4).alias("quantity"))
+    return load(spark, sf, "lineitem").groupBy("l_returnflag", day).agg(F.count("*").alias("n"), F.round(F.sum("l_quantity"), 4).alias("quantity"))
 
 
 @query("resolve_aliases", "with " + V.SQL_TEXT + """
@@ -62,16 +61,29 @@ def _judged_dup(spark, sf):
     return clean.judge(clean.standardize(obs, V.PRICES, keep=["source_id"]), V.PRICES)
 
 
-@query("scan_manifest", "with " + V.SQL_DUP + """,
-j as (select source_id, commodity, state, district, market, variety, date, price, (maximum - minimum) / price as spread,
-        minimum <= 0 or maximum < minimum or price < minimum or price > maximum as broken from dup),
-u as (select source_id, count(*) as valid_rows from (select distinct * from j where not broken) group by 1)
-select source_id, count(*) as raw_rows_scanned, count(*) as commodity_rows, count(*) as window_rows,
-       count(*) filter (price is null or price <= 0) as invalid_rows, count(*) filter (broken) as inconsistent_price_rows,
-       count(*) filter (not broken) - any_value(valid_rows) as exact_duplicate_rows, any_value(valid_rows) as valid_rows
-from j join u using (source_id) group by 1""")
+@query("scan_manifest", "with " + V.SQL_TEXT + """,
+r as (select * from txt union all select * from txt where l_linenumber = 1),
+j as (select l_orderkey % 3 as source_id, lower(trim(commodity_name)) as kind, lower(trim(state)) as state, district_name, market, variety,
+        case when l_orderkey % 90 = 7 then null else coalesce(try_strptime(arrival_date, '%d/%m/%Y'), try_strptime(arrival_date, '%Y-%m-%d')) end as day,
+        try_cast(replace(modal_price, ',', '') as double) as price, min_price, case when l_linenumber = 2 then 1.0 else 1e7 end::double as maximum from r),
+s as (select *, (maximum - min_price) / price as spread, case when kind not in ('economy', 'promo', 'small') then 'other' when day is null then 'unreadable'
+        when day not between timestamp '1997-01-01' and timestamp '1999-12-31' then 'outside' when price is null or price <= 0 or state = '' then 'invalid'
+        when min_price <= 0 or maximum < min_price or price < min_price or price > maximum then 'broken' else 'kept' end as step from j),
+u as (select source_id, count(*) as valid_rows from (select distinct source_id, kind, state, district_name, market, variety, day, price, spread from s where step = 'kept') group by 1)
+select source_id, count(*) as raw_rows_scanned, count(*) filter (step <> 'other') as commodity_rows, count(*) filter (step = 'unreadable') as unreadable_date_rows,
+       count(*) filter (step in ('invalid', 'broken', 'kept')) as window_rows, count(*) filter (step = 'invalid') as invalid_rows,
+       count(*) filter (step = 'broken') as inconsistent_price_rows, count(*) filter (step = 'kept') - any_value(valid_rows) as exact_duplicate_rows,
+       any_value(valid_rows) as valid_rows
+from s join u using (source_id) group by 1""")
 def scan_manifest(spark, sf):
-    return clean.manifest(_judged_dup(spark, sf), "source_id")
+    text = V.obs_price_text(spark, sf)
+    raw = text.unionByName(text.where("l_linenumber = 1")).withColumns({
+        "source_id": F.col("l_orderkey") % 3,
+        "Arrival_Date": F.when(F.col("l_orderkey") % 90 == 7, F.lit("soon")).otherwise(F.col("Arrival_Date")),
+        "Max Price": F.when(F.col("l_linenumber") == 2, F.lit("1")).otherwise(F.lit("10,000,000")),
+    })
+    bound = resolve(raw, PRICE_ALIASES, PRICE_OPTIONAL, keep=["source_id"])
+    return clean.manifest(clean.judge(clean.standardize(bound, TEXT_CFG, ["source_id"]), TEXT_CFG), "source_id")
 
 
 @query("quality_kv", "with " + V.SQL_DUP + """,
@@ -121,21 +133,26 @@ select l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d') as date from l
 def parse_dates(spark, sf):
     key = F.col("l_orderkey")
     text = F.lit(None).cast("string")
-    for i, layout in enumerate(["yyyy-MM-dd", "dd/MM/yyyy", "dd-MM-yyyy", "d MMM yyyy", "yyyy/MM/dd"]):
-        text = F.when(key % 5 == i, F.date_format("l_shipdate", layout)).otherwise(text)
+    layouts = ["yyyy-MM-dd", "dd/MM/yyyy", "dd-MM-yyyy", "d MMM yyyy", "yyyy/MM/dd", "dd/MM/yyyy HH:mm", "d MMMM yyyy", "dd/MM/yy", "d-MMM-yy", "MMMM d, yyyy", "dd.MM.yyyy hh:mm a"]
+    for i, layout in enumerate(layouts):
+        text = F.when(key % len(layouts) == i, F.date_format("l_shipdate", layout)).otherwise(text)
     return load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", S.parse_date(text).cast("string").alias("date"))
 
 
 @query("parse_timestamps", """
-select event_id, case when event_id % 5 <> 4 then strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') end as ts from events""")
+select event_id, case when event_id % 9 <> 4 then strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') end as ts from events""")
 def parse_timestamps(spark, sf):
-    key = F.col("event_id") % 5
+    key = F.col("event_id") % 9
     text = (
         F.when(key == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
         .when(key == 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
         .when(key == 2, F.date_format("ts", "MM/dd/yyyy HH:mm:ss"))
         .when(key == 3, F.date_format("ts", "yyyy/MM/dd HH:mm:ss"))
-        .otherwise(F.concat(F.lit("about "), F.date_format("ts", "HH:mm")))
+        .when(key == 4, F.concat(F.lit("about "), F.date_format("ts", "HH:mm")))
+        .when(key == 5, F.date_format("ts", "M/d/yyyy h:mm:ss a"))
+        .when(key == 6, F.date_format("ts", "MM/dd/yy HH:mm:ss"))
+        .when(key == 7, F.date_format("ts", "d MMMM yyyy HH:mm:ss"))
+        .otherwise(F.date_format("ts", "MMM d, yyyy hh:mm:ss a"))
     )
     return load(spark, sf, "events").select("event_id", S.parse_timestamp(text, "Asia/Kolkata").cast("string").alias("ts"))
 
@@ -197,18 +214,16 @@ d as (select lower(trim(commodity_name)) as c,
 select upper(c[1]) || c[2:] as commodity, strftime(day, '%Y-%m-%d') as date, count(*) as n from d
 where c in ('economy', 'promo', 'small') and day between date '1997-01-01' and date '1999-12-31' group by all""")
 def filter_category_window(spark, sf):
-    inside = ~F.col("state_of_row").isin("other commodity", "outside window")
+    inside = ~F.col("state_of_row").isin("other commodity", "unreadable date", "outside window")
     return _judged_text(spark, sf).where(inside).groupBy("commodity", F.col("date").cast("string").alias("date")).agg(F.count("*").alias("n"))
 
 
 @query("invalid_rows", "with " + V.SQL_TEXT + """
 select upper(trim(commodity_name)[1]) || lower(trim(commodity_name)[2:]) as commodity,
-       case when modal_price = 'n/a' or trim(state) = '' then 'invalid' else 'kept' end as state_of_row, count(*) as n from txt
-where lower(trim(commodity_name)) in ('economy', 'promo', 'small')
-  and coalesce(try_strptime(arrival_date, '%d/%m/%Y'), try_strptime(arrival_date, '%Y-%m-%d')) between timestamp '1997-01-01' and timestamp '1999-12-31'
-group by all""")
+       case when modal_price = 'n/a' or trim(state) = '' then 'invalid' else 'kept' end as state_of_row, count(*) as n from txt group by all""")
 def invalid_rows(spark, sf):
-    return _judged_text(spark, sf).where(F.col("state_of_row").isin("invalid", "kept")).groupBy("commodity", "state_of_row").agg(F.count("*").alias("n"))
+    bound = resolve(V.obs_price_text(spark, sf), PRICE_ALIASES, PRICE_OPTIONAL)
+    return clean.judge(clean.standardize(bound, ALL_CFG), ALL_CFG).groupBy("commodity", "state_of_row").agg(F.count("*").alias("n"))
 
 
 @query("price_consistency", "with " + V.SQL_UNKNOWN + """
@@ -274,6 +289,17 @@ def stale_runs(spark, sf):
     return rounded(out.select("commodity", "state", "market", "date", "price", "run_position", "is_stale"))
 
 
+@query("stale_share", "with " + V.PLACE_PANEL_SQL + """,
+banded as (select commodity, state, market, date, floor(price / 1000) * 1000 + 1000 as price from panel),
+islands as (select *, date - (row_number() over (partition by commodity, state, market, price order by date))::int as island from banded),
+spots as (select *, row_number() over (partition by commodity, state, market, price, island order by date) as run_position from islands)
+select commodity, state, market, round(avg(case when run_position >= 3 then 1.0::double else 0.0::double end), 6) as stale_price_fraction from spots group by all""")
+def stale_share(spark, sf):
+    banded = V.place_panel(spark, sf).withColumn("price", F.floor(F.col("price") / 1000) * 1000.0 + 1000.0)
+    out = profiles.profile_features(banded, V.PROFILES)
+    return rounded(out.select("commodity", "state", "market", "stale_price_fraction"))
+
+
 SQL_PROFILE = V.PLACE_PANEL_SQL + """,
 steps as (select *, date - lag(date) over w as gap, lag(price) over w as before from panel window w as (partition by commodity, state, market order by date)),
 rets as (select *, case when gap = 1 then price / before - 1 end as ret from steps),

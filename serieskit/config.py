@@ -36,8 +36,6 @@ SPREAD_FEATURE = "median_relative_spread"
 RESTART_SEEDS = (7, 21, 84, 123, 2026)
 SENSITIVITY_CLIPS = (0.0, 0.01, 0.02)
 SPREAD_MISSING_LIMIT = 0.20
-SILHOUETTE_SAMPLE = 2000
-SILHOUETTE_ROWS = 5000
 DROP_DEFINITIONS = (0.05, 0.10, 0.15)
 SEPARATION_CUTOFFS = (-0.10, 0.0, 0.10)
 COVERAGE_CUTOFFS = (0.25, 0.35, 0.50)

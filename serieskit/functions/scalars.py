@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, functions as F
 
@@ -13,26 +15,8 @@ WHITE_SPACE = (" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0       "
 NULL_TEXT = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
              "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 ISO_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"
-DAY_FIRST = {
-    r"^\d{4}/\d{1,2}/\d{1,2}$": ["yyyy/M/d"],
-    r"^\d{8}$": ["yyyyMMdd"],
-    r"^\d{1,2}/\d{1,2}/\d{4}$": ["d/M/yyyy", "M/d/yyyy"],
-    r"^\d{1,2}-\d{1,2}-\d{4}$": ["d-M-yyyy", "M-d-yyyy"],
-    r"^\d{1,2}\.\d{1,2}\.\d{4}$": ["d.M.yyyy", "M.d.yyyy"],
-    r"^\d{1,2} [A-Za-z]{3} \d{4}$": ["d MMM yyyy"],
-    r"^\d{1,2}-[A-Za-z]{3}-\d{4}$": ["d-MMM-yyyy"],
-    r"^[A-Za-z]{3} \d{1,2}, \d{4}$": ["MMM d, yyyy"],
-}
-MONTH_FIRST_TIMES = {
-    r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{2}$": ["yyyy/M/d H:mm"],
-    r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{2}:\d{2}$": ["yyyy/M/d H:mm:ss"],
-    r"^\d{1,2}/\d{1,2}/\d{4}$": ["M/d/yyyy", "d/M/yyyy"],
-    r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$": ["M/d/yyyy H:mm", "d/M/yyyy H:mm"],
-    r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$": ["M/d/yyyy H:mm:ss", "d/M/yyyy H:mm:ss"],
-    r"^\d{1,2}-\d{1,2}-\d{4}$": ["M-d-yyyy", "d-M-yyyy"],
-    r"^\d{1,2}-\d{1,2}-\d{4} \d{1,2}:\d{2}$": ["M-d-yyyy H:mm", "d-M-yyyy H:mm"],
-    r"^\d{1,2}-\d{1,2}-\d{4} \d{1,2}:\d{2}:\d{2}$": ["M-d-yyyy H:mm:ss", "d-M-yyyy H:mm:ss"],
-}
+CLOCK_TEXT = r"[ T]+(\d{1,2}):(\d{2})(?::(\d{2}(?:\.\d+)?))?(?: ?([AaPp])[Mm])?$"
+SHORT_YEAR = r"^((?:\d{1,2}-)?[A-Za-z]+-(?:\d{1,2}-)?|\d{1,2}-\d{1,2}-)(\d{2})$"
 ZONED_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}[ T].*(Z|[+-]\d{2}:?\d{2})$"
 # End of fixed values.
 
@@ -75,13 +59,38 @@ def spelling(c: Column, wanted: tuple[str, ...]) -> Column:
     return F.try_element_at(F.create_map(*pairs), clean_key(c))
 
 
-def _by_layout(text: Column, layouts: dict[str, list[str]], first: Column) -> Column:
-    """Try only the layouts whose shape fits, so no row pays for failing parses."""
-    out = first
-    for shape, formats in layouts.items():
-        tries = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
-        out = out.when(text.rlike(shape), F.coalesce(*tries))
-    return out
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once; a plain expression would repeat it at every use."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _calendar_day(text: Column, day_first: bool) -> Column:
+    """Day of a text without a time of day, as a timestamp at midnight.
+
+    Signs between the parts become '-', month names three letters, and two-digit years the year within 50 years
+    of today, so few layouts are left; only those whose shape fits are tried.
+    """
+    both = ["d-M-yyyy", "M-d-yyyy"]
+    layouts = {
+        r"^\d{4}-\d{1,2}-\d{1,2}$": ["yyyy-M-d"], r"^\d{8}$": ["yyyyMMdd"],
+        r"^\d{1,2}-\d{1,2}-\d{4}$": both if day_first else both[::-1],
+        r"^\d{1,2}-[A-Za-z]{3}-\d{4}$": ["d-MMM-yyyy"], r"^[A-Za-z]{3}-\d{1,2}-\d{4}$": ["MMM-d-yyyy"],
+    }
+
+    def full_year(plain: Column) -> Column:
+        year = F.regexp_extract(plain, SHORT_YEAR, 2)
+        century = F.when(year >= F.lit(f"{(date.today().year + 50) % 100:02d}"), F.lit("19")).otherwise(F.lit("20"))
+        return F.when(year != "", F.concat(F.regexp_extract(plain, SHORT_YEAR, 1), century, year)).otherwise(plain)
+
+    def parsed(plain: Column) -> Column:
+        out = None
+        for shape, formats in layouts.items():
+            tries = [F.try_to_timestamp(plain, F.lit(f)).cast("timestamp_ntz") for f in formats]
+            out = (out.when if out is not None else F.when)(plain.rlike(shape), F.coalesce(*tries))
+        return out
+
+    plain = F.regexp_replace(F.regexp_replace(text, r"[-/., ]+", "-"), "([A-Za-z]{3})[A-Za-z]+", "$1")
+    return _let(_let(plain, full_year), parsed)
 
 
 def parse_date(c: Column, dtype: str = "string") -> Column:
@@ -89,8 +98,8 @@ def parse_date(c: Column, dtype: str = "string") -> Column:
     if dtype != "string":
         return c.cast("date")
     text = strip(c)
-    iso = F.when(text.rlike(ISO_TEXT), text.try_cast("date").cast("timestamp_ntz"))
-    return _by_layout(text, DAY_FIRST, iso).cast("date")
+    iso = F.when(text.rlike(ISO_TEXT), text.try_cast("date"))
+    return F.coalesce(iso, _calendar_day(F.regexp_replace(text, CLOCK_TEXT, ""), True).cast("date"))
 
 
 def parse_timestamp(c: Column, zone: str, dtype: str = "string") -> Column:
@@ -100,10 +109,17 @@ def parse_timestamp(c: Column, zone: str, dtype: str = "string") -> Column:
     if dtype != "string":
         return c.cast("timestamp_ntz")
     text = strip(c)
-    first = F.when(text.rlike(ZONED_TEXT), local_time(text.try_cast("timestamp"), zone)).when(
-        text.rlike(ISO_TEXT), text.try_cast("timestamp_ntz")
+    hour, minute, second = (F.coalesce(F.nullif(F.regexp_extract(text, CLOCK_TEXT, i), F.lit("")), F.lit("0")) for i in (1, 2, 3))
+    half = F.lower(F.regexp_extract(text, CLOCK_TEXT, 4))
+    hour = hour.cast("int")
+    of_day = F.when(half == "", hour).when(hour.between(1, 12), hour % 12 + F.when(half == "p", 12).otherwise(0))
+    clock = F.when((of_day < 24) & (minute.cast("int") < 60), F.make_dt_interval(F.lit(0), of_day, minute.cast("int"), second.cast("decimal(18,6)")))
+    mixed = _calendar_day(F.regexp_replace(text, CLOCK_TEXT, ""), False) + clock
+    return (
+        F.when(text.rlike(ZONED_TEXT), local_time(text.try_cast("timestamp"), zone))
+        .when(text.rlike(ISO_TEXT), F.coalesce(text.try_cast("timestamp_ntz"), mixed))
+        .otherwise(mixed)
     )
-    return _by_layout(text, MONTH_FIRST_TIMES, first)
 
 
 def local_time(instant: Column, zone: str) -> Column:

@@ -41,6 +41,7 @@ def judge(records: DataFrame, cfg: PriceConfig) -> DataFrame:
     broken = S.range_violation(F.col("price"), F.col("minimum"), F.col("maximum"))
     state = (
         F.when(F.col("commodity").isNull(), "other commodity")
+        .when(F.col("date").isNull(), "unreadable date")
         .when(~inside, "outside window")
         .when(missing, "invalid")
         .when(broken, "inconsistent")
@@ -74,7 +75,8 @@ def manifest(judged: DataFrame, source: str) -> DataFrame:
     return cells.groupBy(source).agg(
         F.sum("rows").cast("bigint").alias("raw_rows_scanned"),
         total(state != "other commodity").alias("commodity_rows"),
-        total(~state.isin("other commodity", "outside window")).alias("window_rows"),
+        total(state == "unreadable date").alias("unreadable_date_rows"),
+        total(~state.isin("other commodity", "unreadable date", "outside window")).alias("window_rows"),
         total(state == "invalid").alias("invalid_rows"),
         total(state == "inconsistent").alias("inconsistent_price_rows"),
         F.sum(F.when(kept, F.col("rows") - 1).otherwise(0)).cast("bigint").alias("exact_duplicate_rows"),

@@ -15,10 +15,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+# Resamples one word of a mask holds.
+WORD_BITS = 62
+
 
 @dataclass
 class Run:
-    """One K-means fit. ``bit`` selects the points whose ``mask`` has that bit; -1 takes all."""
+    """One K-means fit. ``bit`` selects the points whose mask words have that bit; -1 takes all."""
 
     group: str
     k: int
@@ -31,11 +34,20 @@ class Run:
     sizes: np.ndarray | None = field(default=None)
 
 
+def words_for(repeats: int) -> int:
+    return max(1, -(-repeats // WORD_BITS))
+
+
+def drawn(mask: np.ndarray, bit):
+    """The given bit (or bits) of every row's mask words."""
+    return (mask[:, bit // WORD_BITS] >> (bit % WORD_BITS)) & 1
+
+
 def points_frame(df: DataFrame, group: Column, ident: Column, x: str = "x", mask: Column | None = None) -> DataFrame:
-    """Columns the fit needs: group, a 64-bit hash of the identity, the resample mask and the vector."""
-    mask = F.lit(0) if mask is None else mask
+    """Columns the fit needs: group, a 64-bit hash of the identity, the words of the resample mask and the vector."""
+    mask = F.array(F.lit(0).cast("bigint")) if mask is None else mask
     return df.select(
-        group.cast("string").alias("group"), F.xxhash64(ident).alias("h"), mask.cast("bigint").alias("mask"),
+        group.cast("string").alias("group"), F.xxhash64(ident).alias("h"), mask.cast("array<bigint>").alias("mask"),
         F.col(x).cast("array<double>").alias("x"),
     )
 
@@ -59,7 +71,7 @@ def _distances(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
 def _groups(batches: Iterator[pd.DataFrame]):
     for pdf in batches:
         for name, part in pdf.groupby("group", sort=False):
-            yield name, part["h"].to_numpy(), part["mask"].to_numpy(), np.stack(part["x"].to_numpy())
+            yield name, part["h"].to_numpy(), np.stack(part["mask"].to_numpy()), np.stack(part["x"].to_numpy())
 
 
 def _salt(start: tuple, step: int) -> int:
@@ -93,7 +105,7 @@ def seed_centers(points: DataFrame, runs: Sequence[Run]) -> None:
                         nearest = _distances(x, centers).min(1)
                         key = np.where(nearest > 1e-12, key / np.maximum(nearest, 1e-300), np.inf)
                     if bit >= 0:
-                        key = np.where((mask >> bit) & 1 == 1, key, np.inf)
+                        key = np.where(drawn(mask, bit) == 1, key, np.inf)
                     best = int(np.argmin(key))
                     if np.isfinite(key[best]):
                         rows.append((i, float(key[best]), x[best].tolist()))
@@ -121,7 +133,7 @@ def _pass(points: DataFrame, runs: Sequence[Run]) -> dict[int, tuple]:
             for k, (ids, bits, centers) in plan.get(name, {}).items():
                 d = _distances(x, centers.reshape(-1, dims)).reshape(len(x), len(ids), k)
                 label, nearest = d.argmin(2), d.min(2)
-                weight = np.where(bits[None, :] < 0, 1, (mask[:, None] >> np.maximum(bits, 0)[None, :]) & 1).astype(float)
+                weight = np.where(bits[None, :] < 0, 1, drawn(mask, np.maximum(bits, 0))).astype(float)
                 for j in range(k):
                     member = (label == j) * weight
                     out = pd.DataFrame(member.T @ x, columns=names)

@@ -8,10 +8,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from serieskit.config import SEPARATION_CUTOFFS, SILHOUETTE_ROWS, SILHOUETTE_SAMPLE
+from serieskit.config import SEPARATION_CUTOFFS
 from serieskit.functions import scalars as S
 from serieskit.operators.cluster import squared_distance
-from serieskit.operators.sampling import stratified_sample
+
+# Rows of one block when all points of a group meet each other.
+BLOCK_ROWS = 1024
 
 
 def cluster_sizes(labelled: DataFrame, by: Sequence[str], k: int | None = None) -> DataFrame:
@@ -38,7 +40,8 @@ def center_table(labelled: DataFrame, by: Sequence[str], dims: int, names: Seque
 
 def _to_own(labelled: DataFrame, by: Sequence[str], dims: int) -> DataFrame:
     own = centroids(labelled, by, dims)
-    return labelled.join(own, [*by, "cluster"]).withColumn("_d2", squared_distance(F.col("x"), F.col("center")))
+    # One row per cluster: bounded by the number of groups and clusters.
+    return labelled.join(F.broadcast(own), [*by, "cluster"]).withColumn("_d2", squared_distance(F.col("x"), F.col("center")))
 
 
 def inertia(labelled: DataFrame, by: Sequence[str], dims: int) -> DataFrame:
@@ -71,47 +74,62 @@ def davies_bouldin(labelled: DataFrame, by: Sequence[str], dims: int) -> DataFra
     return lists.where(F.size("c") > 1).select(*by, (total / F.size("c")).alias("davies_bouldin"))
 
 
-def _silhouettes(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Silhouette of every row of one bounded group, in blocks of rows."""
-    x, labels = np.stack(pdf["x"].to_numpy()), pdf["cluster"].to_numpy()
-    names, own = np.unique(labels, return_inverse=True)
-    out = np.full(len(x), np.nan)
-    if 2 <= len(names) < len(x):
+def _distance_sums(keys: Sequence[str]):
+    """Per point of one block the sum of its distances to each cluster of another block."""
+
+    def run(points: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
+        if not len(points) or not len(members):
+            return points[list(keys)].iloc[:0].assign(other=[], total=[])
+        x, y = np.stack(points["x"].to_numpy()), np.stack(members["x"].to_numpy())
+        names, own = np.unique(members["cluster"].to_numpy(), return_inverse=True)
         member = np.eye(len(names))[own]
-        size = member.sum(0)
-        for at in range(0, len(x), 512):
-            block = x[at:at + 512]
-            d = np.sqrt(sum((block[:, None, i] - x[None, :, i]) ** 2 for i in range(x.shape[1])))
-            total, mine, row = d @ member, own[at:at + 512], np.arange(len(block))
-            inside = total[row, mine] / np.maximum(size[mine] - 1, 1)
-            mean = total / size
-            mean[row, mine] = np.inf
-            outside = mean.min(1)
-            top = np.maximum(inside, outside)
-            score = np.divide(outside - inside, top, out=np.zeros_like(top), where=top > 0)
-            out[at:at + 512] = np.where(size[mine] > 1, score, 0.0)
-    return pdf.drop(columns=["x"]).assign(silhouette=out)
-
-
-def silhouette_samples(labelled: DataFrame, by: Sequence[str], ident: Sequence[str], limit: int = SILHOUETTE_ROWS) -> DataFrame:
-    """Silhouette per row for groups of at most ``limit`` rows, which bounds what one task holds.
-
-    Rows of larger groups carry NULL; their mean silhouette comes from a sample.
+        totals = np.concatenate([
+            np.sqrt(sum((x[at:at + 512, None, i] - y[None, :, i]) ** 2 for i in range(x.shape[1]))) @ member for at in range(0, len(x), 512)
+        ])
+        out = points[list(keys)].iloc[np.repeat(np.arange(len(x)), len(names))]
+        return out.assign(other=np.tile(names, len(x)), total=totals.ravel())
+
+    return run
+
+
+def silhouette_samples(labelled: DataFrame, by: Sequence[str], ident: Sequence[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Exact silhouette per row of every group, whatever its size; ``ident`` names a row within its group.
+
+    A group is cut into blocks of about ``block_rows`` rows and every pair of its blocks is one task, which gives sums per
+    point and cluster only. The work is quadratic in a group's rows, as the measure is, but no task holds more
+    than two blocks. Groups of one cluster, or of single points only, have no silhouette.
     """
-    sizes = labelled.groupBy(*by).agg(F.count("*").alias("_size"))
-    sized = labelled.select(*by, *ident, "cluster", F.col("x").cast("array<double>").alias("x")).join(sizes, list(by))
-    small = sized.where(F.col("_size") <= limit).drop("_size")
-    fields = [f.simpleString().replace(":", " ", 1) for f in small.schema.fields if f.name != "x"]
-    scored = small.groupBy(*by).applyInPandas(_silhouettes, ", ".join(fields) + ", silhouette double")
-    scored = scored.withColumn("silhouette", S.finite(F.col("silhouette")))
-    large = sized.where(F.col("_size") > limit).drop("_size", "x").withColumn("silhouette", F.lit(None).cast("double"))
-    return scored.unionByName(large).withColumn("weak_separation", F.when(F.col("silhouette").isNotNull(), F.col("silhouette") <= 0))
-
-
-def silhouette_mean(labelled: DataFrame, by: Sequence[str], ident: str, limit: int = SILHOUETTE_SAMPLE) -> DataFrame:
-    """Mean silhouette per group, over a stratified sample where a group exceeds ``limit``."""
-    sample = stratified_sample(labelled.select(*by, ident, "cluster", "x"), by, "cluster", ident, limit)
-    return silhouette_samples(sample, by, [ident], limit).groupBy(*by).agg(F.avg("silhouette").alias("silhouette"))
+    by, ident = list(by), list(ident)
+    keys = [*by, *ident, "cluster"]
+    sizes = labelled.groupBy(*by, "cluster").agg(F.count("*").alias("_n"))
+    groups = sizes.groupBy(*by).agg(F.sum("_n").alias("_rows"), F.count("*").alias("_clusters"))
+    rows = labelled.select(*keys, F.col("x").cast("array<double>").alias("x")).join(groups, by)
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1))
+    blocks = rows.withColumn("_blocks", F.ceil(F.col("_rows") / block_rows)).withColumn("_own", F.pmod(F.xxhash64(*ident), F.col("_blocks")))
+    points = blocks.select(*keys, "x", F.col("_own").alias("_i"), every.alias("_j"))
+    members = blocks.select(*[F.col(c).alias(c) for c in (*by, "cluster", "x")], every.alias("_i"), F.col("_own").alias("_j"))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in labelled.select(*keys).schema.fields)
+    kind = labelled.schema["cluster"].dataType.simpleString()
+    pair = [*by, "_i", "_j"]
+    sums = points.groupBy(*pair).cogroup(members.groupBy(*pair)).applyInPandas(_distance_sums(keys), f"{fields}, other {kind}, total double")
+    whole = sums.groupBy(*keys, "other").agg(F.sum("total").alias("total"))
+    # One row per cluster and group, so the sizes may be sent to all tasks.
+    facing = whole.join(F.broadcast(sizes.withColumnRenamed("cluster", "other")), [*by, "other"])
+    mine = F.col("other") == F.col("cluster")
+    near = facing.groupBy(*keys).agg(
+        F.max(F.when(mine, S.ratio(F.col("total"), F.col("_n") - 1))).alias("_in"),
+        F.min(F.when(~mine, F.col("total") / F.col("_n"))).alias("_out"),
+        F.max(F.when(mine, F.col("_n"))).alias("_size"),
+    ).join(groups, by)
+    score = F.when(F.col("_size") > 1, F.coalesce(S.ratio(F.col("_out") - F.col("_in"), F.greatest("_in", "_out")), F.lit(0.0))).otherwise(0.0)
+    defined = (F.col("_clusters") > 1) & (F.col("_clusters") < F.col("_rows"))
+    scored = near.select(*keys, F.when(defined, S.finite(score)).alias("silhouette"))
+    return scored.withColumn("weak_separation", F.when(F.col("silhouette").isNotNull(), F.col("silhouette") <= 0))
+
+
+def silhouette_mean(labelled: DataFrame, by: Sequence[str], ident: str) -> DataFrame:
+    """Mean of the exact silhouettes of each group."""
+    return silhouette_samples(labelled, by, [ident]).groupBy(*by).agg(F.avg("silhouette").alias("silhouette"))
 
 
 def adjusted_rand(pairs: DataFrame, a: str, b: str, by: Sequence[str] = ()) -> DataFrame:

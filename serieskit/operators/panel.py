@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from serieskit.config import PLACE_KEYS, SERIES_KEYS
 from serieskit.operators.ordered import exact_quantiles
 from serieskit.operators.skew import HOT_ROWS, split_hot
+from serieskit.session import materialize
 
 DAY = ["commodity", *SERIES_KEYS, "date"]
 PLACE = ["commodity", *PLACE_KEYS]
@@ -62,7 +63,7 @@ def dominant_varieties(days: DataFrame) -> DataFrame:
 
 
 def daily_panel(records: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    days = daily_medians(records, hot_rows)
+    days = materialize(daily_medians(records, hot_rows))
     return days.join(dominant_varieties(days), PLACE, "left")
 
 

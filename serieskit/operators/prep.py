@@ -123,3 +123,8 @@ def bin_of(value: Column, borders: Sequence[float]) -> Column:
     for b in borders:
         level = level + (value >= F.lit(float(b))).cast("int")
     return F.when(value.isNull(), F.lit(len(borders) + 1)).otherwise(level)
+
+
+def bin_among(value: Column, borders: Column) -> Column:
+    """The same with the borders in an array column."""
+    return F.when(value.isNull(), F.size(borders) + 1).otherwise(F.size(F.filter(borders, lambda b: value >= b)))

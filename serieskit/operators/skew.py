@@ -6,10 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-# A group counts as hot from this many rows, or from 1/100,000 of all rows if that is more:
-# so there are never more than 100,000 hot groups, and their 8-byte hashes fit a broadcast.
+# A group counts as hot from this many rows, however many rows there are in all.
 HOT_ROWS = 200_000
-HOT_SHARE = 100_000
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame | None]:
@@ -21,9 +19,8 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> t
     """
     hashed = df.withColumn("_group", F.xxhash64(*keys))
     sizes = hashed.groupBy("_group").agg(F.count("*").alias("_rows"))
-    largest, total = sizes.agg(F.max("_rows"), F.sum("_rows")).first()
-    limit = max(hot_rows, (total or 0) // HOT_SHARE)
-    if (largest or 0) <= limit:
+    if (sizes.agg(F.max("_rows")).first()[0] or 0) <= hot_rows:
         return df, None
-    hot = F.broadcast(sizes.where(F.col("_rows") > limit).select("_group"))
+    # Hot groups may be many, so they are matched by a shuffled join, which Spark can split where one is large.
+    hot = sizes.where(F.col("_rows") > hot_rows).select("_group")
     return hashed.join(hot, "_group", "left_anti").drop("_group"), hashed.join(hot, "_group", "left_semi").drop("_group")

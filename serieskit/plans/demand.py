@@ -14,14 +14,14 @@ from serieskit.session import materialize
 from serieskit.sources import sinks
 from serieskit.sources.columns import resolve
 from serieskit.sources.discovery import discover
-from serieskit.sources.readers import scan_csv_inferred, scan_parquet
+from serieskit.sources.readers import scan_csv_text, scan_parquet
 
 KEPT = ["slot", "timestamp", "split", "target", "threshold", "demand_now", "future_hour_max"]
 
 
 def read_input(spark: SparkSession, cfg: C.DemandConfig) -> DataFrame:
     file = discover(spark, cfg.input_root, C.DEMAND_ALIASES["demand"], cfg.input_path, single=True)[0]
-    return scan_csv_inferred(spark, file.path) if file.suffix == ".csv" else scan_parquet(spark, [file.path])
+    return scan_csv_text(spark, [file.path], file.headers) if file.suffix == ".csv" else scan_parquet(spark, [file.path])
 
 
 def prepare(raw: DataFrame, cfg: C.DemandConfig, holidays: DataFrame) -> dict[str, DataFrame]:

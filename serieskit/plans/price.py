@@ -43,9 +43,15 @@ def panel_from_files(spark: SparkSession, cfg: C.PriceConfig) -> dict[str, DataF
     raw = read_aliased(spark, files, C.PRICE_ALIASES, C.PRICE_OPTIONAL)
     out = panel_from(raw, cfg, "source_file")
     listed = spark.createDataFrame([(f.path, f.size) for f in files], "source_file string, bytes bigint")
-    plain = F.regexp_replace(F.col("source_file"), "^file:/+", "/")
-    counted = out["manifest"].withColumn("source_file", plain)
-    out["manifest"] = listed.withColumn("source_file", plain).join(counted, "source_file", "left").fillna(0)
+    local = F.regexp_replace(F.col("source_file"), "^file:/+", "/")
+    # Rows carry their file as a URI, the listing as a plain path.
+    decoded = F.url_decode(F.regexp_replace(F.col("source_file"), r"\\+", "%2B"))
+    counted = out["manifest"].withColumn("source_file", decoded).withColumn("source_file", local)
+    listed = listed.withColumn("source_file", local)
+    stray = counted.join(listed, "source_file", "left_anti").select("source_file").take(1)
+    if stray:
+        raise ValueError(f"records of {stray[0][0]}, which is no listed input file")
+    out["manifest"] = listed.join(counted, "source_file", "left").fillna(0)
     return out
 
 
@@ -91,11 +97,7 @@ def select_clusters(matrix: DataFrame, cfg: C.PriceConfig) -> dict:
     spread = matrix.select(*BY, IDENT, "x").join(centers.select("commodity", "clusters").dropDuplicates(), BY)
     labelled = materialize(K.assign(spread, centers, ["commodity", "clusters"]))
     key = ["commodity", "clusters"]
-    largest = max(row["n"] for row in shape)
-    if largest <= C.SILHOUETTE_SAMPLE:
-        silhouette = Q.silhouette_samples(labelled, key, [IDENT]).groupBy(*key).agg(F.avg("silhouette").alias("silhouette"))
-    else:
-        silhouette = Q.silhouette_mean(labelled, key, IDENT)
+    silhouette = Q.silhouette_mean(labelled, key, IDENT)
     dims = len(C.BASE_FEATURES) + 1
     smallest = {r["commodity"]: max(3, ceil(r["n"] * cfg.min_cluster_fraction)) for r in shape}
     facts = spark.createDataFrame(
@@ -128,23 +130,30 @@ def label_profiles(matrix: DataFrame, models: dict) -> DataFrame:
 
 
 def _resample_mask(matrix: DataFrame, sizes: dict, winners: dict, repeats: int) -> DataFrame:
-    """One bit per repeat on each profile: drawn into that repeat's sample or not."""
+    """One bit per repeat on each profile, in words of 62: drawn into that repeat's sample or not."""
     spread = matrix.select(*BY, IDENT, F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("repeat"))
     least = F.create_map(*[F.lit(v) for g, k in winners.items() for v in (g, k + 1)])
     keyed = spread.withColumn("_key", F.concat_ws(":", "repeat", IDENT)).withColumn("_min", least[F.col("commodity")])
 
     def wanted(n):
-        return F.greatest(F.floor(n * F.lit(0.8)), F.col("_min") if repeats else n)
+        return F.greatest(F.floor(n * F.lit(0.8)), F.col("_min"))
 
     drawn = hash_sample(keyed, [*BY, "repeat", "_min"], "_key", wanted, "subsample")
-    return drawn.groupBy(*BY, IDENT).agg(F.bit_or(F.shiftleft(F.lit(1).cast("bigint"), 0) * F.pow(F.lit(2), F.col("repeat")).cast("bigint")).alias("mask"))
+    bit = F.expr(f"shiftleft(1L, cast(repeat % {K.WORD_BITS} as int))")
+    words = [F.coalesce(F.bit_or(F.when(F.floor(F.col("repeat") / K.WORD_BITS) == w, bit)), F.lit(0).cast("bigint")) for w in range(K.words_for(repeats))]
+    return drawn.groupBy(*BY, IDENT).agg(F.array(*words).alias("mask"))
 
 
 def stability(matrix: DataFrame, picked: dict, labelled: DataFrame, cfg: C.PriceConfig) -> DataFrame:
     """Agreement with the main groups after other starts and after refits on 80 % samples."""
-    mask = _resample_mask(matrix, picked["sizes"], picked["winners"], cfg.stability_repeats)
-    masked = matrix.select(*BY, IDENT, "x").join(mask, [*BY, IDENT], "left")
-    points = materialize(K.points_frame(masked, F.col("commodity"), F.col(IDENT), mask=F.coalesce("mask", F.lit(0))))
+    none = F.array_repeat(F.lit(0).cast("bigint"), K.words_for(cfg.stability_repeats))
+    masked = matrix.select(*BY, IDENT, "x")
+    if cfg.stability_repeats:
+        mask = _resample_mask(matrix, picked["sizes"], picked["winners"], cfg.stability_repeats)
+        masked = masked.join(mask, [*BY, IDENT], "left").withColumn("mask", F.coalesce("mask", none))
+    else:
+        masked = masked.withColumn("mask", none)
+    points = materialize(K.points_frame(masked, F.col("commodity"), F.col(IDENT), mask=F.col("mask")))
     runs, checks = [], {}
     for g, k in picked["winners"].items():
         for seed in C.RESTART_SEEDS:

@@ -10,11 +10,13 @@ from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import SparkSession
 
 from serieskit.sources.columns import find_column
 
 SUFFIXES = (".csv", ".parquet")
+# A quote inside a quoted cell is written twice.
+CSV = {"header": True, "quote": '"', "escape": '"'}
 
 
 @dataclass(frozen=True)
@@ -34,7 +36,7 @@ class InputFile:
 
 def headers_of(spark: SparkSession, path: str) -> tuple[str, ...]:
     if path.lower().endswith(".csv"):
-        return tuple(spark.read.option("header", True).csv(path).columns)
+        return tuple(spark.read.options(**CSV).csv(path).columns)
     return tuple(spark.read.parquet(path).columns)
 
 
@@ -71,9 +73,14 @@ def discover(
     if explicit and not explicit.lower().endswith(SUFFIXES):
         raise FileNotFoundError(f"{explicit} is neither CSV nor Parquet")
     found = listing(spark, explicit or root)
+    # What the name alone rules out is never opened.
+    named = [InputFile(path, size, ()) for path, size in found]
+    in_window = {f.path for f in named if explicit or not years or not re.fullmatch(r"20[0-9]{2}", f.stem) or years[0] <= int(f.stem) <= years[1]}
     with ThreadPoolExecutor(16) as pool:
-        probed = list(pool.map(lambda item: _probe(spark, *item), found))
+        probed = list(pool.map(lambda item: _probe(spark, *item), [item for item in found if item[0] in in_window]))
     files = [f for f in probed if f and find_column(f.headers, measure_aliases, False)]
+    if not files and len(in_window) < len(found):
+        raise FileNotFoundError("no file overlaps the date window")
     if not files:
         raise FileNotFoundError(f"no compatible file under {explicit or root}")
     if single and len(files) > 1:
@@ -81,14 +88,4 @@ def discover(
     if prefer_parquet:
         stored = {f.stem for f in files if f.suffix == ".parquet"}
         files = [f for f in files if f.suffix == ".parquet" or f.stem not in stored]
-    if years and not explicit:
-        files = [f for f in files if not re.fullmatch(r"20[0-9]{2}", f.stem) or years[0] <= int(f.stem) <= years[1]]
-    if not files:
-        raise FileNotFoundError("no file overlaps the date window")
     return files
-
-
-def manifest_frame(spark: SparkSession, files: Sequence[InputFile]):
-    """One row per input file, including files that contribute no record."""
-    rows = [(f.path, f.size) for f in files]
-    return spark.createDataFrame(rows, "file string, bytes bigint").withColumn("file", F.col("file"))

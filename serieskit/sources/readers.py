@@ -10,21 +10,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from serieskit.functions.scalars import null_tokens
 from serieskit.sources.columns import bind
-from serieskit.sources.discovery import InputFile
+from serieskit.sources.discovery import CSV, InputFile
 
 
 def scan_csv_text(spark: SparkSession, paths: Sequence[str], headers: Sequence[str]) -> DataFrame:
     """CSV with every column as text; the usual missing-value words become NULL."""
     schema = T.StructType([T.StructField(h, T.StringType()) for h in headers])
-    df = spark.read.option("header", True).schema(schema).csv(list(paths))
+    df = spark.read.options(**CSV).schema(schema).csv(list(paths))
     return df.withColumns({h: null_tokens(F.col(f"`{h}`")) for h in headers})
 
 
-def scan_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with inferred types, for single files whose columns are parsed again anyway."""
-    return spark.read.option("header", True).option("inferSchema", True).csv(path)
-
-
 def scan_parquet(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return spark.read.parquet(*paths)
 

@@ -174,8 +174,15 @@ def test_silhouettes_against_numpy(spark):
         wanted[i] = (b - a) / max(a, b)
     found = {r["id"]: r["silhouette"] for r in Q.silhouette_samples(df, ["g"], ["id"]).collect()}
     assert found == pytest.approx(wanted)
-    assert Q.silhouette_samples(df, ["g"], ["id"], limit=100).where("silhouette is not null").count() == 0
-    assert 0.5 < Q.silhouette_mean(df, ["g"], "id", limit=60).first()["silhouette"] <= 1
+    blocks = {r["id"]: r["silhouette"] for r in Q.silhouette_samples(df, ["g"], ["id"], block_rows=50).collect()}
+    assert blocks == pytest.approx(wanted)
+    assert Q.silhouette_mean(df, ["g"], "id").first()["silhouette"] == pytest.approx(np.mean(list(wanted.values())))
+
+
+def test_silhouettes_of_large_groups_are_whole(spark):
+    df = spark.range(6000).select(F.lit("a").alias("g"), "id", (F.col("id") % 2).cast("int").alias("cluster"), F.array((F.col("id") % 2) * 9 + F.rand(3)).alias("x"))
+    scored = Q.silhouette_samples(df, ["g"], ["id"])
+    assert scored.count() == 6000 and scored.where("silhouette is null or silhouette < 0.5").count() == 0
 
 
 def test_single_member_cluster_scores_zero(spark):
