@@ -18,6 +18,7 @@ ignored; no rows give no blocks.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -33,66 +34,66 @@ MAGIC = "IDBLOCK1"
 FOOTER = 24
 PART_BYTES = 24 << 20
 BLOCK_BYTES = 32 << 20
-CACHE_WORDS = 400_000
+CACHE_RUNS = 700_000
 
-_SIMPLE = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]*)")
-_BLANKS = str.maketrans("\n\t\r", "   ")
+# What the tokenizer's own pattern cuts a lower-cased Latin-1 text into.
+_LETTERS, _NUMBERS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
+_RUN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\t-\r {_LETTERS}{_NUMBERS}]+")
+# Texts with these go to the library whole: its special tokens, and controls that are white space in one pattern language and not in another.
+_ODD = re.compile("<\\||[\x1c-\x1f\x85\xa0]")
 
 
 class CachedEncoder:
-    """Ids of whole texts, by the tokenizer, with the ids of words it has met kept.
+    """Ids of whole texts, by the tokenizer, with the ids of runs of letters, digits and signs it has met kept.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are those of its blank-separated
-    words. A word of letters with punctuation behind it splits again into those two runs. Two generations of words
-    bound the memory.
+    The tokenizer lower-cases, drops white space and never joins across the borders of such runs, so a text's ids are those of
+    its runs. That holds for tokenizers whose pattern is ``pattern``; texts beyond Latin-1 and all texts of other tokenizers are
+    encoded whole. Two generations of runs bound the memory.
     """
 
+    pattern = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as file:
+            made = json.load(file)
+        cuts = (made.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        kinds = [n["type"] for n in (made.get("normalizer") or {}).get("normalizers", [])]
+        self.by_runs = cuts[0].get("pattern", {}).get("Regex") == self.pattern and kinds == ["NFC", "Replace", "Lowercase"]
         self.runs: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _library(self, runs: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
 
-    def _learn(self, new: set[str]) -> None:
-        parts = {}
-        for word in new:
-            found = _SIMPLE.fullmatch(word)
-            if found is None or max(word) >= "ƀ":
-                parts[word] = (word,)
-            else:
-                core = found[1].lower()
-                parts[word] = (core, found[2]) if found[2] else (core,)
-        if len(self.runs) > CACHE_WORDS:
-            self.runs = {}
-        unknown = list({run for runs in parts.values() for run in runs if run not in self.runs})
-        self.runs.update(zip(unknown, self._library(unknown)))
-        runs = self.runs
-        for word, pieces in parts.items():
-            self.words[word] = runs[pieces[0]] if len(pieces) == 1 else runs[pieces[0]] + runs[pieces[1]]
+    def _cut(self, text: str) -> list[str] | None:
+        low = text.lower()
+        if not low.isascii():
+            try:
+                low.encode("latin-1")
+            except UnicodeEncodeError:
+                return None
+        return None if _ODD.search(low) else _RUN.findall(low)
 
     def encode(self, batch: list[str]) -> list[bytes]:
-        if len(self.words) > CACHE_WORDS:
-            self.words, self.older = {}, self.words
-        split = [text.translate(_BLANKS).split(" ") for text in batch]
-        words, older = self.words, self.older
-        new = set()
-        for text in split:
-            for word in set(text).difference(words):
-                if word in older:
-                    words[word] = older[word]
-                else:
-                    new.add(word)
-        new.discard("")
-        self._learn(new)
-        words[""] = b""
-        return [b"".join(map(words.__getitem__, text)) for text in split]
+        if not self.by_runs:
+            return self._library(batch)
+        if len(self.runs) > CACHE_RUNS:
+            self.runs, self.older = {}, self.runs
+        cut = [self._cut(text) for text in batch]
+        runs, older = self.runs, self.older
+        new = set().union(*(c for c in cut if c)).difference(runs)
+        if older:
+            runs.update((run, older[run]) for run in new if run in older)
+            new.difference_update(older)
+        unknown = list(new)
+        runs.update(zip(unknown, self._library(unknown)))
+        whole = iter(self._library([text for text, c in zip(batch, cut) if c is None]))
+        return [next(whole) if c is None else b"".join(map(runs.__getitem__, c)) for c in cut]
 
 
 _ENCODERS: dict[str, CachedEncoder] = {}
