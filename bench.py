@@ -15,7 +15,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "scan_project_parquet", "scan_manifest", "dedupe_records", "daily_median_panel", "consecutive_returns", "profile_features",
     "profile_eligibility", "regular_grid", "demand_features", "quantile_table", "clip_features", "baseline_metrics",
-    "day_block_bootstrap", "silhouette_samples", "kmeans_fit", "model_logistic", "model_additive",
+    "day_block_bootstrap", "silhouette_samples", "kmeans_fit", "kmeans_selection", "commodity_overview", "model_logistic", "model_additive",
+    "model_comparison", "backtest_metrics",
 ]
 
 

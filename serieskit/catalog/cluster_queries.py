@@ -316,11 +316,34 @@ def price_level_sensitivity(spark, sf):
     return R.price_level_sensitivity(matrix, picked, R.label_profiles(matrix, picked["models"]), WIDE)
 
 
-@query("pca_projection")
+# Repeated squaring of a covariance matrix leaves the projector on its first axis; the second comes after taking that out.
+SQL_SQUARE = """
+select commodity, c, t + 1, list_transform(b, lambda r: list_transform(r, lambda z: z / (b[1][1] + b[2][2] + b[3][3] + b[4][4] + b[5][5])))
+from (select commodity, c, t, list_transform(a, lambda r: list_transform(a, lambda s: list_dot_product(r, s))) as b from {0} where t < 45)"""
+SQL_AXIS = """
+select commodity, c, list_transform(v, lambda z: z * case when list_aggregate(v, 'max') >= -list_aggregate(v, 'min') then 1 else -1 end) as v
+from (select commodity, c, list_transform(row, lambda z: z / sqrt(list_dot_product(row, row))) as v from (
+        select commodity, c, a[list_position([a[1][1], a[2][2], a[3][3], a[4][4], a[5][5]], greatest(a[1][1], a[2][2], a[3][3], a[4][4], a[5][5]))] as row from {0} where t = 45))"""
+SQL_COVARIANCES = ", ".join("[" + ", ".join(f"covar_pop(x[{i}], x[{j}])" for j in range(1, 6)) + "]" for i in range(1, 6))
+
+
+@query("pca_projection", f"""
+with recursive e as (select label::varchar as commodity, vec_id::varchar as series_id, list_transform(embedding[1:5], lambda v: v::double) as x from embeddings),
+m as (select commodity, [{SQL_COVARIANCES}] as c from e group by 1),
+s1 as (select commodity, c, 0 as t, c as a from m union all {SQL_SQUARE.format("s1")}),
+a1 as ({SQL_AXIS.format("s1")}),
+l1 as (select *, list_dot_product(v, list_transform(c, lambda r: list_dot_product(r, v))) as l from a1),
+d as (select commodity, list_transform(c, lambda r, i: list_transform(r, lambda z, j: z - l * v[i] * v[j])) as c from l1),
+s2 as (select commodity, c, 0 as t, c as a from d union all {SQL_SQUARE.format("s2")}),
+a2 as ({SQL_AXIS.format("s2")}),
+l2 as (select *, list_dot_product(v, list_transform(c, lambda r: list_dot_product(r, v))) as l from a2)
+select commodity, series_id, round(list_dot_product(x, l1.v), 6) as PC1, round(list_dot_product(x, l2.v), 6) as PC2,
+       round((l1.l + l2.l) / (l1.c[1][1] + l1.c[2][2] + l1.c[3][3] + l1.c[4][4] + l1.c[5][5]), 6) as explained_share
+from e join l1 using (commodity) join l2 using (commodity)""")
 def pca_projection(spark, sf):
-    _, matrix = wide_matrix(spark, sf)
-    points, share = R.projection(matrix, V.KINDS[0])
-    return points.withColumn("explained_share", F.lit(share))
+    """Vectors as profiles, their label as commodity."""
+    rows = given(spark, sf).select(F.col("cluster").cast("string").alias("commodity"), F.col("vec_id").cast("string").alias("series_id"), F.slice("x", 1, 5).alias("x"))
+    return rounded(R.projection(rows))
 
 
 @query("representative_history")

@@ -9,11 +9,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from serieskit.config import BASE_FEATURES, SPREAD_FEATURE, SPREAD_MISSING_LIMIT
 from serieskit.operators.ordered import exact_quantiles
+from serieskit.session import materialize
+
+
+# A parameter table up to this many rows goes through the driver; a larger one is stored instead.
+SETTLED_ROWS = 50_000
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """A parameter table (groups x features rows) as a local relation, computed once."""
-    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+    """A parameter table (groups x features rows) computed once: a local relation, or a stored table if it is large."""
+    rows = df.limit(SETTLED_ROWS + 1).collect()
+    return df.sparkSession.createDataFrame(rows, df.schema) if len(rows) <= SETTLED_ROWS else materialize(df)
 
 
 def long_form(df: DataFrame, features: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -88,26 +94,60 @@ def use_spread(profiles: DataFrame, by: Sequence[str]) -> DataFrame:
     return shares.withColumn("uses_spread", F.col("missing_fraction") <= SPREAD_MISSING_LIMIT)
 
 
-def feature_matrix(profiles: DataFrame, by: Sequence[str], q: float, bounds: DataFrame | None = None) -> DataFrame:
+FEATURES = (*BASE_FEATURES, SPREAD_FEATURE)
+
+
+def _work_columns(profiles: DataFrame, used: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Copies of the features as ``_w_<feature>``; the spread is 0 for groups that do not use it."""
+    frame = profiles.join(used.select(*by, "uses_spread"), list(by), "left")
+    spread = F.when(F.col("uses_spread"), F.col(SPREAD_FEATURE)).otherwise(F.lit(0.0))
+    return frame.withColumns({f"_w_{f}": spread if f == SPREAD_FEATURE else F.col(f) for f in FEATURES}).drop("uses_spread")
+
+
+def fit_preparation(profiles: DataFrame, by: Sequence[str], q: float) -> DataFrame:
+    """Per group and feature: clip bounds, median to fill with, mean and deviation, and whether it is used at all."""
+    by, work = list(by), [f"_w_{f}" for f in FEATURES]
+    used = use_spread(profiles, by)
+    frame = _work_columns(profiles, used, by)
+    key = [*by, "feature"]
+    limits = None
+    if q:
+        limits = settled(clip_bounds(frame, work, q, by))
+        frame = clip(frame, limits, work, by)
+    medians = settled(exact_quantiles(long_form(frame, work, by), key, "value", {"median": 0.5}))
+    beside = frame.join(_beside(medians, by, work, ["median"]), by, "left")
+    filled = beside.withColumns({w: F.coalesce(w, f"_{w}_median") for w in work})
+    table = medians.join(moments(filled, work, by), key, "left")
+    none = F.lit(None).cast("double")
+    table = table.join(limits, key, "left") if limits is not None else table.withColumns({"lower": none, "upper": none})
+    table = table.join(used.select(*by, "uses_spread"), by, "left").withColumn("feature", F.substring("feature", 4, 1000))
+    is_used = (F.col("feature") != SPREAD_FEATURE) | F.col("uses_spread")
+    return settled(table.select(*key, "lower", "upper", "median", "mean", "deviation", is_used.alias("is_used")))
+
+
+def apply_preparation(profiles: DataFrame, fitted: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Profiles with the scaled features as ``x`` and the clip flag, by parameters fitted here or before."""
+    by = list(by)
+    beside = fitted.withColumn("is_used", F.col("is_used").cast("int"))
+    values = ["lower", "upper", "median", "mean", "deviation", "is_used"]
+    joined = profiles.join(_beside(beside, by, FEATURES, values), by, "left")
+    flag, x = F.lit(False), []
+    for f in FEATURES:
+        low, high, median, mean, width, used = (F.col(f"_{f}_{v}") for v in values)
+        raw = F.when(used == 1, F.col(f)).otherwise(F.lit(0.0))
+        flag = flag | F.coalesce((raw < low) | (raw > high), F.lit(False))
+        held = F.coalesce(F.when(raw < low, low).when(raw > high, high).otherwise(raw), median)
+        x.append(F.coalesce(scaled_value(held, mean, width), F.lit(0.0)))
+    return joined.select(*profiles.columns, flag.alias("profile_was_clipped"), F.array(*x).alias("x"))
+
+
+def feature_matrix(profiles: DataFrame, by: Sequence[str], q: float, fitted: DataFrame | None = None) -> DataFrame:
     """Profiles with the scaled features as ``x`` and the clip flag.
 
     Where the spread is missing too often its component is 0 for the whole group, which
     leaves all distances as if it were absent.
     """
-    features = [*BASE_FEATURES, SPREAD_FEATURE]
-    used = use_spread(profiles, by)
-    work = [f"_w_{f}" for f in features]
-    frame = profiles.join(used, list(by), "left")
-    spread = F.when(F.col("uses_spread"), F.col(SPREAD_FEATURE)).otherwise(F.lit(0.0))
-    frame = frame.withColumns({w: spread if f == SPREAD_FEATURE else F.col(f) for f, w in zip(features, work)})
-    if q:
-        limits = settled(clip_bounds(frame, work, q, by)) if bounds is None else bounds
-        frame = clip(frame, limits, work, by)
-    else:
-        frame = frame.withColumn("profile_was_clipped", F.lit(False))
-    scaled = standardize(impute_median(frame, work, by), work, by)
-    filled = F.array(*[F.coalesce(w, F.lit(0.0)) for w in work])
-    return scaled.withColumn("x", filled).drop(*work, "uses_spread", "missing_fraction")
+    return apply_preparation(profiles, fit_preparation(profiles, by, q) if fitted is None else fitted, by)
 
 
 def bin_borders(df: DataFrame, features: Sequence[str], bins: int, by: Sequence[str] = ()) -> DataFrame:

@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from math import ceil
 
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from serieskit import config as C
 from serieskit.operators import clean, cluster as K, cluster_metrics as Q, panel, prep, profiles as P
-from serieskit.operators.ordered import exact_quantiles
 from serieskit.operators.sampling import hash_sample
 from serieskit.session import materialize
 from serieskit.sources import sinks
@@ -213,17 +211,38 @@ def price_level_sensitivity(matrix: DataFrame, picked: dict, labelled: DataFrame
     return table.select("commodity", F.lit("include log mean price").alias("check"), "iteration_limit_reached", "ARI_vs_main")
 
 
-def projection(matrix: DataFrame, commodity: str) -> tuple[DataFrame, float]:
-    """Two display coordinates of one commodity's profiles and the share of variance they explain."""
-    rows = matrix.where(F.col("commodity") == commodity).withColumn("v", array_to_vector("x"))
-    model = PCA(k=2, inputCol="v", outputCol="p").fit(rows)
-    loadings = model.pc.toArray()
-    signs = [1.0 if loadings[abs(loadings[:, i]).argmax(), i] >= 0 else -1.0 for i in range(2)]
-    point = vector_to_array("p")
-    out = model.transform(rows).select(
-        "commodity", IDENT, (point[0] * signs[0]).alias("PC1"), (point[1] * signs[1]).alias("PC2")
-    )
-    return out, float(sum(model.explainedVariance.toArray()))
+def projection(matrix: DataFrame) -> DataFrame:
+    """Two display coordinates of every profile and the share of its commodity's variance they explain.
+
+    Covariances come from one grouped aggregation; the driver turns one small square matrix per commodity.
+    """
+    dims = range(len(prep.FEATURES))
+    x = F.col("x")
+    sums = matrix.groupBy(*BY).agg(*[F.covar_pop(x[i], x[j]).alias(f"c{i}_{j}") for i in dims for j in dims if i <= j]).collect()
+    rows = []
+    for r in sums:
+        values, vectors = np.linalg.eigh(np.array([[r[f"c{min(i, j)}_{max(i, j)}"] or 0.0 for j in dims] for i in dims]))
+        main = vectors[:, ::-1][:, :2]
+        main = main * np.where(main[np.abs(main).argmax(axis=0), [0, 1]] >= 0, 1.0, -1.0)
+        rows.append((r["commodity"], main[:, 0].tolist(), main[:, 1].tolist(), float(values[-2:].sum() / values.sum()) if values.sum() > 0 else None))
+    loadings = matrix.sparkSession.createDataFrame(rows, "commodity string, _first array<double>, _second array<double>, explained_share double")
+
+    def along(axis: str):
+        return F.aggregate(F.zip_with("x", axis, lambda a, b: a * b), F.lit(0.0), lambda t, v: t + v)
+
+    # One row per commodity.
+    return matrix.join(F.broadcast(loadings), BY).select(*BY, IDENT, along("_first").alias("PC1"), along("_second").alias("PC2"), "explained_share")
+
+
+def label_new(profiles: DataFrame, model: dict[str, DataFrame]) -> DataFrame:
+    """Groups of profiles by a saved model (see ``load_model``): nearest centre after the model's own preparation."""
+    matrix = prep.apply_preparation(profiles, model["preparation"], BY)
+    return K.assign(matrix, model["centers"], BY).join(F.broadcast(model["groups"]), [*BY, "cluster"], "left")
+
+
+def load_model(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """Preparation, centres and group names that ``run_price`` has saved under ``path``."""
+    return {name: spark.read.parquet(f"{path}/{name}") for name in ("preparation", "centers", "groups")}
 
 
 def representative_history(daily: DataFrame, members: DataFrame) -> DataFrame:
@@ -236,8 +255,9 @@ def analyze(daily: DataFrame, cfg: C.PriceConfig) -> dict[str, DataFrame]:
     """All group tables of the requested commodities; works on any daily panel."""
     eligible, excluded, counts = eligible_profiles(daily.where(F.col("commodity").isin(*cfg.commodities)), cfg)
     profiles = eligible.where(F.col("commodity").isin(*cfg.commodities))
-    limits = prep.settled(prep.clip_bounds(profiles, [*C.BASE_FEATURES, C.SPREAD_FEATURE], cfg.clip_quantile, BY))
-    matrix = materialize(prep.feature_matrix(profiles, BY, cfg.clip_quantile))
+    fitted = prep.fit_preparation(profiles, BY, cfg.clip_quantile)
+    used = F.broadcast(fitted.where("is_used").select(*BY, "feature"))
+    matrix = materialize(prep.apply_preparation(profiles, fitted, BY))
     picked = select_clusters(matrix, cfg)
     labelled = materialize(label_profiles(matrix, picked["models"]))
     stable = prep.settled(stability(matrix, picked, labelled, cfg))
@@ -247,7 +267,7 @@ def analyze(daily: DataFrame, cfg: C.PriceConfig) -> dict[str, DataFrame]:
         "excluded_profiles": excluded,
         "market_profiles": labelled.drop("x"),
         "cluster_selection": picked["selection"],
-        "profile_clipping_bounds": limits,
+        "profile_clipping_bounds": fitted.where("is_used").select(*BY, "feature", "lower", "upper"),
         "group_summary": Q.group_summary(labelled, BY).join(labelled.select(*BY, "cluster", "group_description").dropDuplicates(), [*BY, "cluster"]),
         "group_stability": stable,
         "clipping_sensitivity": clip_sensitivity(profiles, picked, labelled, cfg),
@@ -260,10 +280,12 @@ def analyze(daily: DataFrame, cfg: C.PriceConfig) -> dict[str, DataFrame]:
         "what_if_reporting_coverage": P.whatif_coverage(profiles),
         "representative_price_histories": representative_history(daily, members),
         "profile_separation": Q.silhouette_histogram(labelled, by=BY),
-        "cluster_feature_heatmap": Q.center_table(labelled, BY, len(C.BASE_FEATURES) + 1, [*C.BASE_FEATURES, C.SPREAD_FEATURE]),
+        "cluster_feature_heatmap": Q.center_table(labelled, BY, len(prep.FEATURES), prep.FEATURES).join(used, [*BY, "feature"], "left_semi"),
+        "profile_projection": projection(matrix),
     }
     out["commodity_overview"] = overview(daily, labelled, excluded, picked, stable, price, matrix)
     out["models"] = picked["models"]
+    out["preparation"] = fitted
     return out
 
 
@@ -315,7 +337,7 @@ def run_price(spark: SparkSession, cfg: C.PriceConfig | dict) -> dict:
     if daily.isEmpty():
         raise ValueError("no valid records in the date window")
     tables = analyze(daily, cfg)
-    models = tables.pop("models")
+    models, fitted = tables.pop("models"), tables.pop("preparation")
     tables["file_manifest"] = built["manifest"]
     tables["data_quality"] = quality(built, tables["market_profiles"], cfg)
     for name, table in tables.items():
@@ -323,9 +345,11 @@ def run_price(spark: SparkSession, cfg: C.PriceConfig | dict) -> dict:
     sinks.write_json(tables["commodity_overview"], f"{cfg.output_dir}/metrics_by_commodity")
     sinks.write_json(tables["data_quality"], f"{cfg.output_dir}/metrics")
     centers = _centers(spark, {(g,): r for g, r in models.items()}, "commodity string")
-    sinks.write_parquet(centers, f"{cfg.output_dir}/model/centers")
-    sinks.write_model(spark, {}, {"config": cfg, "features": [*C.BASE_FEATURES, C.SPREAD_FEATURE]}, f"{cfg.output_dir}/model")
+    groups = tables["market_profiles"].select(*BY, "cluster", "group_description").dropDuplicates()
+    for name, table in (("centers", centers), ("preparation", fitted), ("groups", groups)):
+        sinks.write_parquet(table, f"{cfg.output_dir}/model/{name}")
+    sinks.write_model(spark, {}, {"config": cfg, "features": prep.FEATURES}, f"{cfg.output_dir}/model")
     return {**tables, "panel": daily, "models": models}
 
 
-__all__ = ["analyze", "exact_quantiles", "panel_from_files", "panel_from_table", "run_price"]
+__all__ = ["analyze", "label_new", "load_model", "panel_from_files", "panel_from_table", "run_price"]

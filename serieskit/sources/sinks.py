@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from dataclasses import asdict, is_dataclass
 
+from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from serieskit.functions.scalars import finite
@@ -19,8 +20,14 @@ def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def in_order(df: DataFrame) -> DataFrame:
+    """Rows sorted over all files by the columns that name them: texts, dates and whole numbers, from the left."""
+    named = [name for name, kind in df.dtypes if kind in ("string", "date", "boolean", "int", "bigint") or kind.startswith("timestamp")]
+    return df.orderBy(*[F.col(f"`{name}`") for name in named]) if named else df
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    in_order(df).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -39,6 +46,11 @@ def write_model(spark: SparkSession, stages: dict, parameters: dict, path: str)
     spark.createDataFrame(row, "parameters string").coalesce(1).write.mode("overwrite").text(f"{path}/parameters")
 
 
+def read_model(path: str) -> object:
+    """A fitted stage that ``write_model`` has saved, whatever its class."""
+    return DefaultParamsReader.loadParamsInstance(path, SparkSession.getActiveSession())
+
+
 def key_values(row: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """A one-row frame as rows of (check, value), values as text."""
     columns = columns or row.columns

@@ -10,11 +10,11 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from serieskit.config import DEMAND_ALIASES, PRICE_ALIASES, DemandConfig, PriceConfig
-from serieskit.operators import grid as G
+from serieskit.config import DEMAND_ALIASES, DEMAND_OPTIONAL, PRICE_ALIASES, DemandConfig, PriceConfig
+from serieskit.operators import cluster as K, grid as G
 from serieskit.plans import demand as D, price as R
 from serieskit.sources import discovery, readers, sinks
-from serieskit.sources.columns import find_column, plain
+from serieskit.sources.columns import find_column, plain, resolve
 
 COLUMNS = ["State Name", "District", "Market_Name", "Commodity", "Price Date", "Modal Price", "Min Price", "Max Price", "Variety", "Grade"]
 
@@ -114,7 +114,40 @@ def test_price_run(spark, tmp_path):
     checks = {r["check"]: r["value"] for r in out["data_quality"].collect()}
     assert checks["raw_rows_scanned_once"] == str(2 * 14 * 240)
     assert spark.read.option("header", True).csv(str(tmp_path / "out" / "group_stability")).count() == 2 * (5 + 2)
-    assert (tmp_path / "out" / "model" / "centers").exists()
+    model = R.load_model(spark, str(tmp_path / "out" / "model"))
+    given = out["market_profiles"]
+    again = R.label_new(given.drop("cluster", "distance", "silhouette", "weak_separation", "group_description", "profile_was_clipped"), model)
+    both = again.select("series_id", F.col("cluster").alias("c"), F.col("group_description").alias("g")).join(given, "series_id")
+    assert both.where("c = cluster and g = group_description").count() == given.count() == 28
+    assert out["profile_projection"].where("explained_share between 0 and 1").groupBy("commodity").count().count() == 2
+    parts = [pd.read_csv(f) for f in sorted((tmp_path / "out" / "market_profiles").glob("part-*.csv"))]
+    written = pd.concat([f for f in parts if len(f)])[["commodity", "cluster", "series_id"]].to_numpy().tolist()
+    assert len(written) == 28 and written == sorted(written)
+
+
+def test_quoted_cells_and_awkward_names(spark, tmp_path):
+    folder = tmp_path / "in put+1"
+    folder.mkdir()
+    head = ",".join(COLUMNS)
+    (folder / "my prices.csv").write_text(f'{head}\nA,"D ""x"", y",M,Onion,02/01/2022 10:00,"1,000",900,"1,100",V,F\nA,D,M,Onion,soon,1,1,1,V,F\n')
+    (folder / "plain.csv").write_text(f"{head}\nA,D,M,Onion,3 February 2022,500,400,600,V,F\n")
+    cfg = PriceConfig(input_root=str(folder), commodities=("Onion",), start_date="2022-01-01", end_date="2022-12-31")
+    built = R.panel_from_files(spark, cfg)
+    rows = {r["source_file"].rsplit("/", 1)[-1]: r for r in built["manifest"].collect()}
+    assert (rows["my prices.csv"]["raw_rows_scanned"], rows["my prices.csv"]["valid_rows"], rows["my prices.csv"]["unreadable_date_rows"]) == (2, 1, 1)
+    assert rows["plain.csv"]["valid_rows"] == 1
+    assert {(r["district"], r["price"], str(r["date"])) for r in built["panel"].collect()} == {('d "x", y', 1000.0, "2022-01-02"), ("d", 500.0, "2022-02-03")}
+
+
+@pytest.mark.parametrize("repeats", [0, 70])
+def test_resamples_have_their_exact_size(spark, repeats):
+    matrix = spark.range(40).select(F.lit("a").alias("commodity"), F.col("id").cast("string").alias("series_id"), F.array(F.col("id") * 1.0).alias("x"))
+    if not repeats:
+        assert K.words_for(0) == 1
+        return
+    mask = R._resample_mask(matrix, {"a": 40}, {"a": 2}, repeats).collect()
+    sizes = [sum((r["mask"][i // K.WORD_BITS] >> (i % K.WORD_BITS)) & 1 for r in mask) for i in range(repeats)]
+    assert sizes == [32] * repeats
 
 
 def test_price_run_refuses_missing_commodity(spark, tmp_path):
@@ -138,6 +171,10 @@ def test_demand_run(spark, tmp_path):
     holidays = spark.createDataFrame([(datetime(2022, 1, 26).date(),)], "date date")
     cfg = DemandConfig(input_root=str(tmp_path), output_dir=str(tmp_path / "out"), additive_iterations=20, max_bins=16, min_examples=5000, bootstrap_repeats=20, min_bootstrap_days=3, logistic_iterations=100)
     out = D.run_demand(spark, replace(cfg, rolling_backtests=True), holidays)
+    assert str(out["labelled"].agg(F.min("timestamp")).first()[0])[14:16] in {f"{m:02d}" for m in range(0, 60, 5)}
+    raw = D.read_input(spark, cfg)
+    typed = G.read_demand(resolve(raw, DEMAND_ALIASES, DEMAND_OPTIONAL), cfg)
+    assert str(typed.agg(F.min("timestamp")).first()[0]) == "2022-01-01 00:00:00"
     test = {r["model"]: r for r in out["tables"]["model_comparison_test"].collect()}
     assert len(test) == 7
     for name in ("Additive model", "Logistic Regression: weather enhanced", "Shallow Decision Tree"):
