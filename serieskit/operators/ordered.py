@@ -1,27 +1,40 @@
 """Order statistics and running sums without a single-task window.
 
-Rows are put into up to ``2 ** levels`` value ranges of about equal size. The per-range
-sums are few, so their prefix sums are cheap; the exact order is then settled inside each
-range, one task per range. Results do not depend on where the range borders fall.
+Rows are put into ``2 ** levels`` value ranges of about equal size; their number follows the
+rows. The per-range sums are few, so their prefix sums are cheap; the exact order is then settled inside each
+range, one task per range. Results do not depend on where the range borders fall. Input without a
+known range is stored once, since it is counted, sketched, summed and joined.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-LEVELS = 10
+from serieskit.session import materialize
+
+# Rows of one range that a task orders, and the most halvings (borders come from one sketch).
+RANGE_ROWS = 100_000
+MOST_LEVELS = 15
 _RANGE = "_range"
 
 
-def with_range(df: DataFrame, order: str, levels: int = LEVELS, range_of: Column | None = None) -> DataFrame:
+def levels_for(rows: int) -> int:
+    return min(MOST_LEVELS, max(0, ceil(log2(max(1, rows) / RANGE_ROWS))))
+
+
+def with_range(df: DataFrame, order: str, levels: int | None = None, range_of: Column | None = None) -> DataFrame:
     """Add the number of the value range of ``order``, found by halving over sketched borders.
 
     ``range_of`` gives the range directly where an even, order-keeping one is known.
     """
     if range_of is not None:
         return df.withColumn(_RANGE, range_of)
+    levels = levels_for(df.count()) if levels is None else levels
+    if not levels:
+        return df.withColumn(_RANGE, F.lit(0))
     count = 2**levels
     probabilities = F.array(*[F.lit(i / count) for i in range(1, count)])
     borders = df.agg(F.percentile_approx(order, probabilities, F.lit(8 * count)).alias("b")).scalar()
@@ -39,7 +52,7 @@ def running_totals(
     sums: Sequence[str],
     ties: Sequence[str] = (),
     only: Callable[[Column, Column, Column], Column] | None = None,
-    levels: int = LEVELS,
+    levels: int | None = None,
     range_of: Column | None = None,
 ) -> DataFrame:
     """Add ``<s>_before`` (sum over the rows ordered earlier) and ``<s>_total`` for each sum.
@@ -48,6 +61,7 @@ def running_totals(
     and the group total of the first column in ``sums``.
     """
     by = list(by)
+    df = materialize(df) if range_of is None else df
     ranged = with_range(df, order, levels, range_of)
     earlier = W.partitionBy(*by).orderBy(_RANGE).rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy(*by)
@@ -75,7 +89,7 @@ def values_at(
     by: Sequence[str],
     value: str,
     positions: dict[str, Callable[[Column], Column]],
-    levels: int = LEVELS,
+    levels: int | None = None,
     range_of: Column | None = None,
 ) -> DataFrame:
     """Per group the values at given 0-based sorted positions; a position is a function of the count."""
@@ -98,7 +112,7 @@ def values_at(
 
 
 def exact_quantiles(
-    df: DataFrame, by: Sequence[str], value: str, probabilities: dict[str, float], levels: int = LEVELS
+    df: DataFrame, by: Sequence[str], value: str, probabilities: dict[str, float], levels: int | None = None
 ) -> DataFrame:
     """Exact quantiles with linear interpolation between the two neighbours."""
     positions = {}

@@ -43,7 +43,7 @@ def panel_from_files(spark: SparkSession, cfg: C.PriceConfig) -> dict[str, DataF
     listed = spark.createDataFrame([(f.path, f.size) for f in files], "source_file string, bytes bigint")
     local = F.regexp_replace(F.col("source_file"), "^file:/+", "/")
     # Rows carry their file as a URI, the listing as a plain path.
-    decoded = F.url_decode(F.regexp_replace(F.col("source_file"), r"\\+", "%2B"))
+    decoded = F.url_decode(F.regexp_replace(F.col("source_file"), r"\+", "%2B"))
     counted = out["manifest"].withColumn("source_file", decoded).withColumn("source_file", local)
     listed = listed.withColumn("source_file", local)
     stray = counted.join(listed, "source_file", "left_anti").select("source_file").take(1)
