@@ -2,15 +2,15 @@
 
 A vector is a document whose terms are its dimensions; a query term's weight is the query's
 component. Rows are dealt to shards; a shard keeps one posting list per dimension with its
-largest and smallest value, which bound what a term can add. Per query the terms are
-ordered by their bound's reach. The essential terms are traversed; once the terms left
-cannot lift a row over the k-th best score known, that row is dropped, and the rest is probed term group by term group
-only while a row is still competitive. Shards return their best k rows, which are merged.
+largest and smallest value, which bound what a term can add to a query's score. The terms that reach furthest are
+essential and their lists are traversed, for some queries at a time, until the terms left can lift only a few rows over the
+k-th best score that is certain by then. Those terms are looked up for the competitive rows alone, and rows that
+fall behind are dropped on the way. Shards return their best k rows, which are merged.
 
 Defined cases: vectors that are null or hold null or non-finite components take no part, nor
 do rows with a null id; shorter vectors are filled up with zeros; rows that repeat an id are candidates each, are never their own
 query's candidates, and one query is made of every distinct vector of an id; ties go to the smaller id;
-other columns are ignored; no rows or no queries give no rows.
+other columns are ignored; a score beyond 64 bits is an error; no rows or no queries give no rows.
 """
 
 from __future__ import annotations
@@ -21,7 +21,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 SHARD_ROWS = 8192
 QUERY_ROWS = 1024
-STEP = 8
+# Terms looked at before rows are judged anew, and queries that share a traversal.
+STEP = 16
+TOGETHER = 64
+# Share of rows that are still competitive from which on terms are looked up row by row.
+FEW = 0.05
 EXACT = 2**52
 
 RESULT = "query_id long, query_key long, vec_id long, score long"
@@ -47,45 +51,51 @@ class Shard:
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.rows = ids[order], rows[order]
-        self.high, self.low = self.rows.max(axis=0), self.rows.min(axis=0)
-        reach = int(np.abs(self.rows).max(initial=0))
-        self.reach = reach
+        self.high, self.low = self.rows.max(axis=0, initial=0), self.rows.min(axis=0, initial=0)
+        self.reach = int(np.abs(self.rows).max(initial=0))
         self.lists = np.ascontiguousarray(self.rows.T.astype(np.float64))
 
-    def top(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the best k rows, exact."""
-        if self.reach * int(np.abs(query).max(initial=0)) * max(1, len(query)) >= EXACT:
-            scores = (self.rows.astype(object) @ query.astype(object)).astype(np.int64)
-            return self._best(np.flatnonzero(self.ids != query_id), scores[self.ids != query_id], k)
-        q = query.astype(np.float64)
-        bounds = np.maximum(q * self.high, q * self.low)
-        order = np.argsort(-np.maximum(np.abs(q * self.high), np.abs(q * self.low)), kind="stable")
-        # left[i]: the most that the terms from the i-th on can add.
-        left = np.concatenate([np.cumsum(bounds[order][::-1])[::-1], [0.0]])
-        alive = np.flatnonzero(self.ids != query_id)
-        if not len(alive):
-            return self.ids[:0], np.zeros(0, np.int64)
-        first = min(len(order), 2 * STEP)
-        partial = q[order[:first]] @ self.lists[order[:first]]
-        partial = partial[alive]
-        # The first threshold: whole scores of the rows that lead on the essential terms.
-        lead = alive[np.argpartition(-partial, k - 1)[:k]] if len(alive) > k else alive
-        known = self.rows[lead] @ query
-        bar = float(known.min()) if len(lead) >= k else -np.inf
-        at = first
-        while True:
-            keep = partial + left[at] >= bar
-            alive, partial = alive[keep], partial[keep]
-            if at >= len(order):
-                break
+    def top(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids and scores of the best k rows of each query, exact."""
+        if self.reach * int(np.abs(queries).max(initial=0)) * max(1, queries.shape[1]) >= EXACT:
+            whole = [(self.rows.astype(object) @ q.astype(object)).astype(np.int64) for q in queries]
+            return [self._best(others, scores[others], k) for others, scores in zip((np.flatnonzero(self.ids != i) for i in query_ids), whole)]
+        q = queries.astype(np.float64)
+        most, least = np.maximum(q * self.high, q * self.low), np.minimum(q * self.high, q * self.low)
+        # Terms whose lists reach furthest for these queries come first.
+        order = np.argsort(-np.maximum(most, -least).sum(axis=0), kind="stable")
+        # What the terms from the i-th on can add and take away at most.
+        add, take = (np.concatenate([np.cumsum(x[:, order][:, ::-1], axis=1)[:, ::-1], np.zeros((len(q), 1))], axis=1) for x in (most, least))
+        own = query_ids[:, None] == self.ids[None, :]
+        partial = np.where(own, -np.inf, 0.0)
+        bar = np.full(len(q), -np.inf)
+        at, alive = 0, ~own
+        while at < len(order):
+            # Essential terms: all rows are traversed.
             terms = order[at : at + STEP]
-            partial = partial + q[terms] @ self.lists[np.ix_(terms, alive)]
+            partial += q[:, terms] @ self.lists[terms]
             at += len(terms)
-            if len(alive) > k:
-                # What the terms left take away at most gives a score that k rows reach for certain.
-                worst = np.minimum(q * self.high, q * self.low)[order[at:]].sum()
-                bar = max(bar, float(np.partition(partial, len(partial) - k)[len(partial) - k] + worst))
-        return self._best(alive, partial.astype(np.int64), k)
+            if partial.shape[1] > k:
+                # k rows reach this for certain, whatever the terms left take away.
+                kth = np.partition(partial, partial.shape[1] - k, axis=1)[:, partial.shape[1] - k]
+                bar = np.maximum(bar, kth + take[:, at])
+            alive = partial + add[:, at, None] >= np.maximum(bar, -1e300)[:, None]
+            if alive.mean() < FEW:
+                break
+        return [self._probe(np.flatnonzero(alive[i]), partial[i], q[i], order[at:], add[i, at:], take[i, at:], bar[i], k) for i in range(len(q))]
+
+    def _probe(self, rows, partial, query, terms, add, take, bar, k):
+        """Look the terms left up for the rows that are still competitive, the furthest reaching first."""
+        partial = partial[rows]
+        for at in range(0, len(terms), STEP):
+            some = terms[at : at + STEP]
+            partial = partial + self.rows[rows][:, some] @ query[some]
+            after = min(at + STEP, len(terms))
+            if len(rows) > k:
+                bar = max(bar, float(np.partition(partial, len(rows) - k)[len(rows) - k] + take[after]))
+                keep = partial + add[after] >= bar
+                rows, partial = rows[keep], partial[keep]
+        return self._best(rows, partial.astype(np.int64), k)
 
     def _best(self, rows: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         take = np.lexsort((self.ids[rows], -scores))[:k]
@@ -99,9 +109,11 @@ def _search(k: int):
         width = max(queries["terms"].map(len).max(), rows["terms"].map(len).max())
         shard = Shard(rows["vec_id"].to_numpy(), _matrix(rows["terms"], width))
         found = []
-        for query_id, key, query in zip(queries["vec_id"].tolist(), queries["query_key"].tolist(), _matrix(queries["terms"], width)):
-            ids, scores = shard.top(query_id, query, k)
-            found.append((np.full(len(ids), query_id), np.full(len(ids), key), ids, scores))
+        names, keys, terms = queries["vec_id"].to_numpy(), queries["query_key"].to_numpy(), _matrix(queries["terms"], width)
+        for at in range(0, len(names), TOGETHER):
+            part = slice(at, at + TOGETHER)
+            for query_id, key, (ids, scores) in zip(names[part], keys[part], shard.top(names[part], terms[part], k)):
+                found.append((np.full(len(ids), query_id), np.full(len(ids), key), ids, scores))
         return pd.DataFrame(dict(zip(("query_id", "query_key", "vec_id", "score"), (np.concatenate(c).astype("int64") for c in zip(*found)))))
 
     return search
