@@ -34,7 +34,8 @@ def standardize(raw: DataFrame, cfg: PriceConfig, keep: Sequence[str] = ()) -> D
 
 def judge(records: DataFrame, cfg: PriceConfig) -> DataFrame:
     """Add the step at which each record leaves, and the relative spread of sound ranges."""
-    inside = F.coalesce(F.col("date").between(F.lit(cfg.start_date).cast("date"), F.lit(cfg.end_date).cast("date")), F.lit(False))
+    between = F.col("date").between(F.lit(cfg.start_date).cast("date"), F.lit(cfg.end_date).cast("date"))
+    inside = F.coalesce(between, F.lit(False))
     missing = F.col("price").isNull() | (F.col("price") <= 0)
     for k in PLACE_KEYS:
         missing = missing | F.col(k).isNull() | (F.col(k) == "")
@@ -48,7 +49,8 @@ def judge(records: DataFrame, cfg: PriceConfig) -> DataFrame:
         .otherwise("kept")
     )
     spread = F.when(F.col("price") > 0, (F.col("maximum") - F.col("minimum")) / F.col("price"))
-    sound = F.col("commodity").isNotNull() & inside & ~missing & ~broken
+    # The window is left as plain bounds here, so that a stored date column is filtered by the scan.
+    sound = F.col("commodity").isNotNull() & between & ~missing & ~broken
     return records.withColumn("state_of_row", state).withColumn("is_sound", sound).withColumn("relative_spread", spread)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from serieskit.config import DEMAND_OPTIONAL, DemandConfig
 from serieskit.functions import scalars as S
+from serieskit.session import materialize
 from serieskit.sources.columns import dtype_of
 
 CHUNK = 4096
@@ -76,7 +77,8 @@ def regular_grid(readings: DataFrame, cfg: DemandConfig, values: list[str] | Non
     values = values or [c for c in readings.columns if c not in ("timestamp", "slot")]
     if "slot" not in readings.columns:
         readings = readings.withColumn("slot", slot_of(F.col("timestamp"), cfg.step_seconds))
-    by_slot = readings.groupBy("slot").agg(*[F.avg(v).alias(v) for v in values])
+    # Stored, since its ends are looked for before the slots meet it: the readings are then aggregated once.
+    by_slot = materialize(readings.groupBy("slot").agg(*[F.avg(v).alias(v) for v in values]))
     return _all_slots(by_slot).join(by_slot, "slot", "left")
 
 

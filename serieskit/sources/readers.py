@@ -30,15 +30,23 @@ def read_aliased(
     aliases: Mapping[str, Sequence[str]],
     optional: Sequence[str] = (),
 ) -> DataFrame:
-    """All files as one frame of text columns plus ``source_file``; each header binds on its own."""
+    """All files as one frame plus ``source_file``; each header binds on its own.
+
+    A column keeps its stored type where all files agree on it, and is text otherwise.
+    """
     groups: dict[tuple, list[str]] = defaultdict(list)
     for f in files:
         groups[(f.suffix, f.headers)].append(f.path)
-    parts = []
+    scans, kinds = [], defaultdict(set)
     for (suffix, headers), paths in groups.items():
         scan = scan_csv_text(spark, paths, headers) if suffix == ".csv" else scan_parquet(spark, paths)
         bound = bind(headers, aliases, optional)
-        columns = [F.col(f"`{h}`").cast("string").alias(name) for name, h in bound.items()]
+        scans.append((scan, bound))
+        for name, header in bound.items():
+            kinds[name].add(scan.schema[header].dataType.simpleString())
+    parts = []
+    for scan, bound in scans:
+        columns = [(F.col(f"`{h}`") if len(kinds[n]) == 1 else F.col(f"`{h}`").cast("string")).alias(n) for n, h in bound.items()]
         parts.append(scan.select(*columns, F.col("_metadata.file_path").alias("source_file")))
     return union_sources(parts)
 
