@@ -130,18 +130,22 @@ def _rotations(symbols: np.ndarray, base: np.ndarray, local: np.ndarray, size: n
     key = np.zeros(n, np.int64)
     for step in range(7):
         key = (key << 9) | symbols[b + (at + step) % m]
+    # A place's rank is the first position of the places that equal it so far; only places that share a rank are sorted on.
+    rank, open_ = np.zeros(n, np.int64), np.arange(n)
     reach, most = 7, 2 * int(m.max())
     while True:
         order = np.argsort(key)
-        run = key[order]
-        new = np.empty(n, np.int64)
-        new[0] = 0
-        np.cumsum(run[1:] != run[:-1], out=new[1:])
-        if new[-1] == n - 1 or reach > most:
-            return order + lo
-        rank = np.empty(n, np.int64)
-        rank[order] = new
-        key = rank * n + rank[b - lo + (at + reach) % m]
+        open_, key = open_[order], key[order]
+        new = np.append(True, key[1:] != key[:-1])
+        spot = np.arange(len(key))
+        first = np.maximum.accumulate(np.where(new, spot, 0))
+        was = rank[open_]
+        shared = np.maximum.accumulate(np.where(np.append(True, was[1:] != was[:-1]), spot, 0))
+        rank[open_] = was + first - shared
+        open_ = open_[~(new & np.append(new[1:], True))]
+        if not len(open_) or reach > most:
+            return np.argsort(rank, kind="stable") + lo
+        key = rank[open_] * n + rank[b[open_] - lo + (at[open_] + reach) % m[open_]]
         reach *= 2
 
 
@@ -172,9 +176,10 @@ def repeated_windows(bodies: list[bytes], window: int = WINDOW, shards: int = SH
     row_of = np.empty(total, np.int64)
     row_of[suffixes] = np.arange(total)
     onward = row_of[base + (local - take) % size][suffixes]
-    # The interleave: rows of all shards in merged order, with the number of the interval of equal prefixes each is in. An
-    # interval of one row stays one for good and is left out.
-    rows, interval, count = np.arange(total), np.zeros(total, np.int64), 1
+    # The interleave: rows of all shards in merged order, with the number of the interval of equal prefixes each is in. Only
+    # places with a whole window before them are of use. An interval of one row stays one for good and is left out.
+    rows = row_of[np.flatnonzero(local >= window)]
+    interval, count = np.zeros(len(rows), np.int64), 1
     for _ in range(window // take):
         key = transforms[rows] * count + interval
         order = np.argsort(key)
@@ -185,8 +190,7 @@ def repeated_windows(bodies: list[bytes], window: int = WINDOW, shards: int = SH
         if not len(rows):
             break
         count = int(interval[-1]) + 1
-    again = suffixes[rows]
-    again = np.sort(again[local[again] + window < size[again]])
+    again = np.sort(suffixes[rows])
     borders = np.searchsorted(again, np.append(firsts, total))
     return [again[a:b] - f for a, b, f in zip(borders[:-1].tolist(), borders[1:].tolist(), firsts.tolist())]
 
@@ -299,7 +303,9 @@ def _settled(pieces: DataFrame, granules: tuple[int, ...]) -> list[DataFrame]:
     counted = finer.join(total, ["key", "body_hash"])
     whole = counted.where("total > 1 and copies = 1").select("doc_id", "row_id", F.col("start").alias("first"), (F.col("start") + F.col("windows")).alias("last"))
     open_ = total.groupBy("key").agg(F.count("*").alias("n"), F.min("total").alias("least")).where("n > 1 and least = 1").select("key")
-    rest = stored(counted.join(open_, "key", "left_semi").withColumn("copies", F.col("total")).select(*PIECE_NAMES), "pieces")
+    # Of a piece that occurs several times one row is enough to compare others with.
+    compared = counted.join(open_, "key", "left_semi").withColumn("copies", F.col("total")).select(*PIECE_NAMES)
+    rest = stored(compared.where("copies = 1").union(compared.where("copies > 1").dropDuplicates(["key", "body_hash"])), "pieces")
     return [_compared(pieces.join(hot, "key", "left_anti")), whole, *_settled(rest, granules[1:])]
 
 
