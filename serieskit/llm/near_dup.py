@@ -6,8 +6,9 @@ similarity s meet in some table with probability (1 - (1 - s**HALF_ROWS)**HALVES
 
 Texts with equal word sequences are one class from the start. Documents that share a key are compared on
 their full sets: all members of a key with its smallest member first, then, where a key's members are still in
-different groups, with the next ones, until every pair of members is compared or in one group. So a key with many copies
-costs one comparison each, and no link between members of a key is lost. Groups are the smallest id reachable.
+different groups, with more and more other members, until every pair of members is compared, in one group, or too different in
+size or in a sketch of the minima (which a linked pair fails with a chance of about one in 10**8). So a key with many
+copies costs one comparison each, and no link between members of a key is lost. Groups are the smallest id reachable.
 
 Defined cases: a null or empty text, or one of white space, has an empty set, is linked with
 nothing and stays; with fewer words than a shingle has, the whole sequence is one shingle; rows that share a doc_id
@@ -27,25 +28,46 @@ from serieskit.llm.hashing import chunks, mixed, multipliers, shingles
 
 HALVES = 12
 HALF_ROWS = 3
-# Comparisons that are still open are made at once if they are at most so many times the documents that take part.
+# Comparisons that are still open are made at once if they are at most so many times the documents.
 AT_ONCE = 4
+# Bits kept of every minimum, for a first look at two documents of a key.
+SKETCH_BITS = 4
+# Pivots of a key in one round, at most; rounds begin with one and double it.
+MOST_PIVOTS = 64
 
 
-def half_keys(grams: np.ndarray, borders: np.ndarray, halves: int, rows: int) -> np.ndarray:
-    """Both collections of half keys (2 * halves columns) of every text with a set."""
+def half_keys(grams: np.ndarray, borders: np.ndarray, halves: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Both collections of half keys (2 * halves columns) of every text with a set, and ``SKETCH_BITS`` of each minimum, packed."""
     full = np.flatnonzero(np.diff(borders))
     factors = multipliers(2 * halves * rows, 17)
     out = np.zeros((len(borders) - 1, 2 * halves), np.uint64)
+    sketch = np.zeros((len(borders) - 1, sketch_words(halves, rows)), np.uint64)
     if not len(full):
-        return out
-    starts = borders[:-1][full]
+        return out, sketch
+    starts, at = borders[:-1][full], 0
     for half in range(2 * halves):
         key = np.full(len(full), half, np.uint64)
         for row in range(rows):
             least = np.minimum.reduceat(grams * factors[half * rows + row], starts)
             key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + least)
+            sketch[full, at // (64 // SKETCH_BITS)] |= (mixed(least) >> np.uint64(64 - SKETCH_BITS)) << np.uint64(at % (64 // SKETCH_BITS) * SKETCH_BITS)
+            at += 1
         out[full, half] = key
-    return out
+    return out, sketch
+
+
+def sketch_words(halves: int, rows: int) -> int:
+    return -(-2 * halves * rows * SKETCH_BITS // 64)
+
+
+def most_apart(halves: int, rows: int, percent: int) -> int:
+    """Sketch bits in which two sets of the asked similarity differ at most, but for chances of about one in 10**8.
+
+    A minimum differs with the chance that the sets' dissimilarity gives, and then in half of its bits.
+    """
+    n, p, half = 2 * halves * rows, 1 - percent / 100, SKETCH_BITS / 2
+    spread = n * (p * (half / 2 + half**2) - (p * half) ** 2)
+    return int(n * p * half + 6 * spread**0.5)
 
 
 def _sign(words: int, halves: int, rows: int):
@@ -55,11 +77,11 @@ def _sign(words: int, halves: int, rows: int):
             for first, part in chunks(whole):
                 grams, borders, one, two = shingles(part, words)
                 sizes = np.array([len(np.unique(grams[a:b])) for a, b in zip(borders[:-1], borders[1:])], np.int64)
-                keys = half_keys(grams, borders, halves, rows).view(np.int64)
+                keys, sketch = (x.view(np.int64) for x in half_keys(grams, borders, halves, rows))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * (2 * halves)), pa.array(keys.ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, len(part)), pa.array(sizes), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), lists],
-                    ["doc_id", "n_shingles", "whole_a", "whole_b", "halves"],
+                    [batch.column("doc_id").slice(first, len(part)), pa.array(sizes), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), lists, *(pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(sketch.shape[1]))],
+                    ["doc_id", "n_shingles", "whole_a", "whole_b", "halves", *(f"sketch{i}" for i in range(sketch.shape[1]))],
                 )
 
     return run
@@ -67,7 +89,7 @@ def _sign(words: int, halves: int, rows: int):
 
 def signatures(docs: DataFrame, words: int, halves: int = HALVES, rows: int = HALF_ROWS) -> DataFrame:
     """doc_id, set size, two hashes of the word sequence and the half keys of every row."""
-    schema = "doc_id long, n_shingles long, whole_a long, whole_b long, halves array<long>"
+    schema = "doc_id long, n_shingles long, whole_a long, whole_b long, halves array<long>" + "".join(f", sketch{i} long" for i in range(sketch_words(halves, rows)))
     return texts(docs).mapInArrow(_sign(words, halves, rows), schema)
 
 
@@ -134,8 +156,9 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, halves: int = HALVES, rows: int = HALF_ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs``."""
     small_batches(docs.sparkSession)
+    sketch = [f"sketch{i}" for i in range(sketch_words(halves, rows))]
     signed = stored(signatures(docs, words, halves, rows), "signatures")
-    classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy("whole_a", "whole_b").agg(F.min("doc_id").alias("node"), F.first("halves").alias("halves"))
+    classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy("whole_a", "whole_b").agg(F.min("doc_id").alias("node"), F.first("halves").alias("halves"), F.first("n_shingles").alias("size"), *[F.first(c).alias(c) for c in sketch])
     classes = stored(classes, "classes")
     keys = table_keys(classes, halves)
     shared = stored(keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("members")).where("members > 1"), "shared-keys")
@@ -150,33 +173,40 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, halves:
     links = stored(confirmed(tested, bodies, words, percent), "links")
     groups = components(links)
     open_ = members.select("key", "node")
+    documents, pivots = signed.count(), 1
+    facts = classes.groupBy("node").agg(F.min("size").alias("least_size"), F.max("size").alias("most_size"), F.count("*").alias("texts"), *[F.first(c).alias(c) for c in sketch])
+    # Two documents that differ too much in size, or in their sketches, are not linked; ids with several texts are always compared.
+    apart = sum((F.bit_count(F.col(f"l.{c}").bitwiseXOR(F.col(f"r.{c}"))) for c in sketch[1:]), F.bit_count(F.col(f"l.{sketch[0]}").bitwiseXOR(F.col(f"r.{sketch[0]}"))))
+    alike = (F.col("l.texts") > 1) | (F.col("r.texts") > 1) | (apart <= most_apart(halves, rows, percent))
+    fits = (100 * F.col("l.most_size") >= percent * F.col("r.least_size")) & (100 * F.col("r.most_size") >= percent * F.col("l.least_size"))
     while True:
-        # Members of a key without its last pivot, where they are still in different groups.
+        # Members of a key that were no pivot yet, where they are still in different groups.
         grouped = open_.join(groups, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-        state = grouped.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"), F.min("node").alias("pivot")).where("x < y")
-        open_ = stored(grouped.join(state.select("key", "n", "pivot"), "key"), "open")
-        size = open_.agg(F.count("*"), F.sum(F.col("n") - 1), F.count_distinct("node")).first()
+        heads = [F.min_by("node", F.xxhash64("node", F.lit(i))) for i in range(pivots)]
+        state = grouped.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"), F.array_distinct(F.array(*heads)).alias("heads")).where("x < y")
+        open_ = stored(grouped.join(state.select("key", "n", "heads"), "key").join(facts, "node"), "open")
+        size = open_.agg(F.count("*"), F.sum(F.col("n") - 1)).first()
         if not size[0]:
             break
-        if size[1] <= 2 * AT_ONCE * size[2]:
-            other = open_.select("key", F.col("node").alias("b"), F.col("component").alias("other"))
-            fresh = open_.join(other, "key").where("node < b and component <> other").select(F.col("node").alias("a"), "b")
-            last = True
-        else:
-            head = groups.select(F.col("node").alias("pivot"), F.col("component").alias("head"))
-            fresh = open_.join(head, "pivot", "left").where("node > pivot and component <> coalesce(head, pivot)").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-            last = False
+        last = size[1] <= 2 * AT_ONCE * documents
+        right = open_ if last else open_.where(F.array_contains("heads", F.col("node")))
+        meets = (F.col("l.key") == F.col("r.key")) & (F.col("l.component") != F.col("r.component")) & fits & alike
+        meets = meets & (F.col("l.node") < F.col("r.node")) if last else meets
+        fresh = open_.alias("l").join(right.alias("r"), meets).select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b"))
         fresh = stored(fresh.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = stored(tested.union(fresh), "tested")
+        before, tested = tested, stored(tested.union(fresh), "tested")
+        discard(before)
         more = stored(confirmed(fresh, bodies, words, percent), "links")
         if more.limit(1).count():
             links = stored(links.union(more), "links")
             groups = components(links)
         if last:
             break
-        open_ = open_.where("node > pivot").select("key", "node")
+        open_ = open_.where(~F.array_contains("heads", F.col("node"))).select("key", "node")
+        pivots = min(2 * pivots, MOST_PIVOTS)
+    discard(members, tested, bodies)
     heads = classes.select("whole_a", "whole_b", "node").join(groups, "node", "left").select("whole_a", "whole_b", F.coalesce("component", "node").alias("component_id"))
-    out = signed.drop("halves").join(heads, ["whole_a", "whole_b"], "left")
+    out = signed.drop("halves", *sketch).join(heads, ["whole_a", "whole_b"], "left")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
     out = out.select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
