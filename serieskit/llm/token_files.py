@@ -22,6 +22,7 @@ import json
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +42,9 @@ _LETTERS, _NUMBERS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
 _RUN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\t-\r {_LETTERS}{_NUMBERS}]+")
 # Texts with these go to the library whole: its special tokens, and controls that are white space in one pattern language and not in another.
 _ODD = re.compile("<\\||[\x1c-\x1f\x85\xa0]")
+# Byte-level models see a byte as one printable sign: itself where it is one, else the next sign from 256 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
 class CachedEncoder:
@@ -67,8 +71,13 @@ class CachedEncoder:
         self.runs: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _library(self, runs: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
+    def _library(self, whole: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)]
+
+    def _model(self, run: str) -> bytes:
+        """Ids of one run by the tokenizer's model alone: its normalizer and its pattern would leave the run as it is."""
+        signs = run if run.isascii() and run.isprintable() else run.encode().decode("latin-1").translate(_BYTE_SIGNS)
+        return array(self.kind.char, [token.id for token in self.tokenizer.model.tokenize(signs)]).tobytes()
 
     def _cut(self, text: str) -> list[str] | None:
         low = text.lower()
@@ -90,8 +99,7 @@ class CachedEncoder:
         if older:
             runs.update((run, older[run]) for run in new if run in older)
             new.difference_update(older)
-        unknown = list(new)
-        runs.update(zip(unknown, self._library(unknown)))
+        runs.update((run, self._model(run)) for run in new)
         whole = iter(self._library([text for text, c in zip(batch, cut) if c is None]))
         return [next(whole) if c is None else b"".join(map(runs.__getitem__, c)) for c in cut]
 
