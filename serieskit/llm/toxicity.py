@@ -2,8 +2,8 @@
 
 Features are densities of insults (a short fixed lexicon, and words and word stems learned from labelled rows), how
 near insults stand to a second person, and rates of capitals, punctuation and obfuscated
-spelling. Labelled rows are dealt to folds by a hash of their id. Two halves teach the trees, each seen through the lexicon
-that the other half teaches; the rest, seen through the lexicon of both, teaches the calibration. So no stage is judged on rows it
+spelling. Labelled rows are dealt to folds by a hash of their id: the first teach the lexicon, the next the trees and the last the
+calibration, all seen through that one lexicon. So no stage is judged on rows it
 has learned from. Ids, language and source are never features.
 
 At most ``LABEL_ROWS`` labelled rows are used, those with the smallest hashes of their id; scoring covers every whole
@@ -38,8 +38,6 @@ LABEL_ROWS = 24_000
 LEXICON_TERMS = 500
 THRESHOLD = 0.7
 STEMS = (4, 5, 6)
-# (folds of the rows, folds that teach the lexicon they are seen through; None: all of both halves).
-FOLDS = (("(0, 1, 2, 3)", "(4, 5, 6, 7)"), ("(4, 5, 6, 7)", "(0, 1, 2, 3)"), ("(8, 9)", None))
 
 # Plain insults, and words that speak to a second person.
 INSULTS = frozenset(
@@ -181,10 +179,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_rows: int = LABEL_ROWS) -> Mod
     # Bounded by label_rows, so it may be sent to every executor.
     rows = stored(texts(docs).join(F.broadcast(drawn), "doc_id").withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(10)).cast("int")), "toxic-rows")
     share = rows.agg(F.avg("toxic")).first()[0] or 0.0
-    lexicon = learn_lexicon(rows.where("fold < 8"))
-    keep = {"toxic": "int", "fold": "int"}
-    parts = [featured(rows.where(f"fold in {own}"), lexicon if other is None else learn_lexicon(rows.where(f"fold in {other}")), keep) for own, other in FOLDS]
-    ready = stored(parts[0].union(parts[1]).union(parts[2]), "toxic-features")
+    lexicon = learn_lexicon(rows.where("fold < 4"))
+    ready = stored(featured(rows.where("fold >= 4"), lexicon, {"toxic": "int", "fold": "int"}), "toxic-features")
     trees = steps = None
     learn, check = ready.where("fold < 8"), ready.where("fold >= 8")
     if _both(learn):
