@@ -4,8 +4,8 @@ A page is cut into blocks, runs of text between block-level tags. Blocks are gat
 tag path (the tags from the root to the block). A path's ratio is its length of text outside links for each
 block, weighed with its punctuation; ratios are laid back over the page's blocks,
 smoothed with their neighbours, and fused (geometric mean) with the path's own ratio. Blocks above a share of the page's
-spread vote, with their length, for the elements that hold them; the deepest element that holds most votes is the article, and all
-its blocks are the text. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
+spread are text of the article; the deepest element that holds all of them is the article, the whole of an article or main
+element around it and never only a list, table or quote in it, and all its blocks are the text. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 comments of readers are known by tag, role and class and never vote or show.
 
 Defined cases: null, empty and text-free pages give an empty text; unclosed tags end where
@@ -53,15 +53,17 @@ _WORDS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 _POINTS = re.compile(r"[.,;:!?…。，、！？؟،]")
 
+# What an article holds but is not: lists, tables and quotes. A cell may be a column of a page laid out as a table.
+PARTS = frozenset("address blockquote caption dd details dl dt figcaption figure h1 h2 h3 h4 h5 h6 hgroup li ol p pre summary table tbody tfoot thead tr ul".split())
+
 SPREAD = 0.3
-HOLDS = 0.6
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "outside", "votes", "depth", "article")
+    __slots__ = ("tag", "parent", "outside", "depth", "article")
 
     def __init__(self, tag: str, parent: _Element | None, outside: bool):
-        self.tag, self.parent, self.outside, self.votes = tag, parent, outside, 0.0
+        self.tag, self.parent, self.outside = tag, parent, outside
         self.depth = parent.depth + 1 if parent else 0
         self.article = tag in ("article", "main") or bool(parent and parent.article)
 
@@ -193,31 +195,40 @@ def path_scores(found: list[tuple[_Element, str, int]]) -> list[float]:
     return [math.sqrt(r * s) for r, s in zip(raw, smooth)]
 
 
+def _above(found: list[tuple[_Element, str, int]]) -> list[bool]:
+    """Whether the score of a block is a share of the page's spread at least."""
+    scores = path_scores(found)
+    mean = sum(scores) / len(scores)
+    bar = min(max(scores), SPREAD * math.sqrt(sum((s - mean) ** 2 for s in scores) / len(scores)))
+    return [score >= bar for score in scores]
+
+
 def main_text(page: str | None) -> str:
     """The article of one page: blocks in page order, joined by an empty line."""
     found = blocks(page or "")
     inside = [b for b in found if b[0].article] or found
     if not inside:
         return ""
-    scores = path_scores(inside)
-    mean = sum(scores) / len(scores)
-    bar = min(max(scores), SPREAD * math.sqrt(sum((s - mean) ** 2 for s in scores) / len(scores)))
-    total, held = 0.0, []
-    for (e, text, links), score in zip(inside, scores):
-        weight = max(1, len(text) - links) if score >= bar else 0
-        total += weight
-        held.append(weight)
-    seen: dict[int, _Element] = {}
-    for (e, _, _), weight in zip(inside, held):
-        e = e.parent or e
-        while e:
-            e.votes += weight
-            seen[id(e)] = e
-            e = e.parent
-    article = max((e for e in seen.values() if e.votes >= HOLDS * total), key=lambda e: e.depth)
+    above = [b for b, high in zip(inside, _above(inside)) if high]
+    article = _article([e for e, text, links in above if len(text) > links] or [e for e, _, _ in above])
     return "\n\n".join(text for e, text, _ in inside if _under(e, article))
 
 
+def _article(held: list[_Element]) -> _Element:
+    """The deepest element around all of ``held`` that may be an article; article and main are never cut."""
+    top = held[0].parent or held[0]
+    for e in held[1:]:
+        while not _under(e, top):
+            top = top.parent
+    if top.article:
+        while top.parent.article:
+            top = top.parent
+        return top
+    while top.parent and (top.tag in PARTS or top.tag in INLINE):
+        top = top.parent
+    return top
+
+
 def _under(e: _Element | None, top: _Element) -> bool:
     while e and e is not top:
         e = e.parent

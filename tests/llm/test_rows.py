@@ -97,6 +97,26 @@ def test_main_text(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+LONG = "A long line of this article, with marks; it goes on and on, and then it ends."
+PARTS = [f"{LONG} Number {i}." for i in range(20)]
+LIST = "<ul>" + "".join(f"<li>{p}" for p in PARTS) + "</ul>"
+WHOLE = [
+    ("<article><h1>Head</h1><p>A lead.</p>" + LIST + "<p>An end.</p></article>", ["Head", "A lead.", *PARTS, "An end."]),
+    ("<main><h1>Head</h1><p>A lead.</p><table>" + "".join(f"<tr><td>{p}</td></tr>" for p in PARTS) + "</table><p>An end.</p></main>", ["Head", "A lead.", *PARTS, "An end."]),
+    ("<article><p>A lead.</p><blockquote>" + "".join(f"<p>{p}</p>" for p in PARTS) + "</blockquote><p>An end.</p></article>", ["A lead.", *PARTS, "An end."]),
+    ("<article><section>" + "".join(f"<p>{p}</p>" for p in PARTS[:14]) + "</section><section>" + "".join(f"<p>{p}</p>" for p in PARTS[14:]) + "</section></article>", PARTS),
+    ("<body><div><div>" + "".join(f"<p>{p}</p>" for p in PARTS[:14]) + "</div><div>" + "".join(f"<p>{p}</p>" for p in PARTS[14:]) + "</div></div><div><a href=1>l1</a></div>", PARTS),
+    ("<body><div><p>A lead.</p>" + LIST + "<p>An end.</p></div><div><a href=1>l1</a></div>", ["A lead.", *PARTS, "An end."]),
+    ("<body><div><p>A.</p><blockquote><p>" + LONG * 9 + "</p></blockquote><p>B.</p></div>", ["A.", LONG * 9, "B."]),
+    ("<table><tr><td><a href=1>l1</a><p><a href=2>l2</a></p></td><td>" + "".join(f"<p>{p}</p>" for p in PARTS) + "</td></tr></table>", PARTS),
+]
+
+
+@pytest.mark.parametrize("page, want", WHOLE)
+def test_article_is_whole(page, want):
+    assert html_text.main_text(page).split("\n\n") == want
+
+
 def labelled(n=900, seed=5):
     rng, rows, labels = random.Random(seed), [], []
     for i in range(n):
