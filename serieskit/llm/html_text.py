@@ -6,7 +6,9 @@ block, weighed with its punctuation; ratios are laid back over the page's blocks
 smoothed with their neighbours, and fused (geometric mean) with the path's own ratio. Blocks above a share of the page's
 spread are text of the article; the deepest element that holds all of them is the article, the whole of an article or main
 element around it and never only a list, table or quote in it, and all its blocks are the text. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-comments of readers are known by tag, role and class and never vote or show.
+comments of readers are known by tag, role and class and never vote or show. A word of a class or id alone is weak: it does not count
+in headings, article and main elements or behind a modifier (no-sidebar), and an element that it marks stays if it
+holds main, the page's articles, or most of the text above the bar; comments of readers do not vote and stay only where a page has no other text.
 
 Defined cases: null, empty and text-free pages give an empty text; unclosed tags end where
 their parent ends; text without any tag is one block; a page is one row and is never joined with another,
@@ -46,46 +48,76 @@ OUTSIDE_WORDS = frozenset(
     "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login share sharing social related recommended widget "
     "comment comments disqus replies respond pagination pager toolbar skip".split()
 )
+COMMENT_WORDS = frozenset("comment comments disqus replies respond".split())
+# What follows one of these in a class or id is a property of the element, not what it is.
+MODIFIERS = frozenset("no not non without has have with hide category tag".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _WORDS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 _POINTS = re.compile(r"[.,;:!?…。，、！？؟،]")
+_SIGNS = re.compile(r"[\W_]")
 
 # What an article holds but is not: lists, tables and quotes. A cell may be a column of a page laid out as a table.
 PARTS = frozenset("address blockquote caption dd details dl dt figcaption figure h1 h2 h3 h4 h5 h6 hgroup li ol p pre summary table tbody tfoot thead tr ul".split())
 
 SPREAD = 0.3
+# Share of the text above the bar with which an element that only a word marks stays.
+HOLDS = 0.6
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "outside", "depth", "article")
+    __slots__ = ("tag", "parent", "outside", "mark", "depth", "article")
 
-    def __init__(self, tag: str, parent: _Element | None, outside: bool):
-        self.tag, self.parent, self.outside = tag, parent, outside
+    def __init__(self, tag: str, parent: _Element | None, outside: bool, mark: str = ""):
+        self.tag, self.parent, self.outside, self.mark = tag, parent, outside, mark
         self.depth = parent.depth + 1 if parent else 0
         self.article = tag in ("article", "main") or bool(parent and parent.article)
 
 
-def _is_outside(tag: str, attributes: str, parent: _Element) -> bool:
+def _is_outside(tag: str, attributes: str, parent: _Element) -> tuple[bool, str]:
+    """Whether an element is no article by tag, role or style, and else the kind of word that marks it, if any."""
     if tag in OUTSIDE_TAGS or tag == "header" and not parent.article:
-        return True
+        return True, ""
     if not attributes or tag in ("html", "body"):
-        return False
+        return False, ""
+    mark = ""
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
         if name == "role" and value.strip() in OUTSIDE_ROLES:
-            return True
-        if name in ("class", "id") and not OUTSIDE_WORDS.isdisjoint(_WORDS.findall(value)):
-            return True
+            return True, ""
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    return False
+            return True, ""
+        if name in ("class", "id"):
+            mark = max(mark, _mark(tag, name, value, parent))
+    return False, mark
+
+
+def _mark(tag: str, name: str, value: str, parent: _Element) -> str:
+    """"a word" or "comments" if a class or id names what is no article."""
+    if OUTSIDE_WORDS.isdisjoint(_WORDS.findall(value)) or tag in HEADINGS or tag == "main":
+        return ""
+    words = set()
+    for token in value.split():
+        own = _WORDS.findall(token)
+        words.update(own[: next((i for i, w in enumerate(own) if w in MODIFIERS), len(own))])
+    if tag == "article":
+        # Only an article that is a comment, or a part of another article, can be something else.
+        e = parent
+        while e and e.tag != "article":
+            e = e.parent
+        if not e:
+            words = {w for w in value.split() if w in COMMENT_WORDS}
+    if not COMMENT_WORDS.isdisjoint(words):
+        return "comments"
+    # The id of a section of an article is the name of its heading.
+    return "" if OUTSIDE_WORDS.isdisjoint(words) or tag == "section" and name == "id" and parent.article else "a word"
 
 
 def blocks(page: str) -> list[tuple[_Element, str, int]]:
-    """(element, text, characters inside links) of every block of a page outside of what is no article, in page order."""
+    """(element, text, characters inside links) of every block of a page outside of what is no article by tag, role or style, in page order."""
     root = _Element("#", None, False)
     top, out, run, links, in_link, at = root, [], [], 0, 0, 0
 
@@ -145,7 +177,7 @@ def blocks(page: str) -> list[tuple[_Element, str, int]]:
                 close(e, stop)
         if tag in VOID:
             continue
-        outside = top.outside or _is_outside(tag, found[3], top)
+        outside, mark = (True, "") if top.outside else _is_outside(tag, found[3], top)
         if tag in FOREIGN and found[3].endswith("/"):
             continue
         if tag in RAW:
@@ -154,7 +186,7 @@ def blocks(page: str) -> list[tuple[_Element, str, int]]:
             continue
         if tag == "a":
             in_link += 1
-        top = _Element(tag, top, outside)
+        top = _Element(tag, top, outside, mark)
     flush()
     return out
 
@@ -203,14 +235,79 @@ def _above(found: list[tuple[_Element, str, int]]) -> list[bool]:
     return [score >= bar for score in scores]
 
 
+def _own(text: str, links: int) -> int:
+    """Characters outside links, less blanks and signs, which also part one link from the next."""
+    return max(0, len(text) - links - len(_SIGNS.findall(text)))
+
+
+def _unmarked(found: list[tuple[_Element, str, int]]) -> list[tuple[_Element, str, int]]:
+    """``found`` without the blocks in elements that a word marks, unless these hold what the page is about."""
+    chains = [_marked(e) for e, _, _ in found]
+    if not any(chains):
+        return found
+    weights = [_own(text, links) if high else 0 for (_, text, links), high in zip(found, _above(found))]
+    readers = [any(m.mark == "comments" for m in chain) for chain in chains]
+    if any(w for w, r in zip(weights, readers) if not r):
+        weights = [0 if r else w for w, r in zip(weights, readers)]
+    total, around, articles = sum(weights), {}, 0
+    held: dict[int, int] = {}
+    marked: dict[int, _Element] = {}
+    for chain, (e, _, _), weight in zip(chains, found, weights):
+        for m in chain:
+            marked[id(m)] = m
+            held[id(m)] = held.get(id(m), 0) + weight
+        over = _holders(e)
+        for m in over:
+            around[id(m)] = m
+        articles += weight if over else 0
+        e = _inner_main(e)
+        for m in _marked(e) if e else ():
+            m.mark = ""
+    if articles >= HOLDS * total:
+        for m in around.values():
+            m.mark = ""
+    for key, m in marked.items():
+        if held[key] and held[key] >= HOLDS * total:
+            m.mark = ""
+    left = [b for b in found if not _marked(b[0])]
+    if not total or any(_own(text, links) for _, text, links in left):
+        return left
+    return [b for b in found if not any(m.mark == "comments" for m in _marked(b[0]))] or found
+
+
+def _marked(e: _Element | None) -> list[_Element]:
+    out = []
+    while e:
+        if e.mark:
+            out.append(e)
+        e = e.parent
+    return out
+
+
+def _holders(e: _Element) -> list[_Element]:
+    """Elements that a word other than of comments marks, around the outermost article or main element around ``e``."""
+    if not e.article:
+        return []
+    while e.parent.article:
+        e = e.parent
+    out = _marked(e.parent)
+    return [] if any(m.mark == "comments" for m in out) else out
+
+
+def _inner_main(e: _Element | None) -> _Element | None:
+    while e and e.tag != "main":
+        e = e.parent
+    return e
+
+
 def main_text(page: str | None) -> str:
     """The article of one page: blocks in page order, joined by an empty line."""
-    found = blocks(page or "")
+    found = _unmarked(blocks(page or ""))
     inside = [b for b in found if b[0].article] or found
     if not inside:
         return ""
     above = [b for b, high in zip(inside, _above(inside)) if high]
-    article = _article([e for e, text, links in above if len(text) > links] or [e for e, _, _ in above])
+    article = _article([e for e, text, links in above if _own(text, links)] or [e for e, _, _ in above])
     return "\n\n".join(text for e, text, _ in inside if _under(e, article))
 
 

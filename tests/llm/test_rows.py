@@ -117,6 +117,34 @@ def test_article_is_whole(page, want):
     assert html_text.main_text(page).split("\n\n") == want
 
 
+TEXT = "".join(f"<p>{p}</p>" for p in PARTS)
+NOISE = f"<p class=promo>{LONG}</p><div id=comments><p>{LONG}</p></div><div class='left-sidebar'><p>{LONG}</p></div>"
+MARKED = [
+    ("<body><div class='content no-sidebar'>" + TEXT + "</div>" + NOISE, PARTS),
+    ("<body><div class='has-sidebar'><div>" + TEXT + "</div></div>" + NOISE, PARTS),
+    ("<body><div class=social><article class='post category-social tag-menu'>" + TEXT + NOISE + "</article></div>", PARTS),
+    ("<body><div class=page-widget><main class='with-comments related'>" + TEXT + NOISE + "</main></div>", PARTS),
+    ("<article><h2 id=related class=nav>Head</h2>" + TEXT + "<section id=notices><p>A notice.</p></section>" + NOISE + "</article>", ["Head", *PARTS, "A notice."]),
+    ("<body><div class=banner><div class=side>" + TEXT + "</div></div>" + NOISE, PARTS),
+    ("<body><div class=promo><article>" + TEXT + "</article></div><div class=promo><article><p>B.</p></article></div>" + NOISE, [*PARTS, "B."]),
+]
+
+
+@pytest.mark.parametrize("page, want", MARKED)
+def test_words_of_classes_are_weak(page, want):
+    assert html_text.main_text(page).split("\n\n") == want
+
+
+def test_words_of_classes_still_count():
+    few = "<p>" + LONG + "</p>"
+    reader = "<article class=comment>" + few + "</article>"
+    assert html_text.main_text("<article>" + few + "</article><div id=comments>" + reader * 9 + "</div>") == LONG
+    assert html_text.main_text("<article>" + TEXT + "</article><div class=related><article>" + few + "</article></div>").split("\n\n") == PARTS
+    assert html_text.main_text("<div>" + TEXT + "</div><div class=related><article>" + few + "</article></div>").split("\n\n") == PARTS
+    assert html_text.main_text("<div class=social><article>" + few + "</article></div><p>A.</p><div id=comments>" + reader * 9 + "</div>") == LONG
+    assert html_text.main_text("<div class=menu><a href=1>l1</a> <a href=2>l2</a></div>") == ""
+
+
 def labelled(n=900, seed=5):
     rng, rows, labels = random.Random(seed), [], []
     for i in range(n):
