@@ -7,7 +7,7 @@ Per language l the log posterior adds up, by Bayes' rule,
 * the likelihood of the language declared in the markup, given l;
 * the likelihood of the address suffix, given l.
 
-The trigram model is fitted on a bounded sample of texts with a known language. Everything else is counted
+The trigrams are counted over all texts with a known language, so every language that has a text with letters can be given. Everything else is counted
 over all pages by grouped aggregation, weighed by the posterior of the text alone; a page's own weight is left out of its own
 host's and domain's counts.
 
@@ -30,7 +30,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from serieskit.llm.common import small_batches, stored
 from serieskit.llm.html_text import main_text
 
-SAMPLE_ROWS = 8_000
 BUCKET_BITS = 15
 SMOOTH = 0.5
 # A text counts like at most this many independent trigrams, and half of that at as many trigrams.
@@ -67,25 +66,26 @@ class TextModel:
 
 
 def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    sums: dict[str, np.ndarray] = {}
     for batch in batches:
         for lang, rows in batch.groupby("lang"):
-            sums = np.zeros(1 << BUCKET_BITS, np.int64)
+            own = sums.setdefault(lang, np.zeros(1 << BUCKET_BITS, np.int64))
             for text in rows["text"]:
-                sums += np.bincount(trigrams(text), minlength=1 << BUCKET_BITS)
-            at = np.flatnonzero(sums)
-            yield pd.DataFrame({"lang": lang, "bucket": at, "n": sums[at]})
+                own += np.bincount(trigrams(text), minlength=1 << BUCKET_BITS)
+    for lang, own in sums.items():
+        at = np.flatnonzero(own)
+        yield pd.DataFrame({"lang": lang, "bucket": at, "n": own[at]})
 
 
-def fit_text(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> TextModel:
-    """Trigram model of the languages in ``docs`` (text, lang), from about ``sample_rows`` rows drawn by a hash of the text.
+def fit_text(docs: DataFrame) -> TextModel:
+    """Trigram model of the languages in ``docs`` (text, lang), from all its rows.
 
-    The driver gets languages times buckets numbers, however many rows there are.
+    A task gives one number for each of its languages and buckets at most, and the driver gets languages times buckets
+    numbers, however many rows there are.
     """
     small_batches(docs.sparkSession)
     known = docs.select("text", F.lower("lang").alias("lang")).where("text is not null and lang is not null and lang <> ''")
-    share = min(1.0, sample_rows / max(1, known.count()))
-    drawn = known.where(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1_000_000)) < int(share * 1_000_000))
-    sums = drawn.mapInPandas(_counts, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    sums = known.mapInPandas(_counts, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = tuple(sorted(sums["lang"].unique()))
     table = np.zeros((len(languages), 1 << BUCKET_BITS))
     for i, lang in enumerate(languages):

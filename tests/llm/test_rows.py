@@ -211,6 +211,21 @@ def test_language(spark):
     assert language.identify(table.limit(0), docs).count() == 0
 
 
+def test_text_model_counts_all_texts(spark):
+    # One text makes up a third of 30,000 rows, and one language has 3 of them.
+    texts = [("AA", "the same text again" if i % 3 == 0 else f"thaing {'ouing' * (i % 7)} {'in' * (i % 11)}") for i in range(30_000)]
+    texts += [("zz", "ción que ñ"), ("zz", "que que"), ("zz", "ñ ción"), ("yy", "1 2 3"), (None, "no language"), ("", "none"), ("aa", None)]
+    made = language.fit_text(spark.createDataFrame(texts, "lang string, text string").repartition(4))
+    assert made.languages == ("aa", "zz")
+    for lang, logs in zip(made.languages, made.logs):
+        counts = np.full(1 << language.BUCKET_BITS, language.SMOOTH)
+        for own, text in texts:
+            if own and text and own.lower() == lang:
+                counts += np.bincount(language.trigrams(text), minlength=len(counts))
+        assert np.allclose(logs, np.log(counts / counts.sum()))
+    assert made.languages[int(made.scores("que ción").argmax())] == "zz"
+
+
 @pytest.mark.parametrize("text, want", [("", 0), ("ab", 2), ("a b", 3)])
 def test_trigrams(text, want):
     assert len(language.trigrams(text)) == want
