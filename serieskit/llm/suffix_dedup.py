@@ -367,7 +367,8 @@ def _shorten(text: pd.Series, found: pd.Series) -> pd.Series:
 def _with_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     small_batches(docs.sparkSession)
     rows = texts(docs).withColumn("row_id", F.xxhash64("doc_id", "text"))
-    found = repeated_spans(rows).groupBy(F.col("doc_id").alias("_doc"), F.col("row_id").alias("_row")).agg(F.collect_list(F.struct("first", "last")).alias("found"))
+    # Repeated rows share a group, and their spans are the same: a list is bounded by one document.
+    found = repeated_spans(rows).groupBy(F.col("doc_id").alias("_doc"), F.col("row_id").alias("_row")).agg(F.collect_set(F.struct("first", "last")).alias("found"))
     return rows, found
 
 

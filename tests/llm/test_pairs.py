@@ -110,6 +110,16 @@ def test_suffix_stage_keeps_rows(spark):
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in rows.values())
 
 
+def test_spans_of_repeated_rows_come_once(spark):
+    text = prose(random.Random(9), 400)
+    rows = [(1, text)] * 40 + [(None, text)] * 40 + ROWS[:5]
+    _, found = suffix_dedup._with_spans(frame(spark, rows))
+    lists = [[tuple(w) for w in r.found] for r in found.collect()]
+    assert len(lists) == 2 and all(len(own) == len(set(own)) for own in lists)
+    got = suffix_dedup.removals(frame(spark, rows)).collect()
+    assert sorted(str(tuple(r)) for r in got) == removals_by_hand(rows)
+
+
 @pytest.mark.parametrize("shards", [1, 2, 5])
 def test_merged_transforms(shards):
     rng = random.Random(shards)
