@@ -31,7 +31,7 @@ def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return decontaminate.drop_contaminated(docs, load(spark, sf_dir, "benchmark"))
+    return decontaminate.drop_contaminated(docs, load(spark, sf_dir, "benchmark"), unnamed=True)
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -228,15 +228,15 @@ class Items:
         return out
 
 
-def _search(held):
+def _search(held, names: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = held.value
         for batch in batches:
             whole = [t.encode() for t in batch.column("text").to_pylist()]
             rows = [(first + i, *rest) for first, part in chunks(whole, SEARCH_BYTES) for i, *rest in items.search(part)]
             columns = list(zip(*rows)) if rows else [[]] * 4
-            ids = batch.column("doc_id").take(pa.array(columns[0], pa.int64()))
-            yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, pa.int64()) for c in columns[1:])], ["doc_id", "item_id", "first_word", "edits"])
+            at = pa.array(columns[0], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(n).take(at) for n in names), *(pa.array(c, pa.int64()) for c in columns[1:])], [*names, "item_id", "first_word", "edits"])
 
     return run
 
@@ -246,24 +246,36 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOC
 
     At most about ``block_items`` items are sent to the executors at once.
     """
-    spark: SparkSession = docs.sparkSession
+    return _passages(texts(docs), benchmark, block_items, ("doc_id",))
+
+
+def _passages(rows: DataFrame, benchmark: DataFrame, block_items: int, names: tuple[str, ...]) -> DataFrame:
+    spark: SparkSession = rows.sparkSession
     small_batches(spark)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null")
     parts = max(1, -(-items.count() // block_items))
-    rows = texts(docs)
-    found = None
+    found, kinds = None, ", ".join(f"{n} long" for n in names)
     for part in range(parts):
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).orderBy("item_id", "text").collect()
         held = spark.sparkContext.broadcast(Items([(r.item_id, r.text) for r in block]))
-        more = rows.mapInArrow(_search(held), "doc_id long, item_id long, first_word long, edits long")
+        more = rows.mapInArrow(_search(held, names), f"{kinds}, item_id long, first_word long, edits long")
         found = more if found is None else found.unionByName(more)
     return found
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, unnamed: bool = False) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item; columns and their order stay.
 
-    Rows with a null doc_id stay, as nothing names them.
+    A row is known by its doc_id and a hash of its text, so other rows of the same id stay. Rows with a null doc_id
+    go only with ``unnamed``.
     """
-    gone = find_passages(docs, benchmark).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    rows = texts(docs).withColumn("row_id", F.xxhash64("doc_id", "text"))
+    gone = _passages(rows, benchmark, BLOCK_ITEMS, ("doc_id", "row_id")).select(F.col("doc_id").alias("_doc"), F.col("row_id").alias("_row")).distinct()
+    if not unnamed:
+        gone = gone.where("_doc is not null")
+    names = docs.columns
+    carried = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    doc_id, text = (F.col(f"c{names.index(c)}") for c in ("doc_id", "text"))
+    key = F.xxhash64(doc_id.cast("long"), F.coalesce(text, F.lit("")))
+    left = carried.join(gone, doc_id.cast("long").eqNullSafe(F.col("_doc")) & (key == F.col("_row")), "left_anti")
+    return left.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])

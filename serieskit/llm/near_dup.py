@@ -213,6 +213,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, halves:
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each group: the rows of its smallest doc_id. Columns and their order stay."""
-    found = near_duplicates(docs, words, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(found, docs["doc_id"] == found["_gone"], "left_anti")
+    """``docs`` with one row of each group, one of its smallest doc_id. Columns and their order stay.
+
+    A row is known by its doc_id and text: texts that share an id are documents of their own, repeated rows are one, and rows
+    without an id take part too, except those without words. Such rows, and further texts of an id, get a
+    hash of 62 bits above all usual ids as their name.
+    """
+    names = docs.columns
+    carried = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    doc_id, text = F.col(f"c{names.index('doc_id')}").cast("long"), F.coalesce(F.col(f"c{names.index('text')}"), F.lit(""))
+    rows = carried.withColumn("_doc", doc_id).withColumn("_text", F.xxhash64(text))
+    several = rows.where("_doc is not null").groupBy(F.col("_doc").alias("_several")).agg(F.min("_text").alias("_least"), F.max("_text").alias("_most")).where("_least < _most")
+    rows = rows.join(stored(several, "ids-of-several-texts"), F.col("_doc") == F.col("_several"), "left")
+    made = F.shiftrightunsigned(F.xxhash64("_doc", text), 2) + F.lit(1 << 62)
+    rows = rows.withColumn("_node", F.when(F.col("_doc").isNull() | (F.col("_text") > F.col("_least")), made).otherwise(F.col("_doc")))
+    rows = rows.withColumn("_wordless", F.col("_doc").isNull() & ~text.rlike(r"[^\x20\x09-\x0d]"))
+    rows = rows.drop("_doc", "_text", "_several", "_least", "_most")
+    found = near_duplicates(rows.select(F.col("_node").alias("doc_id"), text.alias("text")), words, percent)
+    gone = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    left = rows.join(gone, F.col("_node") == F.col("_gone"), "left_anti")
+    many = rows.where("not _wordless").groupBy(F.col("_node").alias("_many")).count().where("count > 1").select("_many")
+    once = left.join(many, F.col("_node") == F.col("_many"), "left_anti")
+    first = left.join(many, F.col("_node") == F.col("_many"), "left_semi").dropDuplicates(["_node"])
+    return once.unionByName(first).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])

@@ -183,3 +183,23 @@ def test_tables_reach_recall():
         window, _ = word_hashes([" ".join(words).encode()], NOT_WORD)
         found += bool(decontaminate.candidates(window[None, :40], [item])[0])
     assert found >= 145
+
+
+def test_stages_go_by_rows(spark):
+    """Rows without an id and rows that share one are kept or dropped each for itself."""
+    rng = random.Random(12)
+    a, b, c, item = (prose(rng, 40) for _ in range(4))
+    rows = [(1, a), (1, a), (1, b), (2, a), (None, a), (None, c), (None, c), (None, ""), (None, ""), (3, None)]
+    docs = frame(spark, rows)
+    left = near_dup.drop_near_duplicates(docs)
+    assert left.columns == docs.columns
+    want = [(1, a), (1, b), (None, c), (None, ""), (None, ""), (3, None)]
+    assert sorted(str((r.doc_id, r.text)) for r in left.collect()) == sorted(map(str, want))
+    held = f"{b} {item} {c}"
+    rows = [(1, a), (1, held), (None, held), (None, a), (2, held), (3, None)]
+    benchmark = spark.createDataFrame([(7, item)], "item_id long, text string")
+    for unnamed in (False, True):
+        left = decontaminate.drop_contaminated(frame(spark, rows), benchmark, unnamed)
+        want = [(1, a), (None, a), (3, None)] + [] if unnamed else [(1, a), (None, a), (3, None), (None, held)]
+        assert sorted(str((r.doc_id, r.text)) for r in left.collect()) == sorted(map(str, want))
+        assert left.columns == docs.columns
