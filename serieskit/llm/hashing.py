@@ -1,12 +1,19 @@
-"""Vectorised hashes of words and of runs of words, for many byte texts at once. All arithmetic is modulo 2**64."""
+"""Vectorised hashes of words and of runs of words, for many byte texts at once.
+
+Arithmetic is modulo 2**64, where a polynomial has texts of equal value for every base; words and word sequences are
+therefore mixed piece by piece, each piece changing the state without a linear form.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 
 CHUNK_BYTES = 2 << 20
+# Words of more bytes are hashed one by one.
+LONG_WORD = 64
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 BASE = 0x2545F4914F6CDD1D
 
@@ -66,15 +73,22 @@ def word_hashes(texts: list[bytes], apart: np.ndarray = WHITE) -> tuple[np.ndarr
     Only A-Z are lower-cased; ``apart`` says which bytes stand between words.
     """
     joined = b"\n".join(texts).lower() + b"\n"
-    data = np.frombuffer(joined, np.uint8)
-    gap = apart[data]
+    data = np.frombuffer(joined + bytes(8), np.uint8)
+    gap = apart[data[: len(joined)]]
     edges = np.flatnonzero(np.diff(np.concatenate([[True], gap]).astype(np.int8)))
     starts, ends = edges[0::2], edges[1::2]
-    power, back = POWERS(len(data) + 1)
-    sums = np.empty(len(data) + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
-    hashes = mixed((sums[ends] - sums[starts]) * back[starts])
+    sizes = ends - starts
+    # The eight bytes from every place on, as one number.
+    eight = np.lib.stride_tricks.as_strided(data.view(np.uint8), (len(joined), 8), (1, 1))
+    hashes = mixed(sizes.astype(np.uint64) + np.uint64(BASE))
+    for done in range(0, min(LONG_WORD, int(sizes.max(initial=0))), 8):
+        some = np.flatnonzero(sizes > done) if done else slice(None)
+        piece = eight[starts[some] + done].view(np.uint64).ravel()
+        left = np.minimum(sizes[some] - done, 8).astype(np.uint64)
+        piece = piece & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * left))
+        hashes[some] = mixed(hashes[some] * np.uint64(_ODD[1]) + mixed(piece + np.uint64(_ODD[0])))
+    for i in np.flatnonzero(sizes > LONG_WORD):
+        hashes[i] = int.from_bytes(blake2b(joined[starts[i] : ends[i]], digest_size=8).digest(), "little")
     lengths = np.array([len(t) + 1 for t in texts], np.int64)
     begins = np.concatenate([[0], np.cumsum(lengths)])
     return hashes, np.searchsorted(starts, begins)
@@ -100,8 +114,8 @@ def shingles(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray, np.nda
     place = np.arange(len(words)) - np.repeat(borders[:-1], counts)
     whole = []
     for odd in _ODD[1:3]:
-        power = Powers(odd)(int(counts.max(initial=0)) + 1)[0]
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(words + np.uint64(odd)) * power[place], dtype=np.uint64)])
+        placed = mixed(words ^ mixed(place.astype(np.uint64) * np.uint64(_ODD[0]) + np.uint64(odd)))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(placed, dtype=np.uint64)])
         whole.append(mixed(sums[borders[1:]] - sums[borders[:-1]] + counts.astype(np.uint64)))
     left = np.repeat(borders[1:], counts) - np.arange(len(words))
     keep = left >= k

@@ -203,3 +203,13 @@ def test_stages_go_by_rows(spark):
         want = [(1, a), (None, a), (3, None)] + [] if unnamed else [(1, a), (None, a), (3, None), (None, held)]
         assert sorted(str((r.doc_id, r.text)) for r in left.collect()) == sorted(map(str, want))
         assert left.columns == docs.columns
+
+
+def test_words_of_equal_polynomials_stay_apart(spark):
+    """Two words, and two word sequences, that every polynomial modulo 2**64 takes for equal."""
+    parity = [bin(i).count("1") & 1 for i in range(2048)]
+    rows = [(1, "".join("ab"[p] for p in parity[:1024])), (2, "".join("ba"[p] for p in parity[:1024]))]
+    rows += [(3, " ".join(("cat", "dog")[p] for p in parity)), (4, " ".join(("dog", "cat")[p] for p in parity) + " end")]
+    got = near_dup.near_duplicates(frame(spark, rows), words=3).collect()
+    assert sorted(str(tuple(r)) for r in got) == near_by_hand(rows, 3)
+    assert {r.doc_id: r.component_id for r in got if r.doc_id < 3} == {1: 1, 2: 2}
