@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from serieskit.llm import decontaminate, html_text, language, max_score, near_dup, pieces, suffix_dedup, token_files, toxicity, warc
+from serieskit.llm import decontaminate, html_text, jaccard_join, language, max_score, near_dup, pieces, suffix_dedup, token_files, toxicity, warc
 from serieskit.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +130,29 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_pieces")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(load(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+JOIN_SQL = r"""
+with recursive d as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w from documents
+), g as (
+  select distinct doc_id, unnest(case when len(w) = 0 then []::varchar[] when len(w) < 3 then [array_to_string(w, ' ')] else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) as g from d
+), n as (
+  select doc_id, count(*) as n from g group by doc_id
+), l as (
+  select a.doc_id as a, b.doc_id as b from g a join g b on a.g = b.g and a.doc_id < b.doc_id join n x on x.doc_id = a.doc_id join n y on y.doc_id = b.doc_id
+  group by a.doc_id, b.doc_id, x.n, y.n having 100 * count(*) >= 90 * (x.n + y.n - count(*))
+), e as (
+  select a, b from l union all select b, a from l
+), r as (
+  select doc_id, doc_id as reach from d union select r.doc_id, e.b from r join e on e.a = r.reach
+), c as (
+  select doc_id, min(reach) as component_id from r group by doc_id
+)
+select c.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, c.component_id from c left join n using (doc_id)
+"""
+
+
+@query("op11_jaccard_join", JOIN_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(load(spark, sf_dir, "documents"), words=3, percent=90)
