@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from serieskit.llm import decontaminate, html_text, jaccard_join, language, max_score, near_dup, pieces, suffix_dedup, token_files, toxicity, warc
+from serieskit.llm import decontaminate, hard_negatives, html_text, jaccard_join, language, max_score, near_dup, pieces, suffix_dedup, token_files, toxicity, vector_codes, warc
 from serieskit.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,68 @@ select c.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, c.component_id
 @query("op11_jaccard_join", JOIN_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(load(spark, sf_dir, "documents"), words=3, percent=90)
+
+
+def _lloyd_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """The rounds as steps that follow each other; a distance and an index make one number, so ties go to the lower index."""
+    steps = [f"""with kept as materialized (
+  select vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::double)) as v from embeddings
+  where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), cut as materialized (
+  select vec_id, label, p, list_slice(v, p * len(v) // {parts} + 1, (p + 1) * len(v) // {parts}) as x from kept, range({parts}) as t(p)
+), book0 as materialized (
+  select p, cast(row_number() over (partition by p order by vec_id) - 1 as bigint) as i, x as c from cut qualify i < {entries}
+)"""]
+    for r in range(rounds + 1):
+        steps.append(f"""near{r} as materialized (
+  select vec_id, label, cut.p, x, min((list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c)) * {entries} + i) as best
+  from cut join book{r} as b on cut.p = b.p group by all
+)""")
+        if r < rounds:
+            steps.append(f"""book{r + 1} as materialized (
+  with y as (
+    select p, cast(best as bigint) % {entries} as i, unnest(x) as x, generate_subscripts(x, 1) as place from near{r}
+  ), z as (
+    select p, i, list(m order by place) as c from (select p, i, place, floor(sum(x) / count(*)) as m from y group by all) group by p, i
+  )
+  select b.p, b.i, coalesce(z.c, b.c) as c from book{r} as b left join z using (p, i)
+)""")
+    return ", ".join(steps) + f""", coded as (
+  select vec_id, label, string_agg(printf('%02x', cast(best as bigint) % {entries}), '' order by p) as code, cast(sum(cast(best as bigint) // {entries}) as bigint) as error
+  from near{rounds} group by vec_id, label
+), written as (
+  select sha256(string_agg(array_to_string(list_transform(c, lambda x: cast(cast(x as bigint) as varchar)), ','), ',' order by p, i)) as h from book{rounds}
+)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, h as codebooks_sha256 from coded, written
+"""
+
+
+@query("op12_vector_codes", _lloyd_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, book = vector_codes.compress(vector_codes.integer_vectors(load(spark, sf_dir, "embeddings")))
+    out = vector_codes.with_label_errors(codes).withColumn("codebooks_sha256", F.lit(vector_codes.book_hash(book)))
+    return out.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+NEGATIVES_SQL = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), p as (
+  select a.vec_id as anchor_id, a.label, a.e, b.vec_id as positive_id, cast(list_inner_product(a.e, b.e) as bigint) as positive_score
+  from v a join v b on a.label = b.label and a.vec_id <> b.vec_id where a.vec_id % 100 = 0
+  qualify row_number() over (partition by a.vec_id order by positive_score desc, b.vec_id) <= 5
+), n as (
+  select anchor_id, positive_id, positive_score, c.vec_id as negative_id, cast(list_inner_product(p.e, c.e) as bigint) as negative_score
+  from p join v c on c.label <> p.label where 30 * positive_score <= 100 * negative_score and 100 * negative_score <= 90 * positive_score
+)
+select anchor_id, positive_id, cast(row_number() over (partition by anchor_id, positive_id order by negative_score desc, negative_id) as integer) as rank, negative_id, positive_score, negative_score
+from n qualify rank <= 10
+"""
+
+
+@query("op13_hard_negatives", NEGATIVES_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.labelled(load(spark, sf_dir, "embeddings"), 256, label)
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
