@@ -52,7 +52,8 @@ def borders(n: int, depth: int) -> np.ndarray:
 
 
 def depth_of(n: int, leaf: int) -> int:
-    return max(0, (max(1, n) - 1) // leaf).bit_length() if n > leaf else 0
+    """Levels below the root until a node holds at most about ``leaf`` points, and at least one."""
+    return min(((n - 1) // leaf).bit_length(), n.bit_length() - 1)
 
 
 @dataclass
@@ -70,8 +71,6 @@ class Tree:
     def over(cls, points: np.ndarray, leaf: int) -> Tree:
         n = len(points)
         depth = depth_of(n, leaf)
-        while depth and n >> depth < 1:
-            depth -= 1
         order = np.arange(n)
         for level in range(depth):
             edges, middles = borders(n, level), borders(n, level + 1)[1::2]
@@ -154,6 +153,12 @@ def assign(points: Tree, entries: Tree) -> tuple[np.ndarray, np.ndarray, np.ndar
     return chosen, sums, counts, whole
 
 
+def entry_tree(book: np.ndarray) -> Tree:
+    """A tree with one entry in each leaf. It is filled up with copies of the last entry, which lose every tie to it."""
+    more = (1 << (len(book) - 1).bit_length()) - len(book)
+    return Tree.over(np.concatenate([book, np.repeat(book[-1:], more, axis=0)]).astype(np.float64), ENTRY_LEAF)
+
+
 def _plain(points: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Entry and squared distance of every point in integers without a limit."""
     rows, entries = points.astype(object), book.astype(object)
@@ -208,7 +213,7 @@ def _assigned(batch: pa.RecordBatch, book: np.ndarray):
     """For every block: ids, labels and, by part, (entries and distances in the block's order, sums, counts)."""
     parts, _, step = book.shape
     small = exact(int(book.min()), int(book.max()), step)
-    trees = [Tree.over(part.astype(np.float64), ENTRY_LEAF) for part in book] if small else []
+    trees = [entry_tree(part) for part in book] if small else []
     columns = [batch.column(c).to_pylist() for c in ("ids", "labels", "points", "orders", "low", "high", "total")]
     for ids, labels, points, orders, *nodes in zip(*columns):
         n, out = len(ids), []
@@ -221,7 +226,7 @@ def _assigned(batch: pa.RecordBatch, book: np.ndarray):
                 chosen, sums, counts, _ = assign(tree, trees[i])
                 apart = ((points[i] - book[i][chosen]) ** 2).sum(axis=1)
                 back = np.argsort(orders[i])
-                out.append((chosen[back], apart[back], sums.astype(np.int64), counts))
+                out.append((chosen[back], apart[back], sums[: book.shape[1]].astype(np.int64), counts[: book.shape[1]]))
         else:
             if orders:
                 order = np.frombuffer(orders, np.int64).reshape(parts, n)
