@@ -9,7 +9,6 @@ from serieskit.catalog.registry import load, query, rounded
 from serieskit.config import PRICE_ALIASES, PRICE_OPTIONAL, PriceConfig
 from serieskit.functions import scalars as S
 from serieskit.operators import clean, panel, profiles
-from serieskit.session import materialize
 from serieskit.sources.columns import resolve
 from serieskit.sources.readers import union_sources
 from serieskit.sources.sinks import key_values
@@ -83,7 +82,8 @@ def scan_manifest(spark, sf):
         "Max Price": F.when(F.col("l_linenumber") == 2, F.lit("1")).otherwise(F.lit("10,000,000")),
     })
     bound = resolve(raw, PRICE_ALIASES, PRICE_OPTIONAL, keep=["source_id"])
-    return clean.manifest(clean.judge(clean.standardize(bound, TEXT_CFG, ["source_id"]), TEXT_CFG), "source_id")
+    judged = clean.judge(clean.standardize(bound, TEXT_CFG, ["source_id"]), TEXT_CFG)
+    return clean.manifest(clean.store_judged(judged, ["source_id"]), "source_id")
 
 
 @query("quality_kv", "with " + V.SQL_DUP + """,
@@ -92,7 +92,7 @@ t as (select count(*) as raw, count(*) filter (minimum <= 0 or maximum < minimum
 select 'raw_rows_scanned' as "check", raw::varchar as value from t union all
 select 'inconsistent_price_rows_removed', broken::varchar from t union all select 'sources', sources::varchar from t""")
 def quality_kv(spark, sf):
-    counted = clean.manifest(_judged_dup(spark, sf), "source_id")
+    counted = clean.manifest(clean.store_judged(_judged_dup(spark, sf), ["source_id"]), "source_id")
     row = counted.agg(
         F.sum("raw_rows_scanned").alias("raw_rows_scanned"),
         F.sum("inconsistent_price_rows").alias("inconsistent_price_rows_removed"),
@@ -245,7 +245,7 @@ def price_consistency(spark, sf):
 @query("dedupe_records", "with " + V.SQL_DUP + V.sql_records("dup") + f"""
 select {DAY}, round(price, 6) as price, round(relative_spread, 6) as relative_spread from rec""")
 def dedupe_records(spark, sf):
-    return rounded(clean.distinct_records(_judged_dup(spark, sf)))
+    return rounded(clean.distinct_records(clean.store_judged(_judged_dup(spark, sf))))
 
 
 @query("panel_audit", "with " + V.SQL_DUP + V.sql_panel("dup") + """
@@ -253,7 +253,7 @@ select (select count(*) from dup where not (minimum <= 0 or maximum < minimum or
        (select count(*) from rec) as retained_unique_raw_rows, count(*) as unique_daily_profiles,
        count(*) filter (distinct_reported_prices > 1) as days_with_conflicting_reported_prices from panel""")
 def panel_audit(spark, sf):
-    records = materialize(clean.sound_records(_judged_dup(spark, sf)))
+    records = clean.sound_records(clean.store_judged(_judged_dup(spark, sf)))
     return panel.panel_audit(records, panel.daily_medians(records))
 
 

@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from serieskit.catalog.registry import load
 from serieskit.config import DemandConfig, PriceConfig
-from serieskit.operators.clean import judge, sound_records, standardize
+from serieskit.operators.clean import judge, sound_records, standardize, store_judged
 from serieskit.operators.panel import daily_panel
-from serieskit.session import materialize
 
 KINDS = ("Economy", "Large", "Medium", "Promo", "Small", "Standard")
 PRICES = PriceConfig(commodities=KINDS, start_date="1995-01-01", end_date="2001-12-31")
@@ -93,7 +92,7 @@ def records(obs: DataFrame, cfg: PriceConfig = PRICES) -> DataFrame:
 
 
 def stored_records(obs: DataFrame, cfg: PriceConfig = PRICES) -> DataFrame:
-    return materialize(records(obs, cfg))
+    return sound_records(store_judged(judge(standardize(obs, cfg), cfg)))
 
 
 def place_panel(spark, sf) -> DataFrame:

@@ -14,6 +14,8 @@ WHITE_SPACE = (" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0       "
                "         　")
 NULL_TEXT = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
              "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+ODD_SIGN = r"[^ -~]"
+DAY_FIRST = r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})$"
 ISO_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"
 CLOCK_TEXT = r"[ T]+(\d{1,2}):(\d{2})(?::(\d{2}(?:\.\d+)?))?(?: ?([AaPp])[Mm])?$"
 SHORT_YEAR = r"^((?:\d{1,2}-)?[A-Za-z]+-(?:\d{1,2}-)?|\d{1,2}-\d{1,2}-)(\d{2})$"
@@ -22,7 +24,8 @@ ZONED_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}[ T].*(Z|[+-]\d{2}:?\d{2})$"
 
 
 def strip(c: Column) -> Column:
-    return F.trim(c, F.lit(WHITE_SPACE))
+    """Without white space at both ends. Plain text only needs blanks cut off, which is several times as fast."""
+    return F.when(c.rlike(ODD_SIGN), F.trim(c, F.lit(WHITE_SPACE))).otherwise(F.trim(c))
 
 
 def finite(c: Column) -> Column:
@@ -31,7 +34,7 @@ def finite(c: Column) -> Column:
 
 
 def parse_number(c: Column) -> Column:
-    text = strip(F.regexp_replace(c.cast("string"), ",", ""))
+    text = strip(F.replace(c.cast("string"), F.lit(","), F.lit("")))
     return finite(F.when(text.rlike(NUMBER_TEXT), text.try_cast("double")))
 
 
@@ -99,7 +102,9 @@ def parse_date(c: Column, dtype: str = "string") -> Column:
         return c.cast("date")
     text = strip(c)
     iso = F.when(text.rlike(ISO_TEXT), text.try_cast("date"))
-    return F.coalesce(iso, _calendar_day(F.regexp_replace(text, CLOCK_TEXT, ""), True).cast("date"))
+    # The usual layout is turned into ISO text; what is no such day goes the long way, as all others do.
+    usual = F.when(text.rlike(DAY_FIRST), F.regexp_replace(text, DAY_FIRST, "$3-$2-$1").try_cast("date"))
+    return F.coalesce(iso, usual, _calendar_day(F.regexp_replace(text, CLOCK_TEXT, ""), True).cast("date"))
 
 
 def parse_timestamp(c: Column, zone: str, dtype: str = "string") -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from serieskit.config import PLACE_KEYS, SERIES_KEYS, PriceConfig
 from serieskit.functions import scalars as S
+from serieskit.session import materialize
 from serieskit.sources.columns import dtype_of
 
 RECORD = ["commodity", *SERIES_KEYS, "date", "price", "relative_spread"]
@@ -54,6 +55,15 @@ def judge(records: DataFrame, cfg: PriceConfig) -> DataFrame:
     return records.withColumn("state_of_row", state).withColumn("is_sound", sound).withColumn("relative_spread", spread)
 
 
+def store_judged(judged: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Every row's state (and the columns of ``keep``) in one stored table, with the record itself where it is sound.
+
+    The raw data are scanned once for records and counters alike; later reads take the columns they need from here.
+    """
+    sound = F.col("is_sound")
+    return materialize(judged.select(*keep, "state_of_row", "is_sound", *[F.when(sound, F.col(c)).alias(c) for c in RECORD]))
+
+
 def sound_records(judged: DataFrame) -> DataFrame:
     """Kept rows over the nine clean columns; copies are still in."""
     return judged.where("is_sound").select(*RECORD)
@@ -64,12 +74,14 @@ def distinct_records(judged: DataFrame) -> DataFrame:
     return sound_records(judged).dropDuplicates()
 
 
-def manifest(judged: DataFrame, source: str) -> DataFrame:
-    """Counters per source. Copies are counted per distinct record first, so no source
-    and no group of copies has to fit one task."""
+def manifest(stored: DataFrame, source: str) -> DataFrame:
+    """Counters per source of a table by ``store_judged``. A record is shuffled as 128 bits of hash, copies are counted per
+    distinct record first, and no source or group of copies has to fit one task."""
     state = F.col("state_of_row")
     kept = state == "kept"
-    cells = judged.groupBy(source, "state_of_row", *[F.when(kept, F.col(c)).alias(c) for c in RECORD]).agg(F.count("*").alias("rows"))
+    # Only the spread may be missing in a sound record, and it comes last, so hashes that skip missing values do not mix columns up.
+    name = [F.when(kept, F.xxhash64(F.lit(salt), *RECORD)).alias(f"_name{salt}") for salt in (1, 2)]
+    cells = stored.groupBy(source, "state_of_row", *name).agg(F.count("*").alias("rows"))
 
     def total(cond):
         return F.coalesce(F.sum(F.when(cond, F.col("rows"))), F.lit(0)).cast("bigint")

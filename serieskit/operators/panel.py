@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from serieskit.config import PLACE_KEYS, SERIES_KEYS
 from serieskit.operators.ordered import exact_quantiles
 from serieskit.operators.skew import HOT_ROWS, split_hot
-from serieskit.session import materialize
+from serieskit.session import lay_out
 
 DAY = ["commodity", *SERIES_KEYS, "date"]
 PLACE = ["commodity", *PLACE_KEYS]
@@ -23,19 +23,19 @@ def _middle(values: Column) -> Column:
 def daily_medians(records: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Median price and spread, reports and distinct prices per series and day.
 
-    ``records`` may hold copies and is read twice, so it should be a stored table. One exchange does both the removal of copies and the
-    daily summary: each day keeps its distinct (price, spread) pairs, which the split
-    bounds. Days beyond that bound are ordered over many tasks instead.
+    ``records`` may hold copies and is read twice, so it should be a stored table. Rows are dealt by day once; copies are removed and a day's
+    prices are listed where they are then, without a further exchange. The split bounds the lists: days beyond its bound are ordered over
+    many tasks instead.
     """
     ordinary, hot = split_hot(records, DAY, hot_rows)
-    pairs = ordinary.groupBy(*DAY).agg(F.collect_set(F.struct("price", "relative_spread")).alias("pairs"))
-    prices = F.col("pairs.price")
-    small = pairs.select(
+    distinct = ordinary.repartition(*DAY).dropDuplicates()
+    lists = distinct.groupBy(*DAY).agg(F.collect_list("price").alias("prices"), F.collect_list("relative_spread").alias("spreads"))
+    small = lists.select(
         *DAY,
-        _middle(prices).alias("price"),
-        _middle(F.array_compact(F.col("pairs.relative_spread"))).alias("relative_spread"),
-        F.size("pairs").cast("bigint").alias("daily_reports"),
-        F.size(F.array_distinct(prices)).cast("bigint").alias("distinct_reported_prices"),
+        _middle(F.col("prices")).alias("price"),
+        _middle(F.col("spreads")).alias("relative_spread"),
+        F.size("prices").cast("bigint").alias("daily_reports"),
+        F.size(F.array_distinct("prices")).cast("bigint").alias("distinct_reported_prices"),
     )
     return small if hot is None else small.unionByName(_large_days(hot.dropDuplicates()))
 
@@ -62,9 +62,26 @@ def dominant_varieties(days: DataFrame) -> DataFrame:
     )
 
 
+def stored_days(records: DataFrame, hot_rows: int = HOT_ROWS, buckets: int | None = None) -> DataFrame:
+    """The daily medians as a table in folders by year and buckets by place, each bucket in the order of its series.
+
+    What follows (dominance, returns, runs, profiles) groups by the place or by more, so it needs no exchange.
+    """
+    days = daily_medians(records, hot_rows).withColumn("year", F.year("date"))
+    return lay_out(days, PLACE, [*PLACE, *[k for k in SERIES_KEYS if k not in PLACE], "date"], ["year"], buckets)
+
+
+def in_years(days: DataFrame, first: int, last: int) -> DataFrame:
+    """The days of some years; only their folders are read."""
+    return days.where(F.col("year").between(first, last))
+
+
+def with_dominance(days: DataFrame) -> DataFrame:
+    return days.drop("year").join(dominant_varieties(days), PLACE, "left")
+
+
 def daily_panel(records: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    days = materialize(daily_medians(records, hot_rows))
-    return days.join(dominant_varieties(days), PLACE, "left")
+    return with_dominance(stored_days(records, hot_rows))
 
 
 def panel_audit(records: DataFrame, days: DataFrame) -> DataFrame:

@@ -24,14 +24,14 @@ RESTART, SUBSAMPLE = "different initialization", "80% profile subsample; fixed p
 
 
 def panel_from(raw: DataFrame, cfg: C.PriceConfig, source: str | None = None) -> dict[str, DataFrame]:
-    """Resolved raw records -> stored daily panel, its audit and, with ``source``, the manifest."""
-    judged = clean.judge(clean.standardize(raw, cfg, [source] if source else []), cfg)
-    records = materialize(clean.sound_records(judged))
-    days = materialize(panel.daily_medians(records))
-    out = {"audit": panel.panel_audit(records, days)}
-    out["panel"] = days.join(panel.dominant_varieties(days), panel.PLACE, "left")
+    """Resolved raw records -> stored days, daily panel, its audit and, with ``source``, the manifest. The raw data are scanned once."""
+    keep = [source] if source else []
+    stored = clean.store_judged(clean.judge(clean.standardize(raw, cfg, keep), cfg), keep)
+    records = clean.sound_records(stored)
+    days = panel.stored_days(records)
+    out = {"audit": panel.panel_audit(records, days), "days": days, "panel": panel.with_dominance(days)}
     if source:
-        out["manifest"] = materialize(clean.manifest(judged, source))
+        out["manifest"] = materialize(clean.manifest(stored, source))
     return out
 
 
