@@ -52,6 +52,27 @@ def test_discovery_rules(spark, tmp_path):
         discovery.discover(spark, str(tmp_path), DEMAND_ALIASES["demand"])
 
 
+def test_many_heads_take_one_job(spark, tmp_path):
+    """Three hundred files of several headers, with names and contents that need care, one job for all heads and none for footers."""
+    for i in range(300):
+        head = ["Modal Price,State", "modal_price,\"A, b\",State", "Modal Price,x,x,"][i % 3]
+        (tmp_path / (f"a b+{i}%.csv" if i % 7 == 0 else f"{i}.csv")).write_text(head + "\n" + "1,2,3\n" * (20000 if i < 3 else 1))
+    (tmp_path / "empty.csv").write_text("")
+    pd.DataFrame({"modal price": [1.0], "y": [2]}).to_parquet(tmp_path / "p.parquet", index=False)
+    spark.sparkContext.setJobGroup("heads", "heads")
+    paths = [p for p, _ in discovery.listing(spark, str(tmp_path))]
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup("heads"))
+    heads = discovery.csv_heads(spark, [p for p in paths if p.endswith(".csv")])
+    middle = len(spark.sparkContext.statusTracker().getJobIdsForGroup("heads"))
+    footers = discovery.parquet_heads(spark, [p for p in paths if p.endswith(".parquet")])
+    after = len(spark.sparkContext.statusTracker().getJobIdsForGroup("heads"))
+    spark.sparkContext.setJobGroup("", "")
+    # Spark lists so many paths by a job of its own.
+    assert middle - before <= 2 and after == middle and len(heads) == 300 and list(footers.values()) == [("modal price", "y")]
+    for path in list(heads)[:40]:
+        assert heads[path] == tuple(spark.read.options(**discovery.CSV).csv(path).columns)
+
+
 def test_mixed_headers_become_one_frame(spark, tmp_path):
     write_prices(tmp_path)
     with pytest.warns(UserWarning):
