@@ -1,7 +1,8 @@
 """Order statistics and running sums without a single-task window.
 
-Rows are put into ``2 ** levels`` value ranges of about equal size; their number follows the
-rows. The per-range sums are few, so their prefix sums are cheap; the exact order is then settled inside each
+Each group of more rows than a task should order is cut into value ranges at borders from its own quantile sketch, and a range that is
+still too large is cut again at its own. So the number of ranges follows the rows of a group, whatever band its values lie in.
+The per-range sums are few, so their prefix sums are cheap; the exact order is then settled inside each
 range, one task per range. Results do not depend on where the range borders fall. Input without a
 known range is stored once, since it is counted, sketched, summed and joined.
 """
@@ -15,34 +16,48 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from serieskit.session import materialize
 
-# Rows of one range that a task orders, and the most halvings (borders come from one sketch).
+# Rows of one range that a task orders.
 RANGE_ROWS = 100_000
-MOST_LEVELS = 15
+# Ranges that a too large one is cut into, a power of two, and the size of the sketch that gives their borders.
+FAN, SKETCH_SIZE = 256, 1024
+# Bits of a draw, whose even spread gives its range directly.
+DRAW_BITS = 32
 _RANGE = "_range"
 
 
 def levels_for(rows: int) -> int:
-    return min(MOST_LEVELS, max(0, ceil(log2(max(1, rows) / RANGE_ROWS))))
+    """Halvings of the range of a draw until a part holds about RANGE_ROWS of ``rows``."""
+    return min(DRAW_BITS, max(0, ceil(log2(max(1, rows) / RANGE_ROWS))))
 
 
-def with_range(df: DataFrame, order: str, levels: int | None = None, range_of: Column | None = None) -> DataFrame:
-    """Add the number of the value range of ``order``, found by halving over sketched borders.
+def with_range(df: DataFrame, by: Sequence[str], order: str, range_rows: int | None = None, range_of: Column | None = None) -> DataFrame:
+    """Add the number of the value range of ``order`` within the group; ranges are numbered in the order of their values.
 
-    ``range_of`` gives the range directly where an even, order-keeping one is known.
+    ``range_of`` gives the range directly where an even, order-keeping one is known. Copies of one value stay in one range.
     """
     if range_of is not None:
         return df.withColumn(_RANGE, range_of)
-    levels = levels_for(df.count()) if levels is None else levels
-    if not levels:
-        return df.withColumn(_RANGE, F.lit(0))
-    count = 2**levels
-    probabilities = F.array(*[F.lit(i / count) for i in range(1, count)])
-    borders = df.agg(F.percentile_approx(order, probabilities, F.lit(8 * count)).alias("b")).scalar()
-    df = df.withColumn("_borders", borders).withColumn(_RANGE, F.lit(0))
-    for step in [2**i for i in reversed(range(levels))]:
-        above = F.col("_borders")[F.col(_RANGE) + (step - 1)] < F.col(order)
-        df = df.withColumn(_RANGE, F.col(_RANGE) + F.when(above, step).otherwise(0))
-    return df.drop("_borders")
+    most = range_rows or RANGE_ROWS
+    # Groups of one hash would share borders, which is as good.
+    ranged = df.withColumn("_group", F.xxhash64(*by) if by else F.lit(0).cast("bigint")).withColumn(_RANGE, F.lit(0).cast("bigint"))
+    value = F.col(order).cast("double")
+    ranks = F.array(*[F.lit(i / FAN) for i in range(1, FAN)])
+    while True:
+        found = ranged.groupBy("_group", _RANGE).agg(F.count("*").alias("n"), F.min(order).alias("low"), F.max(order).alias("high"))
+        large = found.where((F.col("n") > most) & (F.col("low") < F.col("high"))).select("_group", _RANGE)
+        if large.isEmpty():
+            return ranged.drop("_group")
+        hot = ranged.join(materialize(large), ["_group", _RANGE], "left_semi").groupBy("_group", _RANGE)
+        sketched = hot.agg(F.kll_sketch_agg_double(value, F.lit(SKETCH_SIZE)).alias("s"), F.max(value).alias("most"))
+        borders = F.filter(F.kll_sketch_get_quantile_double("s", ranks), lambda b: b < F.col("most"))
+        cut = materialize(sketched.select("_group", _RANGE, borders.alias("_borders"), F.col("most").alias("_most")))
+        ranged = ranged.join(cut, ["_group", _RANGE], "left").withColumn("_digit", F.lit(0).cast("bigint"))
+        for step in [FAN >> i for i in range(1, FAN.bit_length())]:
+            above = F.coalesce(F.get("_borders", (F.col("_digit") + (step - 1)).cast("int")) < value, F.lit(False))
+            ranged = ranged.withColumn("_digit", F.col("_digit") + F.when(above, step).otherwise(0))
+        # Where the largest value fills all of the range but a few rows, its copies go on their own.
+        digit = F.when((F.size("_borders") == 0) & (value >= F.col("_most")), 1).otherwise(F.col("_digit"))
+        ranged = ranged.withColumn(_RANGE, F.col(_RANGE) * FAN + digit).drop("_digit", "_borders", "_most")
 
 
 def running_totals(
@@ -52,7 +67,7 @@ def running_totals(
     sums: Sequence[str],
     ties: Sequence[str] = (),
     only: Callable[[Column, Column, Column], Column] | None = None,
-    levels: int | None = None,
+    range_rows: int | None = None,
     range_of: Column | None = None,
 ) -> DataFrame:
     """Add ``<s>_before`` (sum over the rows ordered earlier) and ``<s>_total`` for each sum.
@@ -62,7 +77,7 @@ def running_totals(
     """
     by = list(by)
     df = materialize(df) if range_of is None else df
-    ranged = with_range(df, order, levels, range_of)
+    ranged = with_range(df, by, order, range_rows, range_of)
     earlier = W.partitionBy(*by).orderBy(_RANGE).rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy(*by)
     starts = ranged.groupBy(*by, _RANGE).agg(*[F.sum(s).alias(s) for s in sums])
@@ -89,7 +104,7 @@ def values_at(
     by: Sequence[str],
     value: str,
     positions: dict[str, Callable[[Column], Column]],
-    levels: int | None = None,
+    range_rows: int | None = None,
     range_of: Column | None = None,
 ) -> DataFrame:
     """Per group the values at given 0-based sorted positions; a position is a function of the count."""
@@ -105,21 +120,21 @@ def values_at(
             out = out | hit
         return out
 
-    ranked = running_totals(counts, by, value, ["_n"], only=wanted, levels=levels, range_of=range_of)
+    ranked = running_totals(counts, by, value, ["_n"], only=wanted, range_rows=range_rows, range_of=range_of)
     hit = covers(F.col("_n_before"), F.col("_n"), F.col("_n_total"))
     picks = [F.max(F.when(cond, F.col(value))).alias(name) for name, cond in hit.items()]
     return ranked.groupBy(*by).agg(F.max("_n_total").alias("_n_total"), *picks)
 
 
 def exact_quantiles(
-    df: DataFrame, by: Sequence[str], value: str, probabilities: dict[str, float], levels: int | None = None
+    df: DataFrame, by: Sequence[str], value: str, probabilities: dict[str, float], range_rows: int | None = None
 ) -> DataFrame:
     """Exact quantiles with linear interpolation between the two neighbours."""
     positions = {}
     for name, p in probabilities.items():
         positions[f"_lo_{name}"] = lambda n, p=p: F.floor(F.lit(float(p)) * (n - 1))
         positions[f"_hi_{name}"] = lambda n, p=p: F.ceil(F.lit(float(p)) * (n - 1))
-    found = values_at(df, by, value, positions, levels)
+    found = values_at(df, by, value, positions, range_rows)
     out = []
     for name, p in probabilities.items():
         place = F.lit(float(p)) * (F.col("_n_total") - 1)

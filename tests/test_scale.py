@@ -64,7 +64,24 @@ def test_running_totals_equal_one_window(spark):
     df = spark.range(4000).select(((F.col("id") * 7919) % 4001).cast("double").alias("o"), (F.col("id") % 5).alias("g"), (F.col("id") % 3).alias("n"))
     window = W.partitionBy("g").orderBy("o").rowsBetween(W.unboundedPreceding, -1)
     plain = df.withColumn("n_before", F.coalesce(F.sum("n").over(window), F.lit(0))).withColumn("n_total", F.sum("n").over(W.partitionBy("g")))
-    assert rows(ordered.running_totals(df, ["g"], "o", ["n"], levels=5)) == rows(plain)
+    assert rows(ordered.running_totals(df, ["g"], "o", ["n"], range_rows=50)) == rows(plain)
+
+
+def test_ranges_follow_each_groups_own_band(spark):
+    """A group in a millionth of the span, and one that is nearly all one value, are cut as finely as the others."""
+    rng = np.random.default_rng(7)
+    wide, band, peak = rng.normal(0, 1e6, 4000), 5 + rng.random(9000) * 1e-6, np.where(rng.random(5000) < 0.995, 9.0, rng.random(5000))
+    pdf = pd.DataFrame({"g": ["wide"] * 4000 + ["band"] * 9000 + ["peak"] * 5000 + [None] * 10, "v": np.concatenate([wide, band, peak, np.arange(10.0)])})
+    df = spark.createDataFrame(pdf)
+    ranged = ordered.with_range(df, ["g"], "v", 200)
+    sizes = ranged.groupBy("g", "_range").agg(F.count("*").alias("n"), F.count_distinct("v").alias("d"), F.min("v").alias("a"), F.max("v").alias("b")).toPandas()
+    assert sizes[(sizes.n > 200) & (sizes.d > 1)].empty and sizes[sizes.g == "band"].n.max() <= 200 and len(sizes[sizes.g == "band"]) > 45
+    for _, part in sizes.groupby("g"):
+        part = part.sort_values("_range")
+        assert (part.b.to_numpy()[:-1] < part.a.to_numpy()[1:]).all()
+    found = ordered.exact_quantiles(df, ["g"], "v", {"p": 0.37}, 200).where("g is not null").collect()
+    for r in found:
+        assert r["p"] == pytest.approx(pdf[pdf.g == r["g"]].v.quantile(0.37), abs=1e-12)
 
 
 def test_chunked_windows_equal_one_window(spark):
