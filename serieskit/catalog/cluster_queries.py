@@ -16,7 +16,7 @@ from serieskit.session import materialize
 GROUP, DIMS = ["group"], 64
 WIDE = PriceConfig(
     commodities=V.KINDS, start_date="1995-01-01", end_date="2001-12-31", min_observations=100, min_calendar_coverage=0.03,
-    min_months=40, min_year_observations=5, min_daily_returns=3, kmeans_starts=4, stability_repeats=3, max_clusters=4,
+    min_months=40, min_year_observations=5, min_daily_returns=3,
 )
 
 
@@ -279,14 +279,94 @@ def wide_matrix(spark, sf):
     return eligible, materialize(prep.feature_matrix(eligible, R.BY, WIDE.clip_quantile))
 
 
-@query("kmeans_fit")
+KS, STARTS = range(2, 7), 20
+
+
+def _wrapped(text: str) -> str:
+    """Unsigned arithmetic modulo 2 ** 64."""
+    return f"cast(({text}) % 18446744073709551616::uhugeint as ubigint)"
+
+
+def _times(a: str, b: str) -> str:
+    return _wrapped(f"{a}::uhugeint * {b}::uhugeint")
+
+
+def _kmeans_sql() -> str:
+    """Hash of the ids, the race for the starting points (one step for each), and Lloyd rounds of all runs at once until each has settled."""
+    # The multipliers of xxHash64 and of the splitmix64 finaliser.
+    p1, p2, p3, p4, p5 = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5
+    golden, first, second = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
+    # End of fixed values.
+    hashed = [
+        f"select vec_id, embedding::double[] as x, {_times('vec_id::ubigint', str(p2))} as h from embeddings",
+        f"select * replace ({_times(_wrapped('h::uhugeint * 2147483648 + (h >> 33)'), str(p1))} as h) from {{0}}",
+        f"select * replace (xor(h, {(42 + p5 + 8) % 2**64}::ubigint) as h) from {{0}}",
+        f"select * replace ({_wrapped(_times(_wrapped('h::uhugeint * 134217728 + (h >> 37)'), str(p1)) + f'::uhugeint + {p4}')} as h) from {{0}}",
+        f"select * replace ({_times('xor(h, h >> 33)', str(p2))} as h) from {{0}}",
+        f"select * replace ({_times('xor(h, h >> 29)', str(p3))} as h) from {{0}}",
+        "select * replace (xor(h, h >> 32) as h) from {0}",
+    ]
+    steps = [f"h{i} as ({text.format(f'h{i - 1}')})" for i, text in enumerate(hashed)]
+    steps.append(f"points as materialized (select * from h{len(hashed) - 1})")
+    for step in range(max(KS)):
+        salt = f"((43 * 1000003 + s + 1) * 1000003 + {step} + 1)"
+        z = _wrapped(f"h::uhugeint + {_times(salt, str(golden))}")
+        source = "points, range(%d) as starts(s)" % STARTS
+        if step:
+            source = f"near{step - 1} join pick{step - 1} as p using (s)"
+            near = "list_distance(near%d.x, p.x) ** 2" % (step - 1)
+            near = near if step == 1 else f"least(d2, {near})"
+            steps.append(f"near{step} as materialized (select s, near{step - 1}.vec_id, near{step - 1}.x, h, {near} as d2 from {source})")
+        else:
+            steps.append(f"near0 as materialized (select s, vec_id, x, h, 1.0::double as d2 from {source})")
+        steps.append(f"draw{step} as (select s, vec_id, x, d2, {z} as z from near{step})")
+        steps.append(f"mix{step} as (select * replace ({_times('xor(z, z >> 30)', str(first))} as z) from draw{step})")
+        steps.append(f"mixed{step} as (select * replace ({_times('xor(z, z >> 27)', str(second))} as z) from mix{step})")
+        key = "-ln((xor(z, z >> 31)::double + 0.5) / 18446744073709551616.0::double) / d2"
+        steps.append(f"pick{step} as materialized (select s, {step} as j, arg_min(x, {key}) as x from mixed{step} where d2 > 1e-12 group by s)")
+    picks = " union all ".join(f"select s, j, x from pick{step}" for step in range(max(KS)))
+    steps.append(f"init as (select k, s, list(x order by j) as c from ({picks}), range({min(KS)}, {max(KS) + 1}) as ks(k) where j < k group by k, s)")
+    steps.append("""rounds as (
+  select k, s, 0 as iterations, c, false as converged from init
+  union all
+  select k, s, iterations + 1, moved, list_sum(list_transform(range(1, k + 1), lambda j: list_distance(moved[j], c[j]) ** 2)) <= 1e-4
+  from (
+    select k, s, iterations, c, list_transform(range(1, k + 1), lambda j: coalesce(list_extract(list_filter(met, lambda m: m.j = j), 1).center, c[j])) as moved
+    from (
+      select k, s, any_value(iterations) as iterations, any_value(c) as c, list({'j': j, 'center': center}) as met
+      from (
+        select k, s, any_value(iterations) as iterations, any_value(c) as c, j, list(m order by d) as center
+        from (
+          select k, s, any_value(iterations) as iterations, any_value(c) as c, j, d, avg(v) as m
+          from (
+            select k, s, iterations, c, list_position(dist, list_min(dist)) as j, unnest(x) as v, generate_subscripts(x, 1) as d
+            from (select k, s, iterations, c, x, list_transform(c, lambda y: list_distance(y, x)) as dist from rounds, points where not converged and iterations < 300)
+          ) group by k, s, j, d
+        ) group by k, s, j
+      ) group by k, s
+    )
+  )
+)""")
+    steps.append("settled as (select k, s, max(iterations) as iterations, arg_max(c, iterations) as c, arg_max(converged, iterations) as converged from rounds group by k, s)")
+    steps.append("""ends as (
+  select k, s, list_position(dist, list_min(dist)) as j, list_min(dist) ** 2 as d2
+  from (select k, s, list_transform(c, lambda y: list_distance(y, x)) as dist from settled, points)
+), counted as (select k, s, j, count(*) as n, sum(d2) as d2 from ends group by all)""")
+    return "with recursive " + ",\n".join(steps) + """
+select k as clusters, s as "start", round(any_value(total), 6) as inertia, any_value(iterations)::bigint as iterations, any_value(converged) as converged,
+       string_agg(coalesce(n, 0)::varchar, ',' order by i) as sizes
+from (select settled.k, settled.s, iterations, converged, i, n, sum(d2) over (partition by settled.k, settled.s) as total
+      from settled join range(1, 7) as r(i) on i <= settled.k left join counted on counted.k = settled.k and counted.s = settled.s and counted.j = i) group by 1, 2"""
+
+
+@query("kmeans_fit", _kmeans_sql())
 def kmeans_fit(spark, sf):
     rows = given(spark, sf)
     points = materialize(K.points_frame(rows, F.col("group"), F.col("vec_id")))
-    runs = [K.Run("all", k, (42, s)) for k in (2, 5, 10) for s in range(5)]
+    runs = [K.Run("all", k, (42, s)) for k in KS for s in range(STARTS)]
     K.fit(points, runs)
-    table = [(r.k, r.start[1], r.inertia, r.iterations, r.converged, [int(n) for n in r.sizes]) for r in runs]
-    return spark.createDataFrame(table, "clusters int, start int, inertia double, iterations int, converged boolean, sizes array<bigint>")
+    table = [(r.k, r.start[1], r.inertia, r.iterations, r.converged, ",".join(str(int(n)) for n in r.sizes)) for r in runs]
+    return rounded(spark.createDataFrame(table, "clusters int, start int, inertia double, iterations int, converged boolean, sizes string"))
 
 
 @query("kmeans_selection")

@@ -1,8 +1,9 @@
 """K-means over many groups, cluster counts, starts and resamples at once.
 
-Every pass over the points serves all runs: a task reduces its points to one partial sum
+Points of a checked small size are sent to all tasks, and the runs are dealt to tasks: one job holds all rounds of all runs.
+Beyond that size the points are dealt instead. Every pass over them serves all runs then: a task reduces its points to one partial sum
 per run and centre, and only those sums are shuffled. Centres (runs x k x features) are
-the only thing the driver holds, so an iteration has no lineage beyond the stored points.
+the only thing the driver holds, so an iteration has no lineage beyond the stored points. Both ways draw and round alike.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 # Resamples one word of a mask holds.
 WORD_BITS = 62
+# Bytes of points that are sent to every task, at most.
+SENT_BYTES = 32 << 20
 
 
 @dataclass
@@ -175,8 +178,82 @@ def lloyd(points: DataFrame, runs: Sequence[Run], max_iterations: int = 300, tol
 
 
 def fit(points: DataFrame, runs: Sequence[Run], max_iterations: int = 300, tolerance: float = 1e-4) -> None:
-    seed_centers(points, runs)
-    lloyd(points, runs, max_iterations, tolerance)
+    """Seed and settle all runs. ``points`` is a stored table of ``points_frame``."""
+    size = points.agg(F.count("*"), F.max(F.size("x") + F.size("mask"))).first()
+    if runs and size[0] and size[0] * size[1] * 8 <= SENT_BYTES:
+        _fit_by_run(points, runs, max_iterations, tolerance)
+    else:
+        seed_centers(points, runs)
+        lloyd(points, runs, max_iterations, tolerance)
+
+
+def _drawn_start(h: np.ndarray, x: np.ndarray, start: tuple, k: int) -> np.ndarray:
+    """The race of ``seed_centers`` over the points of one run."""
+    chosen: list[np.ndarray] = []
+    nearest = np.ones(len(x))
+    for step in range(k):
+        key = -np.log(_uniform(h, _salt(start, step)))
+        if chosen:
+            nearest = np.minimum(nearest, _distances(x, chosen[-1][None])[:, 0]) if step > 1 else _distances(x, chosen[-1][None])[:, 0]
+            key = np.where(nearest > 1e-12, key / np.maximum(nearest, 1e-300), np.inf)
+        least = key.min(initial=np.inf)
+        if not np.isfinite(least):
+            break
+        chosen.append(np.array(min(x[key == least].tolist())))
+    return np.array(chosen, dtype=float)
+
+
+def _settled(x: np.ndarray, centers: np.ndarray, max_iterations: int, tolerance: float) -> tuple:
+    """The rounds of ``lloyd`` over the points of one run: centres, inertia, iterations, converged, sizes."""
+
+    def moved_to(centers):
+        d = _distances(x, centers)
+        label, nearest = d.argmin(1), d.min(1)
+        member = (label[:, None] == np.arange(len(centers))[None, :]).astype(float)
+        return member.sum(0).astype(np.int64), (member * nearest[:, None]).sum(0), member.T @ x
+
+    iterations, converged = 0, False
+    while iterations < max_iterations and not converged:
+        n, _, total = moved_to(centers)
+        moved = np.where(n[:, None] > 0, total / np.maximum(n, 1)[:, None], centers)
+        iterations += 1
+        converged = bool(((moved - centers) ** 2).sum() <= tolerance)
+        centers = moved
+    n, d2, _ = moved_to(centers)
+    return centers, float(d2.sum()), iterations, converged, n
+
+
+def _fit_by_run(points: DataFrame, runs: Sequence[Run], max_iterations: int, tolerance: float) -> None:
+    spark = points.sparkSession
+    pdf = points.toPandas().sort_values(["group", "h"], kind="stable")
+    held = {name: (part["h"].to_numpy(), np.stack(part["mask"].to_numpy()), np.stack(part["x"].to_numpy())) for name, part in pdf.groupby("group")}
+    sent = spark.sparkContext.broadcast(held)
+    plan = [(r.group, r.k, r.start, r.bit, r.centers) for r in runs]
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for i in batch["id"]:
+                group, k, start, bit, centers = plan[i]
+                h, mask, x = sent.value[group]
+                if bit >= 0:
+                    own = drawn(mask, bit) == 1
+                    h, x = h[own], x[own]
+                centers = _drawn_start(h, x, start, k) if centers is None else centers
+                if len(centers):
+                    centers, inertia, iterations, converged, n = _settled(x, centers, max_iterations, tolerance)
+                    yield pd.DataFrame({"i": [i], "centers": [centers.tolist()], "inertia": [inertia], "iterations": [iterations], "converged": [converged], "sizes": [n.tolist()]})
+
+    schema = "i long, centers array<array<double>>, inertia double, iterations int, converged boolean, sizes array<long>"
+    parts = min(len(runs), 4 * spark.sparkContext.defaultParallelism)
+    # Runs of one count follow each other and differ in cost, so they are dealt one by one.
+    order = spark.range(len(runs)).repartition(parts, F.col("id") % parts)
+    for run in runs:
+        run.centers = np.zeros((0, 0)) if run.centers is None else run.centers
+    for row in order.mapInPandas(work, schema).collect():
+        run = runs[row.i]
+        run.centers, run.inertia, run.iterations, run.converged = np.array(row.centers), row.inertia, row.iterations, row.converged
+        run.sizes = np.array(row.sizes, dtype=np.int64)
+    sent.unpersist()
 
 
 def best_runs(runs: Sequence[Run], key) -> dict:

@@ -12,6 +12,7 @@ from serieskit.config import DemandConfig
 from serieskit.functions import scalars as S
 from serieskit.operators import cluster as K, cluster_metrics as Q, grid as G, metrics as M, ordered, panel, profiles as P, sampling
 from serieskit.operators.skew import split_hot
+from serieskit.session import materialize
 
 
 @pytest.fixture(scope="module")
@@ -229,3 +230,22 @@ def test_keys_and_spelling(spark):
     df = spark.createDataFrame([("  ONION\t",), ("potato",), ("",), (None,)], "c string")
     out = df.select(S.clean_or_default(F.col("c")).alias("k"), S.spelling(F.col("c"), ("Onion",)).alias("s")).collect()
     assert [tuple(r) for r in out] == [("onion", "Onion"), ("potato", None), ("unspecified", None), ("unspecified", None)]
+
+
+def test_runs_dealt_to_tasks_equal_points_dealt_to_tasks(spark, monkeypatch):
+    """Both ways of fitting give the same starts, rounds and clusters, also on resamples and with more centres than points."""
+    rng = np.random.default_rng(11)
+    pdf = pd.DataFrame({"g": ["a"] * 300 + ["b"] * 4, "id": range(304), "x": [list(v) for v in rng.normal(0, 1, (304, 3))], "mask": [[int(m)] for m in rng.integers(0, 4, 304)]})
+    frame = spark.createDataFrame(pdf, "g string, id long, x array<double>, mask array<long>")
+    points = materialize(K.points_frame(frame, F.col("g"), F.col("id"), mask=F.col("mask")))
+
+    def fitted():
+        runs = [K.Run("a", k, (42, s), bit) for k in (2, 5) for s in range(2) for bit in (-1, 0, 1)] + [K.Run("b", 6, (1, 0))]
+        K.fit(points, runs)
+        return runs
+
+    one = fitted()
+    monkeypatch.setattr(K, "SENT_BYTES", 0)
+    for r, s in zip(one, fitted()):
+        assert r.sizes.tolist() == s.sizes.tolist() and r.iterations == s.iterations and r.converged == s.converged
+        assert r.centers == pytest.approx(s.centers) and r.inertia == pytest.approx(s.inertia)
