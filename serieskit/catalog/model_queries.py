@@ -7,8 +7,8 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from serieskit.catalog import demand_views as D
-from serieskit.catalog.registry import query
-from serieskit.operators import classify as L, metrics as M
+from serieskit.catalog.registry import query, rounded
+from serieskit.operators import classify as L, grid as G, metrics as M
 from serieskit.plans import demand as R
 from serieskit.session import materialize
 
@@ -16,6 +16,40 @@ SMALL = replace(D.HOURLY, max_bins=16, max_interaction_bins=8, additive_iteratio
 SMALL_DAILY = replace(D.DAILY, max_bins=16, max_interaction_bins=8, additive_iterations=30, min_examples=100, min_backtest_rows=15)
 
 
+WITH_WEATHER = G.base_features(D.HOURLY) + G.weather_features(["temperature", "humidity"])
+
+
+def sql_logistic(cfg, features, steps: int = 12) -> str:
+    """Newton steps from zero, each a sum over the train rows and an elimination; ends in ``solved`` with one list, the intercept first."""
+    p = len(features) + 1
+    lists = ", ".join(f"{f}::double" for f in features)
+    medians = ", ".join(f"median({f}::double)" for f in features)
+    out = D.sql_labelled(cfg) + f""",
+seen as (select slot, target, [{lists}] as f from lab where split = 'train'),
+mids as (select [{medians}] as m from lab where split = 'train'),
+filled as (select slot, target, list_transform(f, lambda v, i: coalesce(v, m[i], 0.0)) as f from seen, mids),
+cells as (select slot, unnest(f) as v, generate_subscripts(f, 1) as i from filled),
+moments as (select list(a order by i) as a, list(case when s > n * e * s + (n * a * e) ** 2 then sqrt(s) end order by i) as d
+            from (select i, avg(v) as a, var_pop(v) as s, count(*) as n, 2.220446049250313e-16::double as e from cells group by i)),
+given as materialized (
+  select slot, target, count(*) over () / (2.0::double * count(*) over (partition by target)) as w,
+         list_prepend(1.0::double, list_transform(f, lambda v, i: case when d[i] is null then 0.0 else (v - a[i]) / d[i] end)) as x from filled, moments),
+b0 as (select list_transform(range({p}), lambda i: 0.0::double) as beta)"""
+    for t in range(steps):
+        out += f""",
+r{t} as materialized (select x, w, target, 1 / (1 + exp(-list_dot_product(x, beta))) as q, beta from given, b{t}),
+u{t} as (select i, w * (q - target) * x[i] as g, list_transform(x, lambda v: v * x[i] * w * q * (1 - q)) as h, beta[i] as b from r{t}, range(1, {p + 1}) as t(i)),
+g{t} as (select i, sum(g) + case when i > 1 then any_value(b) else 0 end as g from u{t} group by i),
+h{t} as (select i, j, sum(h[j]) + case when i = j and i > 1 then 1 else 0 end as h from u{t}, range(1, {p + 1}) as t(j) group by i, j),
+a{t} as (select list(list_append(r, g) order by i) as a from (select i, list(h order by j) as r from h{t} group by i) join g{t} using (i)),
+e{t} as (select 1 as k, a from a{t} union all
+        select k + 1, list_transform(a, lambda r, i: case when i = k then list_transform(r, lambda v: v / a[k][k])
+                                                          else list_transform(r, lambda v, c: v - r[k] * a[k][c] / a[k][k]) end) from e{t} where k <= {p}),
+b{t + 1} as materialized (select list_transform(beta, lambda v, i: v - a[i][{p + 1}]) as beta from e{t}, b{t} where k = {p + 1})"""
+    return "with recursive " + out.strip() + f""",
+solved as (select beta from b{steps})"""
+
+
 def labelled(spark, sf, cfg=SMALL):
     return materialize(D.labelled(spark, sf, cfg if cfg is not SMALL_DAILY else D.DAILY))
 
@@ -66,10 +100,11 @@ def effect_table(spark, sf):
     return L.effect_table(fitted, rows.where(F.col("split") == "train"), names)
 
 
-@query("lr_coefficients")
+@query("lr_coefficients", sql_logistic(D.HOURLY, WITH_WEATHER) + f"""
+select unnest([{", ".join(f"'{n}'" for n in WITH_WEATHER)}]) as feature, unnest(list_transform(beta[2:], lambda v: round(v, 6) + 0.0)) as standardized_coefficient from solved""")
 def lr_coefficients(spark, sf):
     rows = labelled(spark, sf)
-    return L.coefficient_table(R.fit_models(rows, SMALL, [L.LOGISTIC_WEATHER])[L.LOGISTIC_WEATHER][0], spark)
+    return rounded(L.coefficient_table(R.fit_models(rows, SMALL, [L.LOGISTIC_WEATHER])[L.LOGISTIC_WEATHER][0], spark))
 
 
 @query("whatif_temperature")

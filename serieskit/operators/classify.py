@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import Bucketizer, OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from serieskit.config import TEMPERATURE_SHIFTS, DemandConfig
+from serieskit.operators import newton
 from serieskit.operators.ordered import exact_quantiles
 from serieskit.operators.prep import long_form, scale_width, scaled_value
 from serieskit.operators.splits import class_weights
+from serieskit.session import materialize
 
 ADDITIVE = "Additive model"
 LOGISTIC_BASE = "Logistic Regression: demand/calendar"
@@ -80,17 +83,35 @@ class Fitted:
 
 
 def fit_logistic(train: DataFrame, features: list[str], cfg: DemandConfig, name: str) -> Fitted:
-    """L2 logistic regression on filled, scaled features. The balanced weights add up to the
-    row count, so the penalty of half the squared norm is 1/rows per row."""
-    fill = fill_values(train, features)
-    fitted = Fitted(name, features, None, fill, scale_values(train, features, fill))
-    rows = train.count()
-    learner = LogisticRegression(
-        featuresCol="features", labelCol="target", weightCol="weight", regParam=1.0 / rows, elasticNetParam=0.0,
-        standardization=False, maxIter=cfg.logistic_iterations, tol=1e-6,
-    )
-    fitted.model = learner.fit(fitted.vector(weighted(train)).select("features", "target", "weight"))
-    return fitted
+    return fit_logistics({name: (train, features)}, cfg)[name]
+
+
+def fit_logistics(wanted: dict[str, tuple[DataFrame, list[str]]], cfg: DemandConfig) -> dict[str, Fitted]:
+    """L2 logistic regressions on filled, scaled features with balanced weights, one for each name; all take their Newton steps together.
+
+    The penalty is half the squared norm of the coefficients, without the intercept.
+    """
+    made, parts = {}, []
+    for name, (train, features) in wanted.items():
+        fill = fill_values(train, features)
+        made[name] = Fitted(name, features, None, fill, scale_values(train, features, fill))
+        x = vector_to_array("features").alias("x")
+        parts.append(made[name].vector(weighted(train)).select(F.lit(name).alias("key"), x, F.col("target").cast("double").alias("y"), F.col("weight").cast("double").alias("w")))
+    rows = materialize(reduce(DataFrame.unionByName, parts))
+    for name, found in newton.fit(rows, most_steps=cfg.logistic_iterations).items():
+        made[name].model = _logistic_model(rows.sparkSession, found)
+    return made
+
+
+def _logistic_model(spark, found: newton.Solution) -> LogisticRegressionModel:
+    """The solution as a model of Spark ML, so that it scores, is saved and read as one."""
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    values = gateway.new_array(gateway.jvm.double, len(found.coefficients))
+    for i, v in enumerate(found.coefficients):
+        values[i] = float(v)
+    vector = jvm.org.apache.spark.ml.linalg.Vectors.dense(values)
+    name = jvm.org.apache.spark.ml.util.Identifiable.randomUID("logreg")
+    return LogisticRegressionModel(jvm.org.apache.spark.ml.classification.LogisticRegressionModel(name, vector, found.intercept))
 
 
 def fit_tree(train: DataFrame, features: list[str], cfg: DemandConfig, name: str = TREE) -> Fitted:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from serieskit.config import ALERT_CUTOFFS
 from serieskit.functions import scalars as S
 from serieskit.operators.ordered import running_totals
+from serieskit.session import materialize
 from serieskit.operators.splits import train_quantiles
 
 COUNTS = ["TN", "FP", "FN", "TP"]
@@ -163,16 +164,32 @@ def example_predictions(scored: DataFrame, n: int = 3) -> DataFrame:
     return scored.withColumn("outcome", outcome).withColumn("position", place).where(F.col("position") <= n)
 
 
+def numbered_days(days: DataFrame) -> DataFrame:
+    """Add ``index``, the place of a day among all, and their number ``n_days``.
+
+    Days are numbered within their year; a year's own number of days is sent to every later year and summed there, so no
+    window holds all days.
+    """
+    dated = days.withColumn("_year", F.year("day"))
+    years = dated.groupBy("_year").agg(F.count("*").alias("_n"))
+    last = years.agg(F.max("_year")).scalar()
+    later = years.select(F.explode(F.sequence(F.col("_year") + 1, last + 1)).alias("_year"), "_n")
+    before = later.groupBy("_year").agg(F.sum("_n").alias("_before"))
+    place = F.row_number().over(W.partitionBy("_year").orderBy("day")) - 1
+    numbered = dated.join(before, "_year", "left").withColumn("index", (F.coalesce("_before", F.lit(0)) + place).cast("int"))
+    return numbered.withColumn("n_days", years.agg(F.sum("_n")).scalar()).drop("_year", "_before")
+
+
 def day_block_bootstrap(scored: DataFrame, repeats: int, minimum_days: int = 8, seed: int = 42) -> DataFrame:
     """Intervals from redrawn calendar days.
 
     Counts add up over days, so the rows are reduced to one row of counts per day first and
     only those are redrawn.
     """
-    days = confusion_counts(scored.withColumn("day", F.to_date("timestamp")), ["day"])
-    numbered = days.withColumn("n_days", F.count("*").over(W.partitionBy())).withColumn("index", F.row_number().over(W.orderBy("day")) - 1)
-    numbered = numbered.where(F.col("n_days") >= minimum_days)
-    draws = numbered.select("n_days", F.col("index").alias("slot"), F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("repeat"))
+    days = materialize(confusion_counts(scored.withColumn("day", F.to_date("timestamp")), ["day"]))
+    numbered = numbered_days(days).where(F.col("n_days") >= minimum_days)
+    every = F.sequence(F.lit(0), F.lit(max(repeats, 1) - 1))
+    draws = numbered.where(F.lit(repeats > 0)).select("n_days", F.col("index").alias("slot"), F.explode(every).alias("repeat"))
     picked = F.floor(S.draw(seed, F.col("repeat"), F.col("slot")) * F.col("n_days") / F.lit(4294967296.0)).cast("int")
     sums = (
         draws.select("repeat", picked.alias("index"))
