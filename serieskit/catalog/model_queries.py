@@ -60,9 +60,31 @@ def _model(spark, sf, name):
     return M.full_metrics(marked, ["split", "model"])
 
 
-@query("model_logistic")
+def sql_model_metrics(name: str) -> str:
+    """Metrics of ``held`` (split, target, score) at the cutoff of the validation rows."""
+    return f""",
+cuts as (select 0.05::double + i * ((0.95::double - 0.05::double) / 90) as cutoff from range(0, 91) t(i)),
+tries as (select cutoff, coalesce(2 * count(*) filter (target = 1 and score >= cutoff) /
+          nullif(count(*) filter (target = 1) + count(*) filter (score >= cutoff), 0)::double, 0) as f1 from held, cuts where split = 'validation' group by 1),
+chosen as (select cutoff from tries order by f1 desc, cutoff limit 1),
+marked as (select split, target, score, case when score >= cutoff then 1 else 0 end as prediction from held, chosen),
+areas as (select a.split, sum(case when a.score > b.score then 1.0::double when a.score = b.score then 0.5::double else 0.0::double end) / count(*) as roc_auc
+          from held a join held b on a.split = b.split and a.target = 1 and b.target = 0 group by 1),
+pts as (select t.split, t.score, count(*) filter (s.target = 1 and s.score >= t.score) as tp, count(*) filter (s.target = 0 and s.score >= t.score) as fp,
+               count(*) filter (s.target = 1) as p from (select distinct split, score from held) t join held s on s.split = t.split group by all),
+means as (select split, sum((tp - coalesce(prev, 0)) / p::double * tp / (tp + fp)) as average_precision
+          from (select *, lag(tp) over (partition by split order by score desc) as prev from pts) group by 1)
+select split, '{name}' as model, {D.SQL_RATES}, round(any_value(roc_auc), 6) as roc_auc, round(any_value(average_precision), 6) as average_precision
+from marked left join areas using (split) left join means using (split) group by split"""
+
+
+@query("model_logistic", sql_logistic(D.HOURLY, WITH_WEATHER) + f""",
+held as (select split, target, 1 / (1 + exp(-list_dot_product(beta, list_prepend(1.0::double,
+                list_transform(f, lambda v, i: case when d[i] is null then 0.0 else (coalesce(v, m[i], 0.0) - a[i]) / d[i] end))))) as score
+         from (select split, target, [{", ".join(f"{n}::double" for n in WITH_WEATHER)}] as f from lab where split in ('validation', 'test')), mids, moments, solved)"""
++ sql_model_metrics(L.LOGISTIC_WEATHER))
 def model_logistic(spark, sf):
-    return _model(spark, sf, L.LOGISTIC_WEATHER)
+    return rounded(_model(spark, sf, L.LOGISTIC_WEATHER))
 
 
 @query("model_tree")
