@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from serieskit.catalog import demand_views as D
 from serieskit.catalog.registry import query, rounded
-from serieskit.operators import classify as L, grid as G, metrics as M
+from serieskit.operators import classify as L, exact_tree, grid as G, metrics as M
 from serieskit.plans import demand as R
 from serieskit.session import materialize
 
@@ -87,9 +87,43 @@ def model_logistic(spark, sf):
     return rounded(_model(spark, sf, L.LOGISTIC_WEATHER))
 
 
-@query("model_tree")
+def sql_tree(cfg, features, depth: int = L.TREE_DEPTH) -> str:
+    """Level by level: running sums over the values of every node and feature, the best split of each node, rows sent on. Ends in ``nodes{depth}``."""
+    lists = ", ".join(f"{f}::double" for f in features)
+    medians = ", ".join(f"median({f}::double)" for f in features)
+    out = D.sql_labelled(cfg) + f""",
+mids as (select [{medians}] as m from lab where split = 'train'),
+filled as (select slot, split, target, list_transform(f, lambda v, i: coalesce(v, m[i], 0.0)) as f from (select slot, split, target, [{lists}] as f from lab where split is not null), mids),
+weighed as (select slot, target, f, count(*) over () / (2.0::double * count(*) over (partition by target)) as w, greatest(50, count(*) over () // 1000) as least
+            from filled where split = 'train'),
+nodes0 as materialized (select slot, split, target, f, 1 as node from filled)"""
+    for t in range(depth):
+        out += f""",
+v{t} as (select node, i, f[i] as v, sum(w * target) as pos, sum(w * (1 - target)) as neg, count(*) as n, any_value(least) as least
+         from weighed join (select slot, node from nodes{t} where split = 'train' and node >= {1 << t}) using (slot), range(1, {len(features) + 1}) as r(i) group by all),
+c{t} as (select *, sum(pos) over o as lp, sum(neg) over o as ln, sum(n) over o as nl, sum(pos) over a as tp, sum(neg) over a as tn, sum(n) over a as nt, lead(v) over (partition by node, i order by v) as after
+         from v{t} window o as (partition by node, i order by v), a as (partition by node, i)),
+k{t} as (select node, i, v, after, round((2 * tp * tn / (tp + tn) - 2 * lp * ln / (lp + ln) - coalesce(2 * (tp - lp) * (tn - ln) / nullif((tp - lp) + (tn - ln), 0), 0)) / (tp + tn), 12) as gain
+         from c{t} where nl >= least and nt - nl >= least and tp > 0 and tn > 0),
+s{t} as materialized (select node, i, (v + after) / 2 as th from (select *, row_number() over (partition by node order by gain desc, i, v) as place from k{t} where gain > 0) where place = 1),
+nodes{t + 1} as materialized (select slot, split, target, f, case when i is null then node when f[i] <= th then 2 * node else 2 * node + 1 end as node from nodes{t} left join s{t} using (node))"""
+    return "with recursive " + out.strip()
+
+
+@query("model_tree", sql_tree(D.HOURLY, WITH_WEATHER) + f""",
+shares as (select node, sum(w * target) / sum(w) as share from weighed join (select slot, node from nodes{L.TREE_DEPTH} where split = 'train') using (slot) group by 1),
+held as (select split, target, share as score from nodes{L.TREE_DEPTH} join shares using (node) where split in ('validation', 'test'))"""
++ sql_model_metrics(L.TREE))
 def model_tree(spark, sf):
-    return _model(spark, sf, L.TREE)
+    return rounded(_model(spark, sf, L.TREE))
+
+
+@query("tree_splits", sql_tree(D.HOURLY, WITH_WEATHER) + """,
+every as (""" + " union all ".join(f"select node, i, th from s{t}" for t in range(L.TREE_DEPTH)) + f""")
+select node::bigint as node, [{", ".join(f"'{n}'" for n in WITH_WEATHER)}][i] as feature, round(th, 6) as threshold from every""")
+def tree_splits(spark, sf):
+    fitted = R.fit_models(labelled(spark, sf), SMALL, [L.TREE])[L.TREE][0]
+    return rounded(exact_tree.split_table(fitted.model, fitted.features, spark).where("feature is not null").drop("positive_share"))
 
 
 @query("model_additive")

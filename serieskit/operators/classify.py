@@ -6,13 +6,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, LogisticRegressionModel
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import Bucketizer, OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from serieskit.config import TEMPERATURE_SHIFTS, DemandConfig
-from serieskit.operators import newton
+from serieskit.operators import exact_tree, newton
 from serieskit.operators.ordered import exact_quantiles
 from serieskit.operators.prep import long_form, scale_width, scaled_value
 from serieskit.operators.splits import class_weights
@@ -22,6 +22,7 @@ ADDITIVE = "Additive model"
 LOGISTIC_BASE = "Logistic Regression: demand/calendar"
 LOGISTIC_WEATHER = "Logistic Regression: weather enhanced"
 TREE = "Shallow Decision Tree"
+TREE_DEPTH = 5
 
 
 def weighted(train: DataFrame) -> DataFrame:
@@ -115,12 +116,10 @@ def _logistic_model(spark, found: newton.Solution) -> LogisticRegressionModel:
 
 
 def fit_tree(train: DataFrame, features: list[str], cfg: DemandConfig, name: str = TREE) -> Fitted:
+    """A tree of five levels with exact splits and balanced weights; a leaf holds at least 50 rows and a thousandth of all."""
     fitted = Fitted(name, features, None, fill_values(train, features))
-    learner = DecisionTreeClassifier(
-        featuresCol="features", labelCol="target", weightCol="weight", maxDepth=5, maxBins=256, seed=42,
-        minInstancesPerNode=max(50, train.count() // 1000),
-    )
-    fitted.model = learner.fit(fitted.vector(weighted(train)).select("features", "target", "weight"))
+    rows = fitted.vector(weighted(train)).select(vector_to_array("features").alias("x"), F.col("target").cast("double").alias("y"), F.col("weight").cast("double").alias("w"))
+    fitted.model = exact_tree.fit(materialize(rows), TREE_DEPTH, max(50, train.count() // 1000))
     return fitted
 
 
