@@ -58,6 +58,37 @@ def rolling_stats(spark, sf):
     return rounded(out.select("slot", *[f"{k}_{m}min" for m in QUARTERLY.rolling_minutes for k in ("mean", "std")]), 4)
 
 
+SQL_TYPED = """
+with readings as (select event_type, epoch_us(ts) // 900000000 as slot, round(sum(value), 2) as demand from events where event_type <> 'view' or user_id % 3 > 0 group by 1, 2),
+ends as (select event_type, min(slot) as a, max(slot) as b from readings group by 1),
+grid as (select * from (select event_type, unnest(range(a, b + 1)) as slot from ends) left join readings using (event_type, slot))"""
+
+
+def _typed_windows(spark, sf):
+    """Windows over one series for every type of event."""
+    events = load(spark, sf, "events").where("event_type <> 'view' or user_id % 3 > 0")
+    readings = events.groupBy("event_type", G.slot_of(F.col("ts"), 900).alias("slot")).agg(F.round(F.sum("value"), 2).alias("demand"))
+    return G.demand_windows(materialize(G.regular_grid(readings, QUARTERLY, by=["event_type"])), QUARTERLY, by=["event_type"])
+
+
+@query("grid_lags_by_type", SQL_TYPED + """
+select event_type, slot, round(demand, 4) as demand_now, round(lag(demand, 1) over w, 4) as lag_15min, round(lag(demand, 4) over w, 4) as lag_60min,
+       round(lag(demand, 672) over w, 4) as lag_10080min, round(demand - lag(demand, 6) over w, 4) as change_90min,
+       round(case when count(demand) over a = 12 then max(demand) over a end, 4) as future_hour_max
+from grid window w as (partition by event_type order by slot), a as (partition by event_type order by slot rows between 1 following and 12 following)""")
+def grid_lags_by_type(spark, sf):
+    wanted = ["event_type", "slot", "demand_now", "lag_15min", "lag_60min", "lag_10080min", "change_90min", "future_hour_max"]
+    return rounded(_typed_windows(spark, sf).select(*wanted), 4)
+
+
+@query("rolling_stats_by_type", SQL_TYPED + """
+select event_type, slot, round(case when count(demand) over a = 6 then avg(demand) over a end, 4) as mean_90min, round(case when count(demand) over a = 6 then stddev_samp(demand) over a end, 4) as std_90min,
+       round(case when count(demand) over b = 36 then avg(demand) over b end, 4) as mean_540min, round(case when count(demand) over b = 36 then stddev_samp(demand) over b end, 4) as std_540min
+from grid window a as (partition by event_type order by slot rows between 5 preceding and current row), b as (partition by event_type order by slot rows between 35 preceding and current row)""")
+def rolling_stats_by_type(spark, sf):
+    return rounded(_typed_windows(spark, sf).select("event_type", "slot", "mean_90min", "std_90min", "mean_540min", "std_540min"), 4)
+
+
 @query("future_max", "with " + D.sql_windows(QUARTERLY) + "select slot, round(future_hour_max, 4) as future_hour_max from win")
 def future_max(spark, sf):
     return rounded(G.demand_windows(D.grid(spark, sf, QUARTERLY), QUARTERLY).select("slot", "future_hour_max"), 4)

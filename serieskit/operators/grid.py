@@ -2,12 +2,14 @@
 
 A series without a key would put every window into one task. Here the dense grid is cut
 into chunks of slots; each chunk also receives the rows its windows reach into, and keeps
-only its own. The result equals one window over the whole series.
+only its own. The result equals one window over the whole series. Of many series, short ones are one chunk each, and
+long ones are cut.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
@@ -72,29 +74,51 @@ def readings_summary(typed: DataFrame, cfg: DemandConfig) -> DataFrame:
     )
 
 
-def regular_grid(readings: DataFrame, cfg: DemandConfig, values: list[str] | None = None) -> DataFrame:
-    """One row per slot from the first to the last reading; equal slots averaged, gaps NULL."""
-    values = values or [c for c in readings.columns if c not in ("timestamp", "slot")]
+def regular_grid(readings: DataFrame, cfg: DemandConfig, values: list[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """One row per slot from the first to the last reading, of each series ``by``; equal slots averaged, gaps NULL."""
+    values = values or [c for c in readings.columns if c not in ("timestamp", "slot", *by)]
     if "slot" not in readings.columns:
         readings = readings.withColumn("slot", slot_of(F.col("timestamp"), cfg.step_seconds))
     # Stored, since its ends are looked for before the slots meet it: the readings are then aggregated once.
-    by_slot = materialize(readings.groupBy("slot").agg(*[F.avg(v).alias(v) for v in values]))
-    return _all_slots(by_slot).join(by_slot, "slot", "left")
+    by_slot = materialize(readings.groupBy(*by, "slot").agg(*[F.avg(v).alias(v) for v in values]))
+    slots = _all_slots(by_slot, by)
+    if not by:
+        return slots.join(by_slot, "slot", "left")
+    same = reduce(lambda a, b: a & b, [F.col(f"s.{k}").eqNullSafe(F.col(f"r.{k}")) for k in by], F.col("s.slot") == F.col("r.slot"))
+    return slots.alias("s").join(by_slot.alias("r"), same, "left").select("s.*", *[F.col(f"r.{v}") for v in values])
 
 
-def _all_slots(by_slot: DataFrame) -> DataFrame:
+def _all_slots(by_slot: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Every slot between the ends, made in parallel chunk by chunk."""
-    ends = by_slot.agg(F.min("slot").alias("first"), F.max("slot").alias("last"))
-    chunk = F.explode(F.sequence(F.floor(F.col("first") / CHUNK), F.floor(F.col("last") / CHUNK))).alias("chunk")
-    chunks = ends.select("first", "last", chunk).repartition("chunk")
-    start = F.greatest(F.col("first"), F.col("chunk") * CHUNK)
-    stop = F.least(F.col("last"), F.col("chunk") * CHUNK + (CHUNK - 1))
-    return chunks.select(F.explode(F.sequence(start, stop)).alias("slot"))
-
-
-def chunked(grid: DataFrame, back: int, ahead: int, build: Callable[[DataFrame, W], DataFrame], size: int | None = None) -> DataFrame:
-    """Apply ``build(frame, window)`` with windows reaching ``back`` and ``ahead`` slots on a dense grid."""
+    ends = by_slot.groupBy(*by).agg(F.min("slot").alias("_first"), F.max("slot").alias("_last")).where(F.col("_first").isNotNull())
+    chunk = F.explode(F.sequence(F.floor(F.col("_first") / CHUNK), F.floor(F.col("_last") / CHUNK))).alias("_chunk")
+    chunks = ends.select(*by, "_first", "_last", chunk).repartition(*by, "_chunk")
+    start = F.greatest(F.col("_first"), F.col("_chunk") * CHUNK)
+    stop = F.least(F.col("_last"), F.col("_chunk") * CHUNK + (CHUNK - 1))
+    return chunks.select(*by, F.explode(F.sequence(start, stop)).alias("slot"))
+
+
+def _chunked_series(grid: DataFrame, back: int, ahead: int, build: Callable[[DataFrame, W], DataFrame], size: int, by: Sequence[str]) -> DataFrame:
+    """``chunked`` for many series. A short series is one chunk and copies nothing; a long one is cut at chunks of its own.
+
+    ``grid`` is read twice. Series meet their ends by a join, which Spark broadcasts while it is small and can split where a series is large.
+    """
+    by = list(by)
+    ends = grid.groupBy(*by).agg(F.min("slot").alias("_first"), F.max("slot").alias("_last"))
+    same = reduce(lambda a, b: a & b, [F.col(f"g.{k}").eqNullSafe(F.col(f"e.{k}")) for k in by])
+    placed = grid.alias("g").join(ends.alias("e"), same).select("g.*", "_first", "_last")
+    place, most = F.col("slot") - F.col("_first"), F.floor((F.col("_last") - F.col("_first")) / size)
+    spread = F.sequence(F.greatest(F.lit(0), F.floor((place - ahead) / size)), F.least(most, F.floor((place + back) / size)))
+    copies = placed.withColumn("_own", F.floor(place / size)).withColumn("_chunk", F.explode(spread)).drop("_first", "_last")
+    built = build(copies, W.partitionBy(*by, "_chunk").orderBy("slot"))
+    return built.where(F.col("_chunk") == F.col("_own")).drop("_chunk", "_own")
+
+
+def chunked(grid: DataFrame, back: int, ahead: int, build: Callable[[DataFrame, W], DataFrame], size: int | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Apply ``build(frame, window)`` with windows reaching ``back`` and ``ahead`` slots on a dense grid, of each series ``by``."""
     size = size or max(CHUNK, 8 * (back + ahead))
+    if by:
+        return _chunked_series(grid, back, ahead, build, size, by)
     slot = F.col("slot")
     spread = F.sequence(F.floor((slot - ahead) / size), F.floor((slot + back) / size))
     copies = grid.withColumn("_chunk", F.explode(spread))
@@ -133,7 +157,7 @@ def add_lookahead(frame: DataFrame, window, cfg: DemandConfig) -> DataFrame:
     })
 
 
-def demand_windows(grid: DataFrame, cfg: DemandConfig, size: int | None = None) -> DataFrame:
+def demand_windows(grid: DataFrame, cfg: DemandConfig, size: int | None = None, by: Sequence[str] = ()) -> DataFrame:
     reach = [*cfg.lag_minutes, *cfg.rolling_minutes, cfg.change_minutes, cfg.day_minutes, cfg.week_minutes]
     back = max(cfg.steps(m) for m in reach)
 
@@ -142,15 +166,15 @@ def demand_windows(grid: DataFrame, cfg: DemandConfig, size: int | None = None)
             frame = step(frame, window, cfg)
         return frame
 
-    return chunked(grid.withColumnRenamed("demand", "demand_now"), back, cfg.horizon_steps, build, size)
+    return chunked(grid.withColumnRenamed("demand", "demand_now"), back, cfg.horizon_steps, build, size, by)
 
 
-def relative_change(grid: DataFrame, cfg: DemandConfig) -> DataFrame:
+def relative_change(grid: DataFrame, cfg: DemandConfig, by: Sequence[str] = ()) -> DataFrame:
     """Absolute one-step change relative to the slot before; NULL if either is missing."""
     def build(frame, window):
         return frame.withColumn("absolute_change_fraction", F.abs(S.ratio(F.col("demand"), F.lag("demand", 1).over(window)) - 1))
 
-    return chunked(grid, 1, 0, build)
+    return chunked(grid, 1, 0, build, by=by)
 
 
 def holiday_flags(frame: DataFrame, holidays: DataFrame, when: str = "timestamp") -> DataFrame:

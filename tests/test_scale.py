@@ -105,6 +105,29 @@ def test_chunked_windows_equal_one_window(spark):
         assert rows(found.select(*digits)) == rows(wanted.select(*digits))
 
 
+def test_chunks_of_many_series_equal_one_window_each(spark):
+    """A long series that is cut, short ones that are not, one of a missing key, and gaps."""
+    cfg = DemandConfig(step_seconds=900, lag_minutes=(15, 60, 1440), rolling_minutes=(90, 180), change_minutes=90, day_minutes=1440, week_minutes=2880)
+    named = spark.range(0, 2300).select(
+        F.when(F.col("id") < 1500, "long").when(F.col("id") < 1700, "short").when(F.col("id") < 1710, "tiny").alias("k"),
+        (F.col("id") * 3 % 2300).alias("x"), (F.col("id") + F.when(F.col("id") < 1500, 0).otherwise(977)).alias("slot"))
+    readings = named.where("x % 41 > 0").select("k", "slot", F.sin("x").alias("demand")).unionByName(named.where("x % 57 = 0").select("k", "slot", F.lit(5.0).alias("demand")))
+    grid = materialize(G.regular_grid(readings, cfg, by=["k"]).where("slot is not null"))
+    known = grid.where("demand is not null").groupBy("k").count().collect()
+    assert {r["k"] for r in known} == {"long", "short", "tiny", None}
+
+    def plain(frame):
+        for step in (G.add_lags, G.add_rolling, G.add_lookahead):
+            frame = step(frame, W.partitionBy("k").orderBy("slot"), cfg)
+        return frame
+
+    wanted = plain(grid.withColumnRenamed("demand", "demand_now"))
+    names = sorted(wanted.columns)
+    digits = [F.round(c, 9).alias(c) if c not in ("slot", "k") else F.col(c) for c in names]
+    for size in (64, 500, 4096):
+        assert rows(G.demand_windows(grid, cfg, size, ["k"]).select(*digits)) == rows(wanted.select(*digits))
+
+
 def test_relative_change_at_chunk_borders(spark):
     grid = spark.range(0, 9000).select(F.col("id").alias("slot"), (F.col("id") + 1.0).alias("demand"))
     out = G.relative_change(grid, DemandConfig())
