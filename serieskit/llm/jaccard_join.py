@@ -24,9 +24,6 @@ null doc_id takes no part and has a null component; no rows give no rows; other
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
-from functools import cached_property
-from hashlib import blake2b
 from itertools import combinations
 from math import comb
 
@@ -34,61 +31,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from serieskit.llm.common import discard, small_batches, stored, texts
+from serieskit.llm.common import small_batches, stored, texts
 from serieskit.llm.hashing import chunks, mixed, shingles
-from serieskit.llm.near_dup import components
+from serieskit.llm.links import LEVEL_BITS, Levels, components_of_rows, distinct_sets, list_parts, odd_sketch, set_name, settled_groups
 
-# A level ends where its sets are so many times as large as its smallest.
-GROWTH = 1.4
-# Keys end in the number of their level.
-LEVEL_BITS = 6
 # Largest set whose subsets may be enumerated; from there on a single set has more of them than a long text has words.
 MOST_LISTED = 40
 # What the look at one pair of a list costs, in rows.
 MEETING = 0.05
-# Members of a list that are compared in one block.
-BLOCK_ROWS = 1024
-# Partners that a member offers in the first round, and how many times more in each next one.
-OFFERS, MORE = 2, 16
-SKETCH_LEAST = 64
 
 SIGNED = "doc_id long, n_shingles long, class_a long, class_b long, keys array<long>, sketch binary, grams binary"
 
 
-@dataclass(frozen=True)
-class Levels:
-    """Size levels at one similarity. Level i holds the sizes from starts[i] up to, not with, starts[i + 1]."""
-
-    percent: int
-
-    @cached_property
-    def starts(self) -> np.ndarray:
-        out = [1]
-        # The last number of a level is that of the keys of subsets.
-        while len(out) < 1 << LEVEL_BITS:
-            out.append(max(out[-1] + 1, int(out[-1] * GROWTH)))
-        return np.array(out, np.int64)
-
-    def of(self, size) -> np.ndarray:
-        return np.searchsorted(self.starts, size, side="right") - 1
-
-    def differ(self, both: int) -> int:
-        """Most shingles in which two linked sets of ``both`` shingles together differ."""
-        return both * (100 - self.percent) // (100 + self.percent)
-
-    def most(self, level: int) -> int:
-        """Most shingles in which linked sets differ whose larger one is of ``level``."""
-        return self.differ(2 * (int(self.starts[level + 1]) - 1))
-
-    def up_to(self, size: int) -> int:
-        """Last level of sets that a set of ``size`` can be linked with."""
-        return int(self.of(size * 100 // self.percent))
-
-    def bits(self, level: int) -> int:
-        """Bits of a sketch: a power of two, several times what linked sets differ in."""
-        return max(SKETCH_LEAST, 1 << (8 * self.most(level) - 1).bit_length())
-
-
 def block_keys(grams: np.ndarray, level: int, levels: Levels) -> np.ndarray:
     """One key for every block of shingles of a set at ``level``; an empty block is a content too."""
     blocks = levels.most(level) + 1
@@ -100,18 +54,6 @@ def block_keys(grams: np.ndarray, level: int, levels: Levels) -> np.ndarray:
     return (keys >> np.uint64(LEVEL_BITS) << np.uint64(LEVEL_BITS)) | np.uint64(level)
 
 
-def odd_sketch(grams: np.ndarray, bits: int) -> np.ndarray:
-    """Parity of the shingles that fall on every bit."""
-    at = (mixed(grams ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(32)).astype(np.int64) & (bits - 1)
-    odd = np.bincount(at, minlength=bits).astype(np.uint8) & 1
-    return np.packbits(odd, bitorder="little").view(np.uint64)
-
-
-def folded(sketch: np.ndarray, bits: int) -> np.ndarray:
-    """The same sketch at fewer bits, both powers of two."""
-    return np.bitwise_xor.reduce(sketch.reshape(-1, bits // 64), axis=0)
-
-
 def _sign(words: int, levels: Levels):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,13 +66,12 @@ def _sign(words: int, levels: Levels):
                     if not len(grams):
                         out.append((0, None, None, [], None, None))
                         continue
-                    name = np.frombuffer(blake2b(grams.tobytes(), digest_size=16).digest(), np.int64)
                     own, last = int(levels.of(len(grams))), levels.up_to(len(grams))
                     # Where linked sets cannot differ, equal classes are all there is.
                     some = [block_keys(grams, at, levels) for at in range(own, last + 1) if levels.most(at)]
                     keys = np.concatenate(some).view(np.int64) if some else []
                     small = grams.tobytes() if len(grams) < MOST_LISTED else None
-                    out.append((len(grams), int(name[0]), int(name[1]), keys, odd_sketch(grams, levels.bits(last)).tobytes(), small))
+                    out.append((len(grams), *set_name(grams), keys, odd_sketch(grams, levels.bits(last)).tobytes(), small))
                 columns = list(zip(*out))
                 lengths = np.cumsum([0, *map(len, columns[3])], dtype=np.int32)
                 flat = np.concatenate([np.asarray(k, np.int64) for k in columns[3]])
@@ -193,145 +134,12 @@ def level_of(key: str = "key") -> Column:
     return F.col(key).bitwiseAND(F.lit((1 << LEVEL_BITS) - 1).cast("long"))
 
 
-def list_parts(keys: DataFrame, counts: DataFrame) -> DataFrame:
-    """(key, part, own, node) of every list in ``counts``: whole if it is short, else dealt to all pairs of its blocks.
-
-    Part (i, j) holds the members of blocks i and j; ``own`` is a member's block.
-    """
-    dealt = keys.join(counts.withColumn("pieces", F.ceil(F.col("members") / BLOCK_ROWS).cast("int")), "key")
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node", F.lit(3)), F.col("pieces")).cast("int"))
-    parts = F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda j: F.least("own", j) * F.col("pieces") + F.greatest("own", j))
-    return dealt.select("key", F.explode(parts).alias("part"), "own", "node")
-
-
-def _nearest(pairs: np.ndarray, offers: int) -> np.ndarray:
-    """Which of the pairs (member, member, distance) are among the ``offers`` nearest of either member."""
-    x, y, apart = pairs
-    ends, others, far = np.concatenate([x, y]), np.concatenate([y, x]), np.concatenate([apart, apart])
-    order = np.lexsort((others, far, ends))
-    first = np.concatenate([[True], ends[order][1:] != ends[order][:-1]])
-    place = np.arange(len(order))
-    rank = np.empty(len(order), np.int64)
-    rank[order] = place - np.maximum.accumulate(np.where(first, place, 0))
-    near = rank < offers
-    return near[: len(x)] | near[len(x) :]
-
-
-def _judge(rows: pa.Table, levels: Levels, offers: int) -> pa.RecordBatch:
-    key, part, own, node, size, group = (rows.column(c).to_numpy() for c in ("key", "part", "own", "node", "size", "component"))
-    sketches = rows.column("sketch").to_pylist()
-    unit = np.cumsum(np.concatenate([[0], (key[1:] != key[:-1]) | (part[1:] != part[:-1])]))
-    starts = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1]]))
-    # In a part of two blocks only members of different blocks are compared.
-    whole = (np.minimum.reduceat(own, starts) == np.maximum.reduceat(own, starts))[unit]
-    level, found = key & ((1 << LEVEL_BITS) - 1), []
-    for at in np.unique(level):
-        here = np.flatnonzero(level == at)
-        raw = [np.frombuffer(sketches[r], np.uint64) for r in here]
-        bits = min(64 * min(map(len, raw)), levels.bits(int(at)) if at < len(levels.starts) - 1 else 1 << 62)
-        odd = np.stack([folded(s, bits) for s in raw])
-        i = np.arange(len(here))
-        for step in range(1, len(here)):
-            # Members of a part follow each other, so parts that are shorter than the step drop out.
-            i = i[i + step < len(here)]
-            i = i[unit[here[i]] == unit[here[i + step]]]
-            if not len(i):
-                break
-            x, y = here[i], here[i + step]
-            fits = (group[x] != group[y]) & (100 * np.minimum(size[x], size[y]) >= levels.percent * np.maximum(size[x], size[y])) & (whole[x] | (own[x] != own[y]))
-            apart = np.bitwise_count(odd[i[fits]] ^ odd[i[fits] + step]).sum(axis=1, dtype=np.int64)
-            x, y = x[fits], y[fits]
-            near = apart <= (size[x] + size[y]) * (100 - levels.percent) // (100 + levels.percent)
-            found.append(np.stack([x[near], y[near], apart[near]]))
-    pairs = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
-    kept = _nearest(pairs, offers) if pairs.shape[1] else np.zeros(0, bool)
-    open_ = np.zeros(len(starts), bool)
-    open_[unit[pairs[0][~kept]]] = True
-    x, y = pairs[0][kept], pairs[1][kept]
-    out = np.minimum(node[x], node[y]), np.maximum(node[x], node[y]), key[x], part[x], open_[unit[x]]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in out], ["a", "b", "key", "part", "more"])
-
-
-def _offer(levels: Levels, offers: int):
-    """Pairs that may be linked, the nearest of each member; ``more`` marks a part that holds others."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(batch)
-            if sum(b.num_rows for b in held) < 4 * BLOCK_ROWS:
-                continue
-            rows = pa.Table.from_batches(held).combine_chunks()
-            key, part = rows.column("key").to_numpy(), rows.column("part").to_numpy()
-            # The last part may go on in the next batch.
-            cut = int(np.argmax((key == key[-1]) & (part == part[-1])))
-            held = rows.slice(cut).to_batches()
-            if cut:
-                yield _judge(rows.slice(0, cut), levels, offers)
-        if held:
-            yield _judge(pa.Table.from_batches(held).combine_chunks(), levels, offers)
-
-    return run
-
-
-def _sets(words: int):
-    """node and shingles of the rows that are of the wanted class."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes, wanted = batch.column("node").to_pylist(), list(zip(batch.column("class_a").to_pylist(), batch.column("class_b").to_pylist()))
-            whole = [t.encode() for t in batch.column("text").to_pylist()]
-            for first, part in chunks(whole):
-                hashed, borders, _, _ = shingles(part, words)
-                out = []
-                for i, (a, b) in enumerate(zip(borders[:-1], borders[1:]), first):
-                    grams = np.unique(mixed(hashed[a:b])).tobytes()
-                    if tuple(np.frombuffer(blake2b(grams, digest_size=16).digest(), np.int64)) == wanted[i]:
-                        out.append((nodes[i], grams))
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([x for _, x in out], pa.binary())], ["node", "grams"])
-
-    return run
-
-
-def _confirm(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = []
-            for x, y in zip(batch.column("grams_a").to_pylist(), batch.column("grams_b").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * both >= percent * (len(x) + len(y) - both))
-            keep = pa.array(linked, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
-
-    return run
-
-
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are links by their full sets."""
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("grams_a")), "a")
-    both = both.join(sets.select(F.col("node").alias("b"), F.col("grams").alias("grams_b")), "b")
-    return both.select("a", "b", "grams_a", "grams_b").mapInArrow(_confirm(percent), "a long, b long")
-
-
-def distinct_sets(signed: DataFrame) -> DataFrame:
-    """One row of every distinct set: its node (the smallest doc_id, or a made name where texts share an id), and what belongs to the set."""
-    some = signed.where("n_shingles > 0 and doc_id is not null").groupBy("class_a", "class_b")
-    classes = stored(some.agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n_shingles", "keys", "sketch", "grams")]), "classes")
-    several = classes.groupBy("doc_id").agg(F.count("*").alias("sets"), F.min(F.struct("class_a", "class_b")).alias("least")).where("sets > 1").select(F.col("doc_id").alias("several"), "least")
-    made = F.shiftrightunsigned(F.xxhash64("doc_id", "class_a", "class_b"), 2) + F.lit(1 << 62)
-    other = F.col("several").isNotNull() & (F.struct("class_a", "class_b") != F.col("least"))
-    return classes.join(several, F.col("doc_id") == F.col("several"), "left").withColumn("node", F.when(other, made).otherwise(F.col("doc_id"))).drop("several", "least")
-
-
 def join(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs``."""
     small_batches(docs.sparkSession)
     levels = Levels(percent)
     signed = stored(texts(docs).mapInArrow(_sign(words, levels), SIGNED), "signed")
-    classes = stored(distinct_sets(signed), "sets")
+    classes = stored(distinct_sets(signed, ["keys", "sketch", "grams"]), "sets")
     lists = classes.select("node", F.explode("keys").alias("key"))
     counts = stored(lists.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "lists")
     few = classes.where(F.col("n_shingles") < MOST_LISTED).groupBy("n_shingles").count()
@@ -344,36 +152,4 @@ def join(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
         listed = stored(listed, "subsets")
         parts = parts.union(list_parts(listed, listed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")))
     parts = stored(parts, "parts")
-    facts = classes.select("node", F.col("n_shingles").alias("size"), "sketch")
-    groups, sets, tested, links, offers = None, None, None, None, OFFERS
-    while True:
-        rows = parts.join(facts, "node")
-        rows = rows.withColumn("component", F.col("node")) if groups is None else rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        rows = rows.repartition("key", "part").sortWithinPartitions("key", "part", "node")
-        offered = stored(rows.mapInArrow(_offer(levels, offers), "a long, b long, key long, part int, more boolean"), "offers")
-        open_ = stored(parts.join(offered.where("more").select("key", "part").distinct(), ["key", "part"], "left_semi"), "parts")
-        fresh = offered.select("a", "b").distinct()
-        fresh = stored(fresh if tested is None else fresh.join(tested, ["a", "b"], "left_anti"), "pairs")
-        discard(offered, parts)
-        parts = open_
-        if sets is None:
-            # All that this and later rounds look at: partners of the first round and members of parts that hold more.
-            nodes = fresh.select(F.col("a").alias("node")).union(fresh.select("b")).union(parts.select("node")).distinct()
-            wanted = classes.select("doc_id", "node", "class_a", "class_b").join(nodes, "node", "left_semi")
-            sets = texts(docs).join(wanted, "doc_id").mapInArrow(_sets(words), "node long, grams binary")
-            sets = stored(sets.groupBy("node").agg(F.first("grams").alias("grams")), "full-sets")
-        met = stored(confirmed(fresh, sets, percent), "links")
-        if met.limit(1).count():
-            links = met if links is None else stored(links.union(met), "links")
-            groups = components(links)
-        if not parts.limit(1).count():
-            break
-        tested = fresh if tested is None else stored(tested.union(fresh), "tested")
-        offers *= MORE
-    heads = classes.select("class_a", "class_b", "node", "doc_id")
-    heads = heads.withColumn("component", F.col("node")) if groups is None else heads.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = heads.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    heads = heads.drop("node", "doc_id").join(least, "component").drop("component")
-    out = signed.select("doc_id", "n_shingles", "class_a", "class_b").join(heads, ["class_a", "class_b"], "left")
-    alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
-    return out.select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return components_of_rows(signed, classes, settled_groups(docs, classes, parts, words, percent))

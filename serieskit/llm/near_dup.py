@@ -2,13 +2,11 @@
 
 Two small collections of half keys are made per document, each half key from ``HALF_ROWS`` minima; a table's
 key is one half key of either collection, so HALVES * HALVES tables cost 2 * HALVES * HALF_ROWS minima. Two sets of
-similarity s meet in some table with probability (1 - (1 - s**HALF_ROWS)**HALVES)**2: 0.9996 at 0.8, 0.99999 at 0.85.
+similarity s meet in some table with probability (1 - (1 - s**HALF_ROWS)**HALVES)**2: 0.9993 at 0.8, 0.99995 at 0.85.
 
-Texts with equal word sequences are one class from the start. Documents that share a key are compared on
-their full sets: all members of a key with its smallest member first, then, where a key's members are still in
-different groups, with more and more other members, until every pair of members is compared, in one group, or too different in
-size or in a sketch of the minima (which a linked pair fails with a chance of about one in 10**8). So a key with many
-copies costs one comparison each, and no link between members of a key is lost. Groups are the smallest id reachable.
+Texts with equal sets are one class from the start. Documents that share a key are one list: exact sketches rule out most pairs, the rest are
+confirmed on their full sets, the nearest of each member first and only while they are in different groups (module ``links``). So a key with many
+copies costs a few comparisons each, and no link between members of a key is lost. Groups are the smallest id reachable.
 
 Defined cases: a null or empty text, or one of white space, has an empty set, is linked with
 nothing and stays; with fewer words than a shingle has, the whole sequence is one shingle; rows that share a doc_id
@@ -25,74 +23,48 @@ from pyspark.sql import DataFrame, functions as F
 
 from serieskit.llm.common import discard, small_batches, stored, texts
 from serieskit.llm.hashing import chunks, mixed, multipliers, shingles
+from serieskit.llm.links import Levels, components_of_rows, distinct_sets, list_parts, odd_sketch, set_name, settled_groups
 
-HALVES = 12
+HALVES = 11
 HALF_ROWS = 3
-# Comparisons that are still open are made at once if they are at most so many times the documents.
-AT_ONCE = 4
-# Bits kept of every minimum, for a first look at two documents of a key.
-SKETCH_BITS = 4
-# Pivots of a key in one round, at most; rounds begin with one and double it.
-MOST_PIVOTS = 64
 
+SIGNED = "doc_id long, n_shingles long, class_a long, class_b long, halves array<long>, sketch binary"
 
-def half_keys(grams: np.ndarray, borders: np.ndarray, halves: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Both collections of half keys (2 * halves columns) of every text with a set, and ``SKETCH_BITS`` of each minimum, packed."""
-    full = np.flatnonzero(np.diff(borders))
-    factors = multipliers(2 * halves * rows, 17)
-    out = np.zeros((len(borders) - 1, 2 * halves), np.uint64)
-    sketch = np.zeros((len(borders) - 1, sketch_words(halves, rows)), np.uint64)
-    if not len(full):
-        return out, sketch
-    starts, at = borders[:-1][full], 0
-    for half in range(2 * halves):
-        key = np.full(len(full), half, np.uint64)
-        for row in range(rows):
-            least = np.minimum.reduceat(grams * factors[half * rows + row], starts)
-            key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + least)
-            sketch[full, at // (64 // SKETCH_BITS)] |= (mixed(least) >> np.uint64(64 - SKETCH_BITS)) << np.uint64(at % (64 // SKETCH_BITS) * SKETCH_BITS)
-            at += 1
-        out[full, half] = key
-    return out, sketch
-
-
-def sketch_words(halves: int, rows: int) -> int:
-    return -(-2 * halves * rows * SKETCH_BITS // 64)
-
-
-def most_apart(halves: int, rows: int, percent: int) -> int:
-    """Sketch bits in which two sets of the asked similarity differ at most, but for chances of about one in 10**8.
-
-    A minimum differs with the chance that the sets' dissimilarity gives, and then in half of its bits.
-    """
-    n, p, half = 2 * halves * rows, 1 - percent / 100, SKETCH_BITS / 2
-    spread = n * (p * (half / 2 + half**2) - (p * half) ** 2)
-    return int(n * p * half + 6 * spread**0.5)
 
+def half_keys(grams: np.ndarray, factors: np.ndarray, rows: int) -> np.ndarray:
+    """The half keys of a set, from ``rows`` minima each."""
+    least = np.array([(grams * f).min() for f in factors], np.uint64).reshape(-1, rows)
+    keys = np.arange(len(least), dtype=np.uint64)
+    for row in range(rows):
+        keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + least[:, row])
+    return keys
+
+
+def _sign(words: int, levels: Levels, halves: int, rows: int):
+    factors = multipliers(2 * halves * rows, 17)
 
-def _sign(words: int, halves: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             whole = [t.encode() for t in batch.column("text").to_pylist()]
             for first, part in chunks(whole):
-                grams, borders, one, two = shingles(part, words)
-                sizes = np.array([len(np.unique(grams[a:b])) for a, b in zip(borders[:-1], borders[1:])], np.int64)
-                keys, sketch = (x.view(np.int64) for x in half_keys(grams, borders, halves, rows))
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * (2 * halves)), pa.array(keys.ravel()))
+                hashed, borders, _, _ = shingles(part, words)
+                out: list[tuple] = []
+                for a, b in zip(borders[:-1], borders[1:]):
+                    grams = np.unique(mixed(hashed[a:b]))
+                    if not len(grams):
+                        out.append((0, None, None, None, None))
+                        continue
+                    sketch = odd_sketch(grams, levels.bits(int(levels.of(len(grams))))).tobytes()
+                    out.append((len(grams), *set_name(grams), half_keys(grams, factors, rows).view(np.int64), sketch))
+                columns = list(zip(*out))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, len(part)), pa.array(sizes), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), lists, *(pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(sketch.shape[1]))],
-                    ["doc_id", "n_shingles", "whole_a", "whole_b", "halves", *(f"sketch{i}" for i in range(sketch.shape[1]))],
+                    [batch.column("doc_id").slice(first, len(part)), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.list_(pa.int64())), pa.array(columns[4], pa.binary())],
+                    ["doc_id", "n_shingles", "class_a", "class_b", "halves", "sketch"],
                 )
 
     return run
 
 
-def signatures(docs: DataFrame, words: int, halves: int = HALVES, rows: int = HALF_ROWS) -> DataFrame:
-    """doc_id, set size, two hashes of the word sequence and the half keys of every row."""
-    schema = "doc_id long, n_shingles long, whole_a long, whole_b long, halves array<long>" + "".join(f", sketch{i} long" for i in range(sketch_words(halves, rows)))
-    return texts(docs).mapInArrow(_sign(words, halves, rows), schema)
-
-
 def table_keys(classes: DataFrame, halves: int) -> DataFrame:
     """One row (key, node) for every table: each pair of half keys of the two collections."""
     n = F.lit(halves)
@@ -103,112 +75,28 @@ def table_keys(classes: DataFrame, halves: int) -> DataFrame:
     return classes.select("node", F.explode(pairs).alias("key"))
 
 
-def _compare(words: int, percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            sides = [[t.encode() for t in batch.column(c).to_pylist()] for c in ("text_a", "text_b")]
-            linked = np.zeros(len(names[0]), bool)
-            for first, part in chunks(sides[1]):
-                known: dict[bytes, np.ndarray] = {}
-                for side in (part, sides[0][first : first + len(part)]):
-                    for _, new in chunks(list(dict.fromkeys(t for t in side if t not in known))):
-                        grams, borders, _, _ = shingles(new, words)
-                        known |= {t: np.unique(grams[p:q]) for t, p, q in zip(new, borders[:-1], borders[1:])}
-                for i, text in enumerate(part, first):
-                    x, y = known[sides[0][i]], known[text]
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    linked[i] = 100 * both >= percent * (len(x) + len(y) - both) and both > 0
-            keep = pa.array(linked)
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
-
-    return run
-
-
-def confirmed(pairs: DataFrame, bodies: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough; ``bodies`` has node and text."""
-    both = pairs.join(bodies.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    both = both.join(bodies.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_compare(words, percent), "a long, b long")
-
-
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """node and component (smallest node reachable) of every node of ``links`` (a, b).
-
-    Every round takes the least label among the neighbours and then the label of that label, so labels reach along paths of doubling length.
-    """
-    both = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    labels = stored(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("component")), "labels")
-    for _ in range(most_rounds):
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
-        met = labels.join(near, "node").select("node", F.col("component").alias("was"), F.least("component", "near").alias("component"))
-        far = labels.select(F.col("node").alias("component"), F.col("component").alias("far"))
-        after = stored(met.join(far, "component").select("node", "was", F.least("component", "far").alias("component")), "labels")
-        moved = after.where("component < was").limit(1).count()
-        discard(labels)
-        labels = after
-        if not moved:
-            discard(both)
-            return labels.select("node", "component")
-    raise RuntimeError("components did not settle")
+def shared_ids(signed: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """Links (a, b) between the sets of a doc_id that has several; None if none has."""
+    own = signed.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("class_a", "class_b")).alias("least"), F.max(F.struct("class_a", "class_b")).alias("most"))
+    several = stored(own.where("least != most").select("doc_id"), "ids-of-several-sets")
+    if not several.limit(1).count():
+        return None
+    names = classes.select("class_a", "class_b", "node")
+    nodes = signed.select("doc_id", "class_a", "class_b").join(several, "doc_id", "left_semi").join(names, ["class_a", "class_b"]).select("doc_id", "node").distinct()
+    first = nodes.groupBy("doc_id").agg(F.min("node").alias("a"))
+    return stored(nodes.join(first, "doc_id").where("a < node").select("a", F.col("node").alias("b")).distinct(), "links")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, halves: int = HALVES, rows: int = HALF_ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs``."""
     small_batches(docs.sparkSession)
-    sketch = [f"sketch{i}" for i in range(sketch_words(halves, rows))]
-    signed = stored(signatures(docs, words, halves, rows), "signatures")
-    classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy("whole_a", "whole_b").agg(F.min("doc_id").alias("node"), F.first("halves").alias("halves"), F.first("n_shingles").alias("size"), *[F.first(c).alias(c) for c in sketch])
-    classes = stored(classes, "classes")
+    signed = stored(texts(docs).mapInArrow(_sign(words, Levels(percent), halves, rows), SIGNED), "signatures")
+    classes = stored(distinct_sets(signed, ["halves", "sketch"]), "sets")
     keys = table_keys(classes, halves)
-    shared = stored(keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("members")).where("members > 1"), "shared-keys")
-    # A key of two is a pair; only larger keys need their members.
-    large = shared.where("members > 2").select("key", "low")
-    members = stored(keys.join(large, "key").where("node > low"), "members")
-    pairs = shared.where("members = 2").select(F.col("low").alias("a"), F.col("high").alias("b")).union(members.select(F.col("low").alias("a"), F.col("node").alias("b")))
-    tested = stored(pairs.where("a < b").distinct(), "pairs")
-    discard(shared)
-    wanted = tested.select(F.col("a").alias("doc_id")).union(tested.select("b")).union(members.select("node")).distinct()
-    bodies = stored(texts(docs).join(wanted, "doc_id", "left_semi").withColumnRenamed("doc_id", "node"), "bodies")
-    links = stored(confirmed(tested, bodies, words, percent), "links")
-    groups = components(links)
-    open_ = members.select("key", "node")
-    documents, pivots = signed.count(), 1
-    facts = classes.groupBy("node").agg(F.min("size").alias("least_size"), F.max("size").alias("most_size"), F.count("*").alias("texts"), *[F.first(c).alias(c) for c in sketch])
-    # Two documents that differ too much in size, or in their sketches, are not linked; ids with several texts are always compared.
-    apart = sum((F.bit_count(F.col(f"l.{c}").bitwiseXOR(F.col(f"r.{c}"))) for c in sketch[1:]), F.bit_count(F.col(f"l.{sketch[0]}").bitwiseXOR(F.col(f"r.{sketch[0]}"))))
-    alike = (F.col("l.texts") > 1) | (F.col("r.texts") > 1) | (apart <= most_apart(halves, rows, percent))
-    fits = (100 * F.col("l.most_size") >= percent * F.col("r.least_size")) & (100 * F.col("r.most_size") >= percent * F.col("l.least_size"))
-    while True:
-        # Members of a key that were no pivot yet, where they are still in different groups.
-        grouped = open_.join(groups, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-        heads = [F.min_by("node", F.xxhash64("node", F.lit(i))) for i in range(pivots)]
-        state = grouped.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"), F.array_distinct(F.array(*heads)).alias("heads")).where("x < y")
-        open_ = stored(grouped.join(state.select("key", "n", "heads"), "key").join(facts, "node"), "open")
-        size = open_.agg(F.count("*"), F.sum(F.col("n") - 1)).first()
-        if not size[0]:
-            break
-        last = size[1] <= 2 * AT_ONCE * documents
-        right = open_ if last else open_.where(F.array_contains("heads", F.col("node")))
-        meets = (F.col("l.key") == F.col("r.key")) & (F.col("l.component") != F.col("r.component")) & fits & alike
-        meets = meets & (F.col("l.node") < F.col("r.node")) if last else meets
-        fresh = open_.alias("l").join(right.alias("r"), meets).select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b"))
-        fresh = stored(fresh.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        before, tested = tested, stored(tested.union(fresh), "tested")
-        discard(before)
-        more = stored(confirmed(fresh, bodies, words, percent), "links")
-        if more.limit(1).count():
-            links = stored(links.union(more), "links")
-            groups = components(links)
-        if last:
-            break
-        open_ = open_.where(~F.array_contains("heads", F.col("node"))).select("key", "node")
-        pivots = min(2 * pivots, MOST_PIVOTS)
-    discard(members, tested, bodies)
-    heads = classes.select("whole_a", "whole_b", "node").join(groups, "node", "left").select("whole_a", "whole_b", F.coalesce("component", "node").alias("component_id"))
-    out = signed.drop("halves", *sketch).join(heads, ["whole_a", "whole_b"], "left")
-    alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
-    out = out.select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    counts = stored(keys.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "shared-keys")
+    parts = stored(list_parts(keys, counts), "parts")
+    discard(counts)
+    out = components_of_rows(signed, classes, settled_groups(docs, classes, parts, words, percent, shared_ids(signed, classes)))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from serieskit.llm import jaccard_join
+from serieskit.llm import jaccard_join, links
 from tests.llm.data import documents, frame, prose
 from tests.llm.test_pairs import words_of
 
@@ -62,9 +62,9 @@ def test_long_lists_and_many_rounds(spark, monkeypatch):
     rows = near_group(3, 120, 100, 6)
     wanted = joined_by_hand(rows, 3, 90)
     assert 5 < len({r.rsplit(",", 1)[1] for r in wanted}) < 115
-    monkeypatch.setattr(jaccard_join, "BLOCK_ROWS", 7)
-    monkeypatch.setattr(jaccard_join, "OFFERS", 1)
-    monkeypatch.setattr(jaccard_join, "MORE", 4)
+    monkeypatch.setattr(links, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(links, "OFFERS", 1)
+    monkeypatch.setattr(links, "MORE", 4)
     assert joined(spark, rows, 3, 90) == wanted
 
 
@@ -92,6 +92,6 @@ def test_sketches_never_exceed_the_difference():
         x = rng.integers(1, 1 << 62, rng.integers(1, 400)).astype(np.uint64)
         y = np.concatenate([x[rng.random(len(x)) < 0.9], rng.integers(1, 1 << 62, 20).astype(np.uint64)])
         for bits in (64, 256):
-            a, b = (jaccard_join.folded(jaccard_join.odd_sketch(np.unique(s), 1024), bits) for s in (x, y))
-            assert (a == jaccard_join.odd_sketch(np.unique(x), bits)).all()
+            a, b = (links.folded(links.odd_sketch(np.unique(s), 1024), bits) for s in (x, y))
+            assert (a == links.odd_sketch(np.unique(x), bits)).all()
             assert np.bitwise_count(a ^ b).sum() <= len(np.setxor1d(x, y))

@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from serieskit.llm import decontaminate, near_dup, suffix_dedup
+from serieskit.llm import decontaminate, links, near_dup, suffix_dedup
 from serieskit.llm.hashing import NOT_WORD, word_hashes
 from tests.llm.data import documents, frame, prose
 
@@ -48,9 +48,11 @@ def test_near_duplicates(spark, k):
     assert sorted(str(tuple(r)) for r in got) == near_by_hand(ROWS, k)
 
 
-def test_near_duplicates_settle_by_pivots(spark, monkeypatch):
-    """The same groups when open keys are settled one pivot after the other."""
-    monkeypatch.setattr(near_dup, "AT_ONCE", 0)
+def test_near_duplicates_settle_by_rounds(spark, monkeypatch):
+    """The same groups when keys are cut into small blocks and members offer one partner a round."""
+    monkeypatch.setattr(links, "BLOCK_ROWS", 5)
+    monkeypatch.setattr(links, "OFFERS", 1)
+    monkeypatch.setattr(links, "MORE", 3)
     rng, rows = random.Random(4), []
     words = prose(rng, 60).split()
     for i in range(30):
@@ -61,6 +63,16 @@ def test_near_duplicates_settle_by_pivots(spark, monkeypatch):
     assert sorted(str(tuple(r)) for r in got) == near_by_hand(rows, 2)
 
 
+def test_near_duplicates_of_ids_with_several_texts(spark):
+    """An id joins all its texts, also where another id holds the same text."""
+    rng = random.Random(8)
+    a, b, c = (prose(rng, 30) for _ in range(3))
+    rows = [(3, a), (5, a), (5, b), (9, b + " more"), (7, c)]
+    got = near_dup.near_duplicates(frame(spark, rows), words=2).collect()
+    assert sorted(str(tuple(r)) for r in got) == near_by_hand(rows, 2)
+    assert {r.component_id for r in got} == {3, 7}
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_dup.near_duplicates(frame(spark, [])).count() == 0
     docs = frame(spark, ROWS[:3] + [(900, None), (901, ROWS[1][1])])
