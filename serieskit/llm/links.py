@@ -137,12 +137,17 @@ def _judge(rows: pa.Table, percent: int, offers: int) -> pa.RecordBatch:
     open_ = np.zeros(len(starts), bool)
     open_[unit[pairs[0][~kept]]] = True
     x, y = pairs[0][kept], pairs[1][kept]
-    out = np.minimum(node[x], node[y]), np.maximum(node[x], node[y]), key[x], part[x], open_[unit[x]]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in out], ["a", "b", "key", "part", "more"])
+    # Members of parts that hold more pairs follow, without a partner.
+    again = np.flatnonzero(open_[unit])
+    first = np.concatenate([np.minimum(node[x], node[y]), node[again]])
+    second = np.concatenate([np.maximum(node[x], node[y]), np.zeros(len(again), np.int64)])
+    alone = np.arange(len(first)) >= len(x)
+    columns = [pa.array(first), pa.array(second, mask=alone), *(pa.array(np.concatenate([c[x], c[again]])) for c in (key, part, own))]
+    return pa.RecordBatch.from_arrays(columns, ["a", "b", "key", "part", "own"])
 
 
 def _offer(percent: int, offers: int):
-    """Pairs that may be linked, the nearest of each member; ``more`` marks a part that holds others."""
+    """Pairs (a, b) that may be linked, the nearest of each member, and the members (a alone) of parts that hold others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -249,12 +254,11 @@ def settled_groups(docs: DataFrame, classes: DataFrame, parts: DataFrame, words:
         rows = parts.join(facts, "node")
         rows = rows.withColumn("component", F.col("node")) if groups is None else rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
         rows = rows.repartition("key", "part").sortWithinPartitions("key", "part", "node")
-        offered = stored(rows.mapInArrow(_offer(percent, offers), "a long, b long, key long, part int, more boolean"), "offers")
-        open_ = stored(parts.join(offered.where("more").select("key", "part").distinct(), ["key", "part"], "left_semi"), "parts")
-        fresh = offered.select("a", "b").distinct()
+        offered = stored(rows.mapInArrow(_offer(percent, offers), "a long, b long, key long, part int, own int"), "offers")
+        fresh = offered.where("b is not null").select("a", "b").distinct()
         fresh = stored(fresh if tested is None else fresh.join(tested, ["a", "b"], "left_anti"), "pairs")
-        discard(offered, parts)
-        parts = open_
+        discard(parts)
+        parts, spent = offered.where("b is null").select("key", "part", "own", F.col("a").alias("node")), offered
         if sets is None:
             # All that this and later rounds look at: partners of the first round and members of parts that hold more.
             nodes = fresh.select(F.col("a").alias("node")).union(fresh.select("b")).union(parts.select("node")).distinct()
@@ -266,6 +270,7 @@ def settled_groups(docs: DataFrame, classes: DataFrame, parts: DataFrame, words:
             links = met if links is None else stored(links.union(met), "links")
             groups = components(links)
         if not parts.limit(1).count():
+            discard(spent, sets)
             return groups
         tested = fresh if tested is None else stored(tested.union(fresh), "tested")
         offers *= MORE
