@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from serieskit.catalog import views as V
@@ -9,9 +11,11 @@ from serieskit.catalog.registry import load, query, rounded
 from serieskit.config import PRICE_ALIASES, PRICE_OPTIONAL, PriceConfig
 from serieskit.functions import scalars as S
 from serieskit.operators import clean, panel, profiles
+from serieskit.session import shared_folder
 from serieskit.sources.columns import resolve
-from serieskit.sources.readers import union_sources
-from serieskit.sources.sinks import key_values
+from serieskit.sources.discovery import CSV
+from serieskit.sources.readers import scan_csv_text, union_sources
+from serieskit.sources.sinks import key_values, write_json
 
 DAY = "commodity, state, district, market, variety, grade, cast(date as varchar) as date"
 TEXT_CFG = PriceConfig(commodities=("Economy", "Promo", "Small"), start_date="1997-01-01", end_date="1999-12-31")
@@ -101,6 +105,43 @@ def quality_kv(spark, sf):
     return key_values(row)
 
 
+@query("csv_scan_typed", """
+select l_returnflag as variety, count(*) as n, count(*) filter (l_linenumber <> 2) as known, round(sum(l_extendedprice), 2) as price,
+       cast(max(l_shipdate) as date)::varchar as last_date from lineitem group by 1""")
+def csv_scan_typed(spark, sf):
+    """Lines written as CSV text with awkward cells, read back as text by their header and typed."""
+    lines = load(spark, sf, "lineitem")
+    missing = F.when(F.col("l_linenumber") == 2, F.lit("N/A")).otherwise(F.col("l_tax").cast("string"))
+    text = lines.select(
+        F.col("l_returnflag").alias("Variety"), F.format_number("l_extendedprice", 2).alias("Modal Price"), missing.alias("Min Price"),
+        F.date_format("l_shipdate", "dd/MM/yyyy").alias("Arrival_Date"), F.lit('a "quoted", cell').alias("Remark"),
+    )
+    path = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    text.write.options(**CSV).csv(path)
+    wanted = ("variety", "price", "minimum", "date")
+    found = resolve(scan_csv_text(spark, [path], text.columns), {k: PRICE_ALIASES[k] for k in wanted})
+    return found.groupBy("variety").agg(
+        F.count("*").alias("n"), F.count("minimum").alias("known"), F.round(F.sum(S.parse_number(F.col("price"))), 2).alias("price"),
+        F.max(S.parse_date(F.col("date"))).cast("string").alias("last_date"),
+    )
+
+
+@query("metrics_json", """
+select l_returnflag, l_linestatus, count(*) as n, round(avg(l_discount), 6) as mean_discount,
+       case when l_returnflag <> 'N' then round(sum(l_quantity), 2) end as quantity, cast(max(l_shipdate) as date)::varchar as last_date from lineitem group by 1, 2""")
+def metrics_json(spark, sf):
+    """Metrics written as JSON lines and read back: what is not finite comes back as missing, dates as text."""
+    made = load(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
+        F.count("*").alias("n"), F.round(F.avg("l_discount"), 6).alias("mean_discount"),
+        F.when(F.col("l_returnflag") == "N", F.lit(float("nan"))).otherwise(F.round(F.sum("l_quantity"), 2)).alias("quantity"),
+        F.max("l_shipdate").cast("date").alias("last_date"),
+    )
+    path = f"{shared_folder(spark)}/json-{uuid.uuid4().hex}"
+    write_json(made, path)
+    schema = "l_returnflag string, l_linestatus string, n bigint, mean_discount double, quantity double, last_date string"
+    return spark.read.schema(schema).json(path)
+
+
 @query("parse_numbers", "with " + V.SQL_TEXT + """
 select l_orderkey, l_linenumber, round(try_cast(replace(modal_price, ',', '') as double), 4) as number from txt""")
 def parse_numbers(spark, sf):
