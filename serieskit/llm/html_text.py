@@ -11,8 +11,9 @@ in headings, article and main elements or behind a modifier (no-sidebar), and an
 holds main, the page's articles, or most of the text above the bar; comments of readers do not vote and stay only where a page has no other text.
 
 Defined cases: null, empty and text-free pages give an empty text; unclosed tags end where
-their parent ends; text without any tag is one block; a page is one row and is never joined with another,
-so repeated rows give repeated results.
+their parent ends; text without any tag is one block; a quote starts a string only right behind the = of an attribute, and one
+that is never closed ends with its tag; time and memory grow with a page's length, however deep its elements are nested; a page is
+one row and is never joined with another, so repeated rows give repeated results.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split()
 )
 CLOSED_BY_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": {"thead", "tbody", "tr", "td", "th"}, "tbody": {"thead", "tbody", "tr", "td", "th"}}
+LISTS = frozenset("table ul ol dl select".split())
 SCOPES = frozenset("table ul ol dl select body html article section div".split())
 
 # What is no article, by tag, by role, and by a word of a class or id.
@@ -53,8 +55,10 @@ COMMENT_WORDS = frozenset("comment comments disqus replies respond".split())
 MODIFIERS = frozenset("no not non without has have with hide category tag".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+# A name may hold quotes and begin with =; a value is quoted, or runs to a blank or the end of its tag.
+_NAMED = r"[^\s/>][^\s/>=]*+"
+_TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|{_NAMED}(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]++)?+)?+)*+)(?:>|\Z)", re.S)
+_ATTRIBUTE = re.compile(rf"({_NAMED})(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++))?+)?+")
 _WORDS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 _POINTS = re.compile(r"[.,;:!?…。，、！？؟،]")
@@ -69,12 +73,26 @@ HOLDS = 0.6
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "outside", "mark", "depth", "article")
+    """An element, numbered in page order, with what its ancestors say about it, so that nothing climbs the tree for each block."""
 
-    def __init__(self, tag: str, parent: _Element | None, outside: bool, mark: str = ""):
-        self.tag, self.parent, self.outside, self.mark = tag, parent, outside, mark
+    __slots__ = ("tag", "parent", "outside", "mark", "depth", "article", "path", "holder", "outermost", "main", "in_article", "marked", "enter", "leave")
+
+    def __init__(self, tag: str, parent: _Element | None = None, outside: bool = False, mark: str = "", enter: int = 0):
+        self.tag, self.parent, self.outside, self.mark, self.enter, self.leave = tag, parent, outside, mark, enter, enter
         self.depth = parent.depth + 1 if parent else 0
         self.article = tag in ("article", "main") or bool(parent and parent.article)
+        # Paths are the nodes of a tree of tags.
+        self.path: dict = parent.path.setdefault(tag, {}) if parent else {}
+        self.holder: _Element = parent.holder if parent and tag in INLINE else self
+        self.outermost: _Element | None = (parent.outermost if parent and parent.article else self) if self.article else None
+        self.main: _Element | None = self if tag == "main" else parent and parent.main
+        self.in_article = tag == "article" or bool(parent and parent.in_article)
+        # The nearest element that a word marks, this one included.
+        self.marked: _Element | None = self if mark else parent and parent.marked
+
+    def above(self) -> _Element | None:
+        """The nearest element around this one that a word marks."""
+        return self.parent and self.parent.marked
 
 
 def _is_outside(tag: str, attributes: str, parent: _Element) -> tuple[bool, str]:
@@ -105,10 +123,7 @@ def _mark(tag: str, name: str, value: str, parent: _Element) -> str:
         words.update(own[: next((i for i, w in enumerate(own) if w in MODIFIERS), len(own))])
     if tag == "article":
         # Only an article that is a comment, or a part of another article, can be something else.
-        e = parent
-        while e and e.tag != "article":
-            e = e.parent
-        if not e:
+        if not parent.in_article:
             words = {w for w in value.split() if w in COMMENT_WORDS}
     if not COMMENT_WORDS.isdisjoint(words):
         return "comments"
@@ -118,32 +133,36 @@ def _mark(tag: str, name: str, value: str, parent: _Element) -> str:
 
 def blocks(page: str) -> list[tuple[_Element, str, int]]:
     """(element, text, characters inside links) of every block of a page outside of what is no article by tag, role or style, in page order."""
-    root = _Element("#", None, False)
-    top, out, run, links, in_link, at = root, [], [], 0, 0, 0
+    top, out, run, links, in_link, at, made = _Element("#"), [], [], 0, 0, 0, 0
+    # Depths of the open elements of every tag.
+    depths: dict[str, list[int]] = {}
 
     def flush():
         nonlocal links
         if run:
             text = _SPACE.sub(" ", html.unescape("".join(run))).strip()
             if text:
-                out.append((holder(top), text, links))
+                out.append((top.holder, text, links))
             run.clear()
         links = 0
 
-    def holder(e):
-        while e.parent and e.tag in INLINE:
-            e = e.parent
-        return e
+    def deepest(tags):
+        return max((depths[t][-1] for t in tags if depths.get(t)), default=0)
 
-    def close(tags, stop):
+    def leave(depth):
         nonlocal top
-        e = top
-        while e.parent and e.tag not in tags:
-            if e.tag in stop:
-                return
-            e = e.parent
-        if e.parent:
-            top = e.parent
+        while top.depth >= depth:
+            depths[top.tag].pop()
+            top.leave = made
+            top = top.parent
+
+    def close(tags, stop):
+        """End the deepest open element of ``tags`` unless one of ``stop`` lies deeper; whether there was one."""
+        depth = deepest(tags)
+        if not depth or deepest(stop) > depth:
+            return False
+        leave(depth)
+        return True
 
     end = len(page)
     while at < end:
@@ -167,14 +186,13 @@ def blocks(page: str) -> list[tuple[_Element, str, int]]:
             if tag == "a":
                 in_link = max(0, in_link - 1)
             stop = () if tag not in INLINE else SCOPES
-            close((tag,), stop) if any_open(top, tag) else None
+            close((tag,), stop)
             continue
-        if tag in CLOSES_P and any_open(top, "p", SCOPES):
+        if tag in CLOSES_P:
             close(("p",), SCOPES)
         if tag in CLOSED_BY_SAME:
-            e, stop = CLOSED_BY_SAME[tag], frozenset(("table", "ul", "ol", "dl", "select"))
-            while any(any_open(top, t, stop) for t in e):
-                close(e, stop)
+            while close(CLOSED_BY_SAME[tag], LISTS):
+                pass
         if tag in VOID:
             continue
         outside, mark = (True, "") if top.outside else _is_outside(tag, found[3], top)
@@ -186,33 +204,19 @@ def blocks(page: str) -> list[tuple[_Element, str, int]]:
             continue
         if tag == "a":
             in_link += 1
-        top = _Element(tag, top, outside, mark)
+        made += 1
+        top = _Element(tag, top, outside, mark, made)
+        depths.setdefault(tag, []).append(top.depth)
     flush()
+    leave(1)
+    top.leave = made
     return out
 
 
-def any_open(e: _Element, tag: str, stop: frozenset = frozenset()) -> bool:
-    while e.parent:
-        if e.tag == tag:
-            return True
-        if e.tag in stop:
-            return False
-        e = e.parent
-    return False
-
-
-def _path(e: _Element) -> tuple[str, ...]:
-    tags = []
-    while e.parent:
-        tags.append(e.tag)
-        e = e.parent
-    return tuple(tags[::-1])
-
-
 def path_scores(found: list[tuple[_Element, str, int]]) -> list[float]:
     """Smoothed and fused tag-path ratio of every block."""
-    paths = [_path(e) for e, _, _ in found]
-    sums: dict[tuple[str, ...], list[float]] = {}
+    paths = [id(e.path) for e, _, _ in found]
+    sums: dict[int, list[float]] = {}
     for path, (_, text, links) in zip(paths, found):
         s = sums.setdefault(path, [0.0, 0.0, 0.0])
         s[0] += max(0, len(text) - links)
@@ -242,62 +246,62 @@ def _own(text: str, links: int) -> int:
 
 def _unmarked(found: list[tuple[_Element, str, int]]) -> list[tuple[_Element, str, int]]:
     """``found`` without the blocks in elements that a word marks, unless these hold what the page is about."""
-    chains = [_marked(e) for e, _, _ in found]
-    if not any(chains):
+    marked = _chains([e.marked for e, _, _ in found])
+    if not marked:
         return found
     weights = [_own(text, links) if high else 0 for (_, text, links), high in zip(found, _above(found))]
-    readers = [any(m.mark == "comments" for m in chain) for chain in chains]
-    if any(w for w, r in zip(weights, readers) if not r):
-        weights = [0 if r else w for w, r in zip(weights, readers)]
-    total, around, articles = sum(weights), {}, 0
-    held: dict[int, int] = {}
-    marked: dict[int, _Element] = {}
-    for chain, (e, _, _), weight in zip(chains, found, weights):
-        for m in chain:
-            marked[id(m)] = m
-            held[id(m)] = held.get(id(m), 0) + weight
-        over = _holders(e)
-        for m in over:
-            around[id(m)] = m
-        articles += weight if over else 0
-        e = _inner_main(e)
-        for m in _marked(e) if e else ():
-            m.mark = ""
-    if articles >= HOLDS * total:
-        for m in around.values():
-            m.mark = ""
-    for key, m in marked.items():
-        if held[key] and held[key] >= HOLDS * total:
+    readers = _words_around(marked)[1]
+    if any(w for w, (e, _, _) in zip(weights, found) if e.marked not in readers):
+        weights = [0 if e.marked in readers else w for w, (e, _, _) in zip(weights, found)]
+    total, held = sum(weights), dict.fromkeys(marked, 0)
+    for (e, _, _), weight in zip(found, weights):
+        if e.marked:
+            held[e.marked] += weight
+    for m in reversed(marked):
+        if m.above():
+            held[m.above()] += held[m]
+    _clear([e.main.marked for e, _, _ in found if e.main])
+    words, readers = _words_around(marked)
+    around = [e.outermost.above() if e.outermost else None for e, _, _ in found]
+    around = [m if m in words and m not in readers else None for m in around]
+    if sum(w for w, m in zip(weights, around) if m) >= HOLDS * total:
+        _clear(around)
+    for m in marked:
+        if held[m] and held[m] >= HOLDS * total:
             m.mark = ""
-    left = [b for b in found if not _marked(b[0])]
+    words, readers = _words_around(marked)
+    left = [b for b in found if b[0].marked not in words]
     if not total or any(_own(text, links) for _, text, links in left):
         return left
-    return [b for b in found if not any(m.mark == "comments" for m in _marked(b[0]))] or found
+    return [b for b in found if b[0].marked not in readers] or found
 
 
-def _marked(e: _Element | None) -> list[_Element]:
-    out = []
-    while e:
-        if e.mark:
-            out.append(e)
-        e = e.parent
-    return out
+def _chains(marked: list[_Element | None]) -> list[_Element]:
+    """``marked`` and all marked elements around them, each once, outer ones first."""
+    seen: set[_Element] = set()
+    for m in marked:
+        while m and m not in seen:
+            seen.add(m)
+            m = m.above()
+    return sorted(seen, key=lambda m: m.depth)
 
 
-def _holders(e: _Element) -> list[_Element]:
-    """Elements that a word other than of comments marks, around the outermost article or main element around ``e``."""
-    if not e.article:
-        return []
-    while e.parent.article:
-        e = e.parent
-    out = _marked(e.parent)
-    return [] if any(m.mark == "comments" for m in out) else out
+def _words_around(marked: list[_Element]) -> tuple[set[_Element], set[_Element]]:
+    """Those of ``marked`` that are or lie in an element whose mark still stands, and those where one says comments."""
+    words: set[_Element] = set()
+    readers: set[_Element] = set()
+    for m in marked:
+        if m.mark or m.above() in words:
+            words.add(m)
+        if m.mark == "comments" or m.above() in readers:
+            readers.add(m)
+    return words, readers
 
 
-def _inner_main(e: _Element | None) -> _Element | None:
-    while e and e.tag != "main":
-        e = e.parent
-    return e
+def _clear(marked: list[_Element | None]) -> None:
+    """Take the marks off ``marked`` and off all elements around them."""
+    for m in _chains(marked):
+        m.mark = ""
 
 
 def main_text(page: str | None) -> str:
@@ -313,23 +317,21 @@ def main_text(page: str | None) -> str:
 
 def _article(held: list[_Element]) -> _Element:
     """The deepest element around all of ``held`` that may be an article; article and main are never cut."""
-    top = held[0].parent or held[0]
-    for e in held[1:]:
-        while not _under(e, top):
-            top = top.parent
+    # Elements are numbered in page order, so the first and the last one span all.
+    top, last = min(held, key=lambda e: e.enter), max(held, key=lambda e: e.enter)
+    while not _under(last, top):
+        top = top.parent
+    if top is held[0]:
+        top = top.parent or top
     if top.article:
-        while top.parent.article:
-            top = top.parent
-        return top
+        return top.outermost
     while top.parent and (top.tag in PARTS or top.tag in INLINE):
         top = top.parent
     return top
 
 
-def _under(e: _Element | None, top: _Element) -> bool:
-    while e and e is not top:
-        e = e.parent
-    return e is top
+def _under(e: _Element, top: _Element) -> bool:
+    return top.enter <= e.enter <= top.leave
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

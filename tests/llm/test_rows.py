@@ -145,6 +145,31 @@ def test_words_of_classes_still_count():
     assert html_text.main_text("<div class=menu><a href=1>l1</a> <a href=2>l2</a></div>") == ""
 
 
+QUOTES = [
+    ("<article><p>First para.</p><p class=don't>Second para, here.</p><p>Third, it's here.</p></article>", ["First para.", "Second para, here.", "Third, it's here."]),
+    ('<article><p>First para.</p><p title="a>Second para.</p><p>Third.</p></article>', ["First para.", "Second para.", "Third."]),
+    ("<article><p title='a>b' lang = \"x>y\" 'odd' =>One.</p><p a=b/c d=>Two.</p><img alt=it's src=x>Three.</article>", ["One.", "Two.", "Three."]),
+    ("<article><p title=\"one class='two\">One.</p><p title='say \"this'>Two.</p></article><div hidden><p>None.</p></div>", ["One.", "Two."]),
+]
+
+
+@pytest.mark.parametrize("page, want", QUOTES)
+def test_quotes_count_behind_an_equals_sign_only(page, want):
+    assert html_text.main_text(page).split("\n\n") == want
+
+
+def test_deep_pages_cost_what_they_are_long():
+    """Some 60,000 unclosed elements; climbing the tree for every block would take minutes and gigabytes."""
+    import time
+
+    begun = time.process_time()
+    for opened in ("<div>", "<div class=menu>", "<p><span>", "<div class=widget><article>", "<ul><li>"):
+        got = html_text.main_text("".join(f"{opened}Line {i}, here." for i in range(30_000)))
+        assert got.startswith("Line 0, here.")
+        assert "class" in opened or got.endswith("Line 29999, here.")
+    assert time.process_time() - begun < 60
+
+
 def labelled(n=900, seed=5):
     rng, rows, labels = random.Random(seed), [], []
     for i in range(n):
