@@ -197,6 +197,65 @@ def test_tables_reach_recall():
     assert found >= 145
 
 
+def test_tables_reject_what_is_unrelated():
+    """Random windows hardly ever are candidates, at any length; exact copies always are."""
+    rng = random.Random(6)
+    for n in (5, 8, 12, 20, 40, 100):
+        items = [decontaminate.Item(i, word_hashes([prose(rng, n).encode()], NOT_WORD)[0]) for i in range(20)]
+        other = np.stack([word_hashes([prose(rng, n).encode()], NOT_WORD)[0] for _ in range(2000)])
+        assert decontaminate.candidates(other, [items[i % 20] for i in range(2000)]).mean() < 0.01
+        assert decontaminate.candidates(np.stack([i.words for i in items]), items).all()
+
+
+def test_recall_out_of_reach_is_an_error(monkeypatch):
+    monkeypatch.setattr(decontaminate, "MOST_TABLES", 2)
+    with pytest.raises(ValueError, match="recall"):
+        decontaminate.tables_for.__wrapped__(50)
+
+
+def test_passages_equal_all_windows(spark, monkeypatch):
+    """Every (text, item) with a passage in reach, counted over all windows of all texts, also in many small blocks."""
+    rng = random.Random(21)
+    few = [a + b for a in ("ka", "lo") for b in ("ra", "ne", "li")]
+    items = [(i, prose(rng, rng.choice((1, 2, 5, 7, 8, 11, 16, 30)))) for i in range(40)]
+    items += [(40 + i, " ".join(rng.choice(few) for _ in range(rng.choice((5, 8, 10, 15))))) for i in range(20)]
+    rows = [(i, " ".join(rng.choice(few) for _ in range(rng.randrange(300)))) for i in range(20)]
+    for i in range(60):
+        words = rng.choice(items)[1].split()
+        for _ in range(rng.randrange(0, int(0.4 * len(words)) + 1)):
+            place, kind = rng.randrange(len(words)), rng.randrange(3)
+            words[place : place + (kind > 0)] = [] if kind == 1 and len(words) > 1 else [rng.choice(few)]
+        rows.append((100 + i, " ".join([prose(rng, rng.randrange(4)), *words, prose(rng, rng.randrange(4))])))
+    want = set()
+    for d, text in rows:
+        whole = word_hashes([text.encode()], NOT_WORD)[0]
+        for k, item in items:
+            own = word_hashes([item.encode()], NOT_WORD)[0]
+            distance = decontaminate.least_distance(own, whole)[0]
+            if distance <= decontaminate.most_edits(len(own)):
+                want.add((d, k, distance))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.edits) for r in decontaminate.find_passages(frame(spark, rows), benchmark).collect()}
+    assert got == want and len(want) > 40
+    small = decontaminate.Items(items)
+    monkeypatch.setattr(decontaminate, "HELD_ROWS", 3)
+    monkeypatch.setattr(decontaminate, "HELD_WORDS", 50)
+    again = small.search([t.encode() for _, t in rows])
+    assert {(rows[t][0], k, e) for t, k, _, e in again} == want
+
+
+def test_repeated_phrase_costs_its_text_only():
+    """A text of one phrase against thousands of items that hold it: no row for each occurrence and item."""
+    import time
+
+    rng = random.Random(9)
+    phrase = "kara lone mimu"
+    items = decontaminate.Items([(i, f"{prose(rng, 9)} {phrase} {prose(rng, 8)}") for i in range(3000)] + [(9999, " ".join([phrase] * 7))])
+    begun = time.process_time()
+    assert [r[1] for r in items.search([" ".join([phrase] * 100_000).encode()])] == [9999]
+    assert time.process_time() - begun < 60
+
+
 def test_stages_go_by_rows(spark):
     """Rows without an id and rows that share one are kept or dropped each for itself."""
     rng = random.Random(12)
