@@ -83,7 +83,11 @@ def embed(rows: np.ndarray, walk: int, length: int) -> np.ndarray:
 
 def written(rows: np.ndarray) -> np.ndarray:
     """Symbols that each walk writes before it ends, for rows of embeddings."""
-    return (rows != 0).sum(axis=1)
+    return (rows != 0).sum(axis=-1)
+
+
+def walks(rows: np.ndarray) -> list[np.ndarray]:
+    return [embed(rows, walk, 3 * rows.shape[1]) for walk in range(WALKS)]
 
 
 @functools.cache
@@ -122,18 +126,17 @@ def tables_for(n: int) -> list[tuple[int, np.ndarray]]:
 class Item:
     """One benchmark item with its embeddings and, for every walk, the places of its tables (a row each)."""
 
-    def __init__(self, item_id: int, words: np.ndarray, number: int = 0):
+    def __init__(self, item_id: int, words: np.ndarray, number: int = 0, walked: list[np.ndarray] | None = None):
         self.item_id, self.words, self.number = item_id, words, number
         n = len(words)
         self.edits, self.q = most_edits(n), gram_length(n)
         self.tables: list[np.ndarray] = []
         self.symbols: list[np.ndarray] = []
-        for walk in range(WALKS):
-            own = embed(words[None, :], walk, 3 * n)
+        for walk, own in enumerate(walked or [rows[0] for rows in walks(words[None, :])]):
             shares = [s for w, s in tables_for(n) if w == walk]
-            places = (np.stack(shares) * written(own)[0]).astype(np.int64) if shares else np.zeros((0, 1), np.int64)
+            places = (np.stack(shares) * written(own)).astype(np.int64) if shares else np.zeros((0, 1), np.int64)
             self.tables.append(places)
-            self.symbols.append(own[0][places])
+            self.symbols.append(own[places])
 
 
 def candidates(windows: np.ndarray, items: list[Item]) -> np.ndarray:
@@ -172,9 +175,14 @@ class Items:
         self.items: list[Item] = []
         if rows:
             words, borders = word_hashes([(t or "").encode() for _, t in rows], NOT_WORD)
-            for (item_id, _), a, b in zip(rows, borders[:-1], borders[1:]):
-                if b > a:
-                    self.items.append(Item(item_id, words[a:b], len(self.items)))
+            sizes = np.diff(borders)
+            # Items of one length walk together.
+            for n in np.unique(sizes[sizes > 0]).tolist():
+                same = np.flatnonzero(sizes == n)
+                for part in np.array_split(same, -(-len(same) * n // HELD_WORDS)):
+                    walked = walks(words[borders[part][:, None] + np.arange(n)])
+                    for k, i in enumerate(part.tolist()):
+                        self.items.append(Item(rows[i][0], words[borders[i] : borders[i] + n], len(self.items), [w[k] for w in walked]))
         self.tables = {}
         for q in {i.q for i in self.items}:
             grams = [(runs(i.words, q)[: len(i.words) - q + 1], k) for k, i in enumerate(self.items) if i.q == q]
