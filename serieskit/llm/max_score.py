@@ -132,8 +132,8 @@ def search(queries: DataFrame, rows: DataFrame, k: int = 20, shard_rows: int = S
     queries = queries.distinct().withColumn("query_key", F.xxhash64("terms"))
     shards = max(1, -(-rows.count() // shard_rows))
     blocks = max(1, -(-queries.count() // query_rows))
-    left = queries.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(blocks))).withColumn("shard", F.explode(_upto(shards)))
-    right = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards))).withColumn("block", F.explode(_upto(blocks)))
+    left = queries.withColumn("block", F.pmod(F.xxhash64("vec_id", "query_key", F.lit(7)), F.lit(blocks))).withColumn("shard", F.explode(_upto(shards)))
+    right = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", "terms"), F.lit(shards))).withColumn("block", F.explode(_upto(blocks)))
     found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(_search(k), RESULT)
     order = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -35,6 +35,10 @@ MAGIC = "IDBLOCK1"
 FOOTER = 24
 PART_BYTES = 24 << 20
 BLOCK_BYTES = 32 << 20
+# Blocks of a part file, so that no part grows beyond what is read at once, whatever lies in its range.
+PART_BLOCKS = 8
+# Part numbers whose blocks are summed up in one group.
+BAND_PARTS = 1_000
 CACHE_RUNS = 700_000
 
 # What the tokenizer's own pattern cuts a lower-cased Latin-1 text into.
@@ -179,17 +183,20 @@ def _pack(path: str, end_id: int):
 def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", part_bytes: int = PART_BYTES) -> None:
     """Write the ids of every whole text, ``end_id`` behind each, in ascending doc_id order under ``folder``.
 
-    One shuffle of the texts by ranges of doc_id; the number of ranges follows the bytes of text.
+    One shuffle of the texts by ranges of doc_id; the number of ranges follows the bytes of text. Rows of one doc_id and text are
+    alike in the files, so they may be spread over ranges by their place in the input.
     """
     small_batches(docs.sparkSession)
     rows = texts(docs, id_col, text_col)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(max(1, -(-total // part_bytes)), "doc_id", "tie")
+    spread = rows.withColumn("tie", F.xxhash64("text")).withColumn("spread", F.monotonically_increasing_id())
+    ranges = spread.repartitionByRange(max(1, -(-total // part_bytes)), "doc_id", "tie", "spread")
     ordered = ranges.sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
     packed = ordered.mapInArrow(_pack(tokenizer_path, end_id), "block binary")
-    packed.select(F.col("block").cast("string").alias("value")).write.option("lineSep", MAGIC).text(folder)
+    packed.select(F.col("block").cast("string").alias("value")).write.option("lineSep", MAGIC).option("maxRecordsPerFile", PART_BLOCKS).text(folder)
 
 
+FILES_OF_A_PART = 10_000
 READ_FIELDS = "part long, block long, place long, doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
@@ -198,7 +205,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
             name = re.search(r"part-(\d+)-.*?(?:-c(\d+))?\.", path.rsplit("/", 1)[1])
-            part = int(name[1]) * 10_000 + int(name[2] or 0)
+            part = int(name[1]) * FILES_OF_A_PART + int(name[2] or 0)
             raw = content.as_buffer()
             for block, (ids, starts, doc_ids, known) in enumerate(blocks_of(raw) if raw.size else []):
                 n = len(doc_ids)
@@ -212,14 +219,16 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start in the whole corpus, n_tokens and ids_crc32 of every document, from the files alone.
 
-    A block's base is the prefix sum over one row per block, that is one per some ten MB of ids.
+    A block's base is the prefix sum over the blocks of its band of parts, behind the sum of all bands before.
     """
     small_batches(spark)
     files = spark.read.format("binaryFile").load(folder).select("path", "content")
     rows = stored(files.mapInArrow(_read, READ_FIELDS), "token-index")
-    sums = rows.groupBy("part", "block").agg(F.sum("n_tokens").alias("ids"))
-    before = Window.orderBy("part", "block").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.select("part", "block", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
+    sums = rows.groupBy("part", "block").agg(F.sum("n_tokens").alias("ids")).withColumn("band", F.floor(F.col("part") / (FILES_OF_A_PART * BAND_PARTS)))
+    inside, before = (w.rowsBetween(Window.unboundedPreceding, -1) for w in (Window.partitionBy("band").orderBy("part", "block"), Window.orderBy("band")))
+    bands = sums.groupBy("band").agg(F.sum("ids").alias("ids")).select("band", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("band_base"))
+    bases = sums.withColumn("inside", F.coalesce(F.sum("ids").over(inside), F.lit(0))).join(bands, "band")
+    bases = bases.select("part", "block", (F.col("band_base") + F.col("inside")).alias("base"))
     return rows.join(bases, ["part", "block"]).select("doc_id", (F.col("base") + F.col("start")).alias("start"), "n_tokens", "ids_crc32")
 
 

@@ -65,6 +65,22 @@ def test_token_files_equal_the_library(spark):
     assert token_files.round_trip(frame(spark, []), path).count() == 0
 
 
+def test_repeated_rows_spread_over_parts(spark, monkeypatch):
+    """A third of all rows are one text without an id: parts stay small and starts go on, over several bands of parts."""
+    from pathlib import Path
+
+    monkeypatch.setattr(token_files, "BAND_PARTS", 2)
+    path, text = tokenizer_file("word_bpe_49k.json"), prose(random.Random(4), 100)
+    rows = [(None, text)] * 200 + [(i, prose(random.Random(i), 100)) for i in range(400)]
+    folder = scratch(spark, "token-files")
+    token_files.write_token_files(frame(spark, rows), folder, path, 2, part_bytes=40_000)
+    sizes = [p.stat().st_size for p in Path(folder.removeprefix("file:")).iterdir() if p.name.startswith("part-")]
+    assert len(sizes) > 8 and max(sizes) < 3 * sum(sizes) / len(sizes)
+    got = sorted((tuple(r) for r in token_files.read_token_files(spark, folder).collect()), key=lambda r: r[1])
+    assert [r[0] for r in got] == [None] * 200 + list(range(400)) and len({r[2:] for r in got[:200]}) == 1
+    assert [r[1] for r in got] == np.cumsum([0] + [r[2] for r in got])[:-1].tolist()
+
+
 def test_encoder_forgets_and_still_agrees(monkeypatch):
     monkeypatch.setattr(token_files, "CACHE_RUNS", 50)
     rng = random.Random(3)
