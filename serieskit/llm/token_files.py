@@ -34,12 +34,12 @@ from serieskit.llm.common import scratch, small_batches, stored, texts
 MAGIC = "IDBLOCK1"
 FOOTER = 24
 PART_BYTES = 24 << 20
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 # Blocks of a part file, so that no part grows beyond what is read at once, whatever lies in its range.
-PART_BLOCKS = 8
+PART_BLOCKS = 32
 # Part numbers whose blocks are summed up in one group.
 BAND_PARTS = 1_000
-CACHE_RUNS = 700_000
+CACHE_RUNS = 400_000
 
 # What the tokenizer's own pattern cuts a lower-cased Latin-1 text into.
 _LETTERS, _NUMBERS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
