@@ -5,15 +5,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window as W, functions as F
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from serieskit.config import SEPARATION_CUTOFFS
 from serieskit.functions import scalars as S
 from serieskit.operators.cluster import squared_distance
 
-# Rows of one block when all points of a group meet each other.
-BLOCK_ROWS = 1024
+# When all points of a group meet each other: rows that a block may always have, numbers of the vectors and sums of a larger one at most,
+# and blocks that a group of many rows has at least.
+BLOCK_ROWS, BLOCK_NUMBERS, BLOCK_SUMS, LEAST_BLOCKS = 1024, 1 << 21, 1 << 22, 12
+# Rows and members whose distances are held at once; numbers of their differences at once.
+TILE, PART_NUMBERS = (128, 1024), 1 << 20
+# Points of a squared distance below this share of their squared lengths (from the middle of their blocks) are compared by components.
+CLOSE = 1e-5
 
 
 def cluster_sizes(labelled: DataFrame, by: Sequence[str], k: int | None = None) -> DataFrame:
@@ -74,53 +80,130 @@ def davies_bouldin(labelled: DataFrame, by: Sequence[str], dims: int) -> DataFra
     return lists.where(F.size("c") > 1).select(*by, (total / F.size("c")).alias("davies_bouldin"))
 
 
+def _matrix(vectors: pa.ChunkedArray) -> np.ndarray:
+    """Vectors as rows, missing components as NaN."""
+    lists = vectors.combine_chunks()
+    widths = np.unique(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    if len(widths) != 1 or lists.null_count:
+        raise ValueError("the vectors of a group must all be there and of one length")
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), int(widths[0]))
+
+
+def _products(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Squared lengths, and the two factors whose product is the squared distances."""
+    n, one = (x * x).sum(1)[:, None], np.ones((len(x), 1))
+    return n[:, 0], np.hstack([-2.0 * x, n, one]), np.hstack([x, one, n])
+
+
+def _set_close(d: np.ndarray, x: np.ndarray, y: np.ndarray, least: np.ndarray) -> None:
+    """Squared distances below ``least``, and those that are no numbers, again from the differences themselves."""
+    r, c = np.nonzero(~(d >= least))
+    step = max(1, PART_NUMBERS // max(1, x.shape[1]))
+    for at in range(0, len(r), step):
+        i, j = r[at:at + step], c[at:at + step]
+        d[i, j] = ((x[i] - y[j]) ** 2).sum(1)
+
+
+def _pieces(own: np.ndarray, step: int) -> list[tuple]:
+    """Runs of ``step`` rows; for each where its clusters start and which they are. ``own`` is sorted."""
+    out = []
+    for at in range(0, len(own), step):
+        starts = np.flatnonzero(np.diff(own[at:at + step], prepend=-1))
+        out.append((slice(at, min(at + step, len(own))), starts, own[at:at + step][starts]))
+    return out
+
+
+@np.errstate(invalid="ignore", over="ignore")
+def _block_sums(x: np.ndarray, x_own: np.ndarray, y: np.ndarray, y_own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distances of each row of one block summed by the ``k`` clusters of the other, both ways. Cluster ``k`` is counted by nobody.
+
+    Squared distances come from one product. Where two points are so close for their lengths that this loses digits, they come from the differences.
+    """
+    middle = np.concatenate([x, y]).mean(0)
+    middle = np.where(np.isfinite(middle), middle, 0.0)
+    x, y = x - middle, y - middle
+    (x_len, left, _), (y_len, _, right) = _products(x), _products(y)
+    to_y, to_x = np.zeros((len(x), k + 1)), np.zeros((len(y), k + 1))
+    members = _pieces(y_own, TILE[1])
+    for i, i_starts, i_names in _pieces(x_own, TILE[0]):
+        for j, j_starts, j_names in members:
+            d = left[i] @ right[j].T
+            if not d.min() >= CLOSE * (x_len[i].max() + y_len[j].max()):
+                _set_close(d, x[i], y[j], CLOSE * (x_len[i, None] + y_len[None, j]))
+            np.sqrt(d, out=d)
+            to_y[i, j_names] += np.add.reduceat(d, j_starts, axis=1)
+            to_x[j, i_names] += np.add.reduceat(d, i_starts, axis=0).T
+    return to_y[:, :k], to_x[:, :k]
+
+
 def _distance_sums(keys: Sequence[str]):
-    """Per point of one block the sum of its distances to each cluster of another block."""
-
-    def run(points: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-        if not len(points) or not len(members):
-            return points[list(keys)].iloc[:0].assign(other=[], total=[])
-        x, y = np.stack(points["x"].to_numpy()), np.stack(members["x"].to_numpy())
-        names, own = np.unique(members["cluster"].to_numpy(), return_inverse=True)
-        member = np.eye(len(names))[own]
-        totals = np.concatenate([
-            np.sqrt(sum((x[at:at + 512, None, i] - y[None, :, i]) ** 2 for i in range(x.shape[1]))) @ member for at in range(0, len(x), 512)
-        ])
-        out = points[list(keys)].iloc[np.repeat(np.arange(len(x)), len(names))]
-        return out.assign(other=np.tile(names, len(x)), total=totals.ravel())
+    """Per point of two blocks the sums of its distances to the clusters of the other one, or of the only one."""
+
+    def run(cell: pa.Table) -> pa.Table:
+        coded = cell["cluster"].combine_chunks().dictionary_encode()
+        names, k = coded.dictionary, len(coded.dictionary)
+        own = coded.indices.fill_null(k).to_numpy()
+        second = cell["_own"].to_numpy() != cell["_i"][0].as_py()
+        x, sides = _matrix(cell["x"]), []
+        for side in (second == 0, second):
+            at = np.flatnonzero(side)
+            at = at[np.argsort(own[at], kind="stable")]
+            sides.append((at, x[at], own[at]))
+        (a, xa, own_a), (b, xb, own_b) = sides
+        if cell["_i"][0] == cell["_j"][0]:
+            met = [(a, own_a, _block_sums(xa, own_a, xa, own_a, k)[0])]
+        else:
+            to_b, to_a = _block_sums(xa, own_a, xb, own_b, k)
+            met = [(a, own_b, to_b), (b, own_a, to_a)]
+        out = []
+        for at, others, totals in met:
+            there = np.unique(others[others < k])
+            rows = cell.select(list(keys)).take(pa.array(np.repeat(at, len(there))))
+            rows = rows.append_column("other", names.take(pa.array(np.tile(there, len(at)))))
+            out.append(rows.append_column("total", pa.array(totals[:, there].ravel())))
+        return pa.concat_tables(out)
 
     return run
 
 
-def silhouette_samples(labelled: DataFrame, by: Sequence[str], ident: Sequence[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
+def _blocks(block_rows: int | None) -> Column:
+    """Blocks of a group: of about ``block_rows`` rows, else as few as a task holds and as many as keep tasks busy."""
+    if block_rows:
+        return F.ceil(F.col("_rows") / block_rows)
+    held = F.least(F.lit(BLOCK_NUMBERS) / F.greatest("_width", F.lit(1)), F.lit(BLOCK_SUMS) / F.col("_clusters"), F.col("_rows") / LEAST_BLOCKS)
+    return F.ceil(F.col("_rows") / F.greatest(F.lit(BLOCK_ROWS), held))
+
+
+def silhouette_samples(labelled: DataFrame, by: Sequence[str], ident: Sequence[str], block_rows: int | None = None) -> DataFrame:
     """Exact silhouette per row of every group, whatever its size; ``ident`` names a row within its group.
 
-    A group is cut into blocks of about ``block_rows`` rows and every pair of its blocks is one task, which gives sums per
-    point and cluster only. The work is quadratic in a group's rows, as the measure is, but no task holds more
-    than two blocks. Groups of one cluster, or of single points only, have no silhouette.
+    A group is cut into blocks of rows and two blocks meet once, in one task, which gives sums per point and cluster
+    only, for both. The work is quadratic in a group's rows, as the measure is, but no task holds more
+    than two blocks, and a row is sent as often as its group has blocks. Groups of one cluster, or of single points only, have no silhouette.
     """
     by, ident = list(by), list(ident)
     keys = [*by, *ident, "cluster"]
-    sizes = labelled.groupBy(*by, "cluster").agg(F.count("*").alias("_n"))
-    groups = sizes.groupBy(*by).agg(F.sum("_n").alias("_rows"), F.count("*").alias("_clusters"))
-    rows = labelled.select(*keys, F.col("x").cast("array<double>").alias("x")).join(groups, by)
+    sizes = labelled.groupBy(*by, "cluster").agg(F.count("*").alias("_n"), F.max(F.size("x")).alias("_width"))
+    groups = sizes.groupBy(*by).agg(F.sum("_n").alias("_rows"), F.count("*").alias("_clusters"), F.max("_width").alias("_width"))
+    # One row per cluster and group, so the sizes may be sent to all tasks.
+    rows = labelled.select(*keys, F.col("x").cast("array<double>").alias("x")).join(F.broadcast(groups), by)
+    # Rows are dealt first, since the task that reads them would write all their copies.
+    dealt = rows.withColumn("_draw", F.xxhash64(*ident, "x")).repartition("_draw")
+    blocks = dealt.withColumn("_blocks", _blocks(block_rows)).withColumn("_own", F.pmod("_draw", "_blocks"))
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1))
-    blocks = rows.withColumn("_blocks", F.ceil(F.col("_rows") / block_rows)).withColumn("_own", F.pmod(F.xxhash64(*ident), F.col("_blocks")))
-    points = blocks.select(*keys, "x", F.col("_own").alias("_i"), every.alias("_j"))
-    members = blocks.select(*[F.col(c).alias(c) for c in (*by, "cluster", "x")], every.alias("_i"), F.col("_own").alias("_j"))
+    spread = blocks.select(*keys, "x", "_own", every.alias("_met"))
+    cells = spread.select(*keys, "x", "_own", F.least("_own", "_met").alias("_i"), F.greatest("_own", "_met").alias("_j"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in labelled.select(*keys).schema.fields)
     kind = labelled.schema["cluster"].dataType.simpleString()
-    pair = [*by, "_i", "_j"]
-    sums = points.groupBy(*pair).cogroup(members.groupBy(*pair)).applyInPandas(_distance_sums(keys), f"{fields}, other {kind}, total double")
+    sums = cells.groupBy(*by, "_i", "_j").applyInArrow(_distance_sums(keys), f"{fields}, other {kind}, total double")
     whole = sums.groupBy(*keys, "other").agg(F.sum("total").alias("total"))
-    # One row per cluster and group, so the sizes may be sent to all tasks.
-    facing = whole.join(F.broadcast(sizes.withColumnRenamed("cluster", "other")), [*by, "other"])
+    facing = whole.join(F.broadcast(sizes.drop("_width").withColumnRenamed("cluster", "other")), [*by, "other"])
     mine = F.col("other") == F.col("cluster")
     near = facing.groupBy(*keys).agg(
         F.max(F.when(mine, S.ratio(F.col("total"), F.col("_n") - 1))).alias("_in"),
         F.min(F.when(~mine, F.col("total") / F.col("_n"))).alias("_out"),
         F.max(F.when(mine, F.col("_n"))).alias("_size"),
-    ).join(groups, by)
+    ).join(F.broadcast(groups), by)
     score = F.when(F.col("_size") > 1, F.coalesce(S.ratio(F.col("_out") - F.col("_in"), F.greatest("_in", "_out")), F.lit(0.0))).otherwise(0.0)
     defined = (F.col("_clusters") > 1) & (F.col("_clusters") < F.col("_rows"))
     scored = near.select(*keys, F.when(defined, S.finite(score)).alias("silhouette"))

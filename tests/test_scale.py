@@ -226,6 +226,40 @@ def test_silhouettes_of_large_groups_are_whole(spark):
     assert scored.count() == 6000 and scored.where("silhouette is null or silhouette < 0.5").count() == 0
 
 
+def test_silhouettes_send_a_row_to_few_blocks(spark):
+    rows = "rows bigint, width int, clusters bigint"
+    sizes = spark.createDataFrame([(600, 64, 10), (100_000, 64, 10), (600_000, 64, 10), (600_000, 64, 600_000)], rows).toDF("_rows", "_width", "_clusters")
+    found = {(r["_rows"], r["_clusters"]): r["b"] for r in sizes.withColumn("b", Q._blocks(None)).collect()}
+    # Copies of a row are what is sent, and as many rows of sums come back; before, it was a block for each 1,024 rows.
+    assert found == {(600, 10): 1, (100_000, 10): 12, (600_000, 10): 19, (600_000, 600_000): 586}
+    df = spark.createDataFrame([("a", i, i % 3, [float(i * i)]) for i in range(40)], "g string, id int, cluster int, x array<double>")
+    plan = Q.silhouette_samples(df, ["g"], ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" not in plan
+
+
+def test_silhouettes_of_close_points_keep_their_digits(spark):
+    rng = np.random.default_rng(11)
+    # Far from zero, clusters far apart, their points close and some of them copies.
+    label = rng.integers(0, 4, 300)
+    x = 1e6 + 100.0 * label[:, None] + np.round(rng.normal(0, 1e-3, (300, 5)), 6)
+    x[::7] = x[label == label[0]][0]
+    df = spark.createDataFrame(pd.DataFrame({"g": "a", "id": range(300), "cluster": label, "x": list(x)}))
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    mean = np.stack([d[:, label == c].sum(1) / ((label == c).sum() - (label == c)) for c in range(4)], 1)
+    a, b = mean[np.arange(300), label], np.where(np.arange(4) == label[:, None], np.inf, mean).min(1)
+    wanted = (b - a) / np.maximum(a, b)
+    for rows in (None, 70):
+        found = {r["id"]: r["silhouette"] for r in Q.silhouette_samples(df, ["g"], ["id"], block_rows=rows).collect()}
+        assert [found[i] for i in range(300)] == pytest.approx(wanted, abs=1e-9)
+
+
+def test_silhouettes_take_rows_without_a_cluster(spark):
+    rows = [("a", 1, 0, [0.0]), ("a", 2, 0, [1.0]), ("a", 3, 1, [9.0]), ("a", 4, 1, [9.5]), ("a", 5, None, [4.0])]
+    df = spark.createDataFrame(rows, "g string, id int, cluster int, x array<double>")
+    found = {r["id"]: r["silhouette"] for r in Q.silhouette_samples(df, ["g"], ["id"]).collect()}
+    assert found[5] == 0.0 and found[1] == pytest.approx((9.25 - 1.0) / 9.25)
+
+
 def test_single_member_cluster_scores_zero(spark):
     df = spark.createDataFrame([("a", 1, 0, [0.0]), ("a", 2, 0, [1.0]), ("a", 3, 1, [9.0])], "g string, id int, cluster int, x array<double>")
     assert {r["id"]: r["silhouette"] for r in Q.silhouette_samples(df, ["g"], ["id"]).collect()}[3] == 0.0
