@@ -17,9 +17,12 @@ SETTLED_ROWS = 50_000
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """A parameter table (groups x features rows) computed once: a local relation, or a stored table if it is large."""
+    """A parameter table (groups x features rows) computed once: a local relation, or a stored table if it is large.
+
+    A local one is sent to all tasks where rows meet it, since a shuffle by group would give a task all rows of a large group.
+    """
     rows = df.limit(SETTLED_ROWS + 1).collect()
-    return df.sparkSession.createDataFrame(rows, df.schema) if len(rows) <= SETTLED_ROWS else materialize(df)
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)) if len(rows) <= SETTLED_ROWS else materialize(df)
 
 
 def long_form(df: DataFrame, features: Sequence[str], by: Sequence[str]) -> DataFrame:

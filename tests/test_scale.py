@@ -10,7 +10,7 @@ from pyspark.sql import Window as W, functions as F
 
 from serieskit.config import DemandConfig
 from serieskit.functions import scalars as S
-from serieskit.operators import cluster as K, cluster_metrics as Q, grid as G, metrics as M, ordered, panel, profiles as P, sampling
+from serieskit.operators import cluster as K, cluster_metrics as Q, grid as G, metrics as M, ordered, panel, prep, profiles as P, sampling
 from serieskit.operators.skew import split_hot
 from serieskit.session import materialize
 
@@ -260,6 +260,15 @@ def test_silhouettes_take_rows_without_a_cluster(spark):
     assert found[5] == 0.0 and found[1] == pytest.approx((9.25 - 1.0) / 9.25)
 
 
+def test_settled_parameters_meet_rows_without_a_shuffle(spark):
+    df = spark.range(3000).select(F.when(F.col("id") % 9 != 0, "a").alias("g"), "id", (F.col("id") % 700).cast("double").alias("v"))
+    bounds = prep.settled(prep.clip_bounds(df, ["v"], 0.01, ["g"]))
+    for out in (prep.clip(df, bounds, ["v"], ["g"]), prep.impute_median(df, ["v"], ["g"]), prep.standardize(df, ["v"], ["g"])):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "rightHint=(strategy=broadcast)" in plan
+        assert out.count() == 3000
+
+
 def test_single_member_cluster_scores_zero(spark):
     df = spark.createDataFrame([("a", 1, 0, [0.0]), ("a", 2, 0, [1.0]), ("a", 3, 1, [9.0])], "g string, id int, cluster int, x array<double>")
     assert {r["id"]: r["silhouette"] for r in Q.silhouette_samples(df, ["g"], ["id"]).collect()}[3] == 0.0
