@@ -269,6 +269,21 @@ def test_settled_parameters_meet_rows_without_a_shuffle(spark):
         assert out.count() == 3000
 
 
+def test_tasks_of_daily_medians_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(panel, "TASK_ROWS", 20, raising=False)
+    rows = spark.range(600).select(
+        F.lit("a").alias("commodity"), *[F.lit("s").alias(k) for k in panel.SERIES_KEYS],
+        F.date_add(F.lit("2001-01-01").cast("date"), (F.col("id") % 50).cast("int")).alias("date"),
+        (F.col("id") % 100 + 1).cast("double").alias("price"), F.when(F.col("id") % 2 == 0, 0.5).alias("relative_spread"),
+    )
+    days = panel.daily_medians(rows)
+    # Six copies of each of two prices a day; Spark may not join these parts again.
+    assert "repartitionbyexpression" in days._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert ", 30" in [line for line in days._jdf.queryExecution().optimizedPlan().toString().splitlines() if "RepartitionByExpression" in line][0]
+    found = {(r["date"].timetuple().tm_yday, r["price"], r["relative_spread"], r["daily_reports"]) for r in days.collect()}
+    assert found == {(d + 1, d + 26.0, 0.5 if d % 2 == 0 else None, 2) for d in range(50)}
+
+
 def test_single_member_cluster_scores_zero(spark):
     df = spark.createDataFrame([("a", 1, 0, [0.0]), ("a", 2, 0, [1.0]), ("a", 3, 1, [9.0])], "g string, id int, cluster int, x array<double>")
     assert {r["id"]: r["silhouette"] for r in Q.silhouette_samples(df, ["g"], ["id"]).collect()}[3] == 0.0
